@@ -47,13 +47,13 @@ def global_rank(df: DataFrame, order: Sequence[str], within: Sequence[str] = ())
     """
     within = list(within)
     placed = _placed(df, [*within, *order])
-    chunks = placed.groupBy("_part", *within).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
+    chunks = placed.groupBy("_part", *within).agg(F.count("*").alias("_chunk_rows"), F.min("_pos").alias("_first"))
     before, group = _chunk_windows(within)
     links = chunks.select(
         "_part",
         *within,
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(group).alias("total"),
+        (F.coalesce(F.sum("_chunk_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_chunk_rows").over(group).alias("total"),
     )
     return (
         placed.join(F.broadcast(links), ["_part", *within])
@@ -73,13 +73,13 @@ def running_totals(
     within = list(within)
     placed = _placed(df, [*within, *order])
     chunks = placed.groupBy("_part", *within).agg(
-        F.count("*").alias("_n"), *(F.sum(name).alias(f"_{name}") for name in sums)
+        F.count("*").alias("_chunk_rows"), *(F.sum(name).alias(f"_{name}") for name in sums)
     )
     before, group = _chunk_windows(within)
     links = chunks.select(
         "_part",
         *within,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum("_chunk_rows").over(before), F.lit(0)).alias("_offset"),
         *(F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}_offset") for name in sums),
         *(F.sum(f"_{name}").over(group).alias(f"{name}_total") for name in sums),
     )
@@ -109,19 +109,21 @@ def unpivot(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFr
     )
 
 
-def rank_features(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """All columns ranked in one pass; rows (key, feature, value, rank, total)."""
-    return global_rank(unpivot(df, key, columns), ["value", *key], within=["feature"])
+def rank_features(
+    df: DataFrame, key: Sequence[str], columns: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """All columns ranked in one pass; rows (by, key, feature, value, rank, total)."""
+    return global_rank(unpivot(df, [*by, *key], columns), ["value", *key], within=[*by, "feature"])
 
 
-def quantile_table(ranked: DataFrame, probs: Sequence[float]) -> DataFrame:
+def quantile_table(ranked: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles q0, q1, … per feature from `rank_features`."""
     place = F.col("rank") - 1
     spot = {i: (F.col("total") - 1) * F.lit(float(p)) for i, p in enumerate(probs)}
     wanted = F.lit(False)
     for h in spot.values():
         wanted = wanted | place.between(F.floor(h), F.floor(h) + 1)
-    picks = ranked.where(wanted).groupBy("feature").agg(
+    picks = ranked.where(wanted).groupBy(*by, "feature").agg(
         F.max("total").alias("total"),
         *(F.max(F.when(place == F.floor(h), F.col("value"))).alias(f"_lo{i}") for i, h in spot.items()),
         *(F.max(F.when(place == F.floor(h) + 1, F.col("value"))).alias(f"_hi{i}") for i, h in spot.items()),
@@ -137,7 +139,7 @@ def quantile_table(ranked: DataFrame, probs: Sequence[float]) -> DataFrame:
             .alias(f"q{i}")
         )
 
-    return picks.select("feature", "total", *(interpolate(i, h) for i, h in spot.items()))
+    return picks.select(*by, "feature", "total", *(interpolate(i, h) for i, h in spot.items()))
 
 
 def exact_quantiles(
