@@ -12,10 +12,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronage.functions.expressions import cascade, count_if, ratio, round_half_even
-from patronage.operators.ordering import next_after, running_totals, thresholds_between
+from patronage.operators.ordering import exact_quantiles, next_after, running_totals, thresholds_between, unpivot, value_quantiles
 
 
 @dataclass(frozen=True)
@@ -450,22 +450,7 @@ def precision_at_share(scored: DataFrame, key: str, share: float = 0.2, within:
     count as chosen. It is read off the distinct scores, so ties cost nothing.
     """
     within = list(within)
-    curve = running_totals(
-        score_counts(scored, within).withColumn("n", F.col("pos") + F.col("neg")), ["p"], ["n"], within
-    )
-    spot = (F.col("n_total") - 1) * F.lit(1 - share)
-    covers = lambda place: (F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n"))
-    cuts = curve.groupBy(*within).agg(
-        F.max(F.when(covers(F.floor(spot)), F.col("p"))).alias("_a"),
-        F.max(F.when(covers(F.floor(spot) + 1), F.col("p"))).alias("_b"),
-        F.max(spot - F.floor(spot)).alias("_t"),
-    )
-    low, high = F.col("_a"), F.coalesce("_b", "_a")
-    part = F.col("_t")
-    cuts = cuts.select(
-        *within,
-        F.when(part < 0.5, low + (high - low) * part).otherwise(high - (high - low) * (1 - part)).alias("cut"),
-    )
+    cuts = value_quantiles(scored, ["p"], [1 - share], by=within).select(*within, F.col("q0").alias("cut"))
     chosen = scored.join(F.broadcast(cuts), within) if within else scored.withColumn("cut", cuts.select("cut").scalar())
     return (
         chosen.where(F.col("p") >= F.col("cut"))
@@ -500,8 +485,6 @@ def psi_drift(
 
     Equal decile edges collapse into one. An empty bin counts as a share of 0.0001.
     """
-    from patronage.operators.ordering import exact_quantiles, unpivot
-
     inner = [i / bins for i in range(1, bins)]
     edges = {c: sorted(set(q)) for c, q in exact_quantiles(base, [key], columns, inner).items()}
     bucket = reduce(
@@ -532,8 +515,6 @@ def psi_drift(
 
 def weekly_auc_alert(scored: DataFrame, week: str = "week", drop: float = 0.03) -> DataFrame:
     """AUC per week and an alert when it fell by more than `drop` of the week before."""
-    from pyspark.sql import Window
-
     weekly = ranking_metrics(scored, [week]).select(week, "auc")
     # one row per week
     before = F.lag("auc").over(Window.orderBy(week))

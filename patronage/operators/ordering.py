@@ -129,17 +129,40 @@ def quantile_table(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]
         *(F.max(F.when(place == F.floor(h) + 1, F.col("value"))).alias(f"_hi{i}") for i, h in spot.items()),
     )
 
-    def interpolate(i: int, h: Column) -> Column:
-        low = F.col(f"_lo{i}")
-        high = F.coalesce(F.col(f"_hi{i}"), low)
-        part = h - F.floor(h)
-        return (
-            F.when(part < 0.5, low + (high - low) * part)
-            .otherwise(high - (high - low) * (1 - part))
-            .alias(f"q{i}")
-        )
-
-    return picks.select(*by, "feature", "total", *(interpolate(i, h) for i, h in spot.items()))
+    return picks.select(*by, "feature", "total", *(_interpolated(i, h).alias(f"q{i}") for i, h in spot.items()))
+
+
+def value_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Like `quantile_table`, for rows without a unique key.
+
+    Equal values are counted first, so a frequent value is one row however often it occurs.
+    """
+    keys = [*by, "feature"]
+    counted = unpivot(df, by, columns).groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    curve = running_totals(counted, ["value"], ["n"], keys)
+    spot = {i: (F.col("n_total") - 1) * F.lit(float(p)) for i, p in enumerate(probs)}
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n")), F.col("value")))
+
+    picks = curve.groupBy(*keys).agg(
+        F.max("n_total").alias("n_total"),
+        *(at(F.floor(h)).alias(f"_lo{i}") for i, h in spot.items()),
+        *(at(F.floor(h) + 1).alias(f"_hi{i}") for i, h in spot.items()),
+    )
+    return picks.select(
+        *keys, F.col("n_total").alias("total"), *(_interpolated(i, h).alias(f"q{i}") for i, h in spot.items())
+    )
+
+
+def _interpolated(i: int, spot: Column) -> Column:
+    """Between the two neighbours of the wanted place, from the nearer end."""
+    low = F.col(f"_lo{i}")
+    high = F.coalesce(F.col(f"_hi{i}"), low)
+    part = spot - F.floor(spot)
+    return F.when(part < 0.5, low + (high - low) * part).otherwise(high - (high - low) * (1 - part))
 
 
 def exact_quantiles(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from patronage.functions.expressions import cascade, round_half_even
+from patronage.functions.expressions import cascade, ratio, round_half_even, title_case
 from patronage.operators.customers import CUSTOMER
 from patronage.operators.ordering import quantile_table, rank_features
 
@@ -338,8 +338,16 @@ def segment_recommendation(enriched: DataFrame) -> DataFrame:
 
 
 def feature_strength(train: DataFrame, features: Sequence[str], label: str = "is_churned") -> DataFrame:
-    """Correlation of every feature with the label, one row per feature, in one pass."""
-    row = train.agg(*(F.coalesce(F.nanvl(F.corr(c, label), F.lit(0.0)), F.lit(0.0)).alias(c) for c in features))
+    """Correlation of every feature with the label, one row per feature, in one pass.
+
+    A feature without spread has none.
+    """
+    row = train.agg(
+        *(
+            ratio(F.covar_pop(c, label), F.stddev_pop(c) * F.stddev_pop(label)).alias(c)
+            for c in features
+        )
+    )
     return row.unpivot([], list(features), "feature", "coefficient").withColumn(
         "importance", F.abs(F.round("coefficient", 6))
     )
@@ -368,8 +376,6 @@ OTHER_FEATURE_ADVICE = "Develop targeted interventions for this key risk factor"
 
 
 def feature_advice(importance: DataFrame, n: int = 3) -> DataFrame:
-    from patronage.functions.expressions import title_case
-
     name = F.lower("feature")
     rules = []
     for words, text in FEATURE_ADVICE:
