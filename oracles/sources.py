@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import oracles.segments  # noqa: F401  (defines the summary block)
 from oracles.blocks import cols, quantile, rnd, statement
 
 TYPES = ("boleto", "credit_card", "debit_card", "voucher")
@@ -26,6 +27,15 @@ FROM c_payments GROUP BY payment_type""",
     "half_even_round": f"""
 SELECT order_id, payment_sequential, {rnd('payment_value', 1)} AS round_1, {rnd('payment_value', 2)} AS round_2,
   {rnd('payment_value', 3)} AS round_3 FROM c_payments""",
+    "segment_summary_json": "SELECT * FROM b_summary",
+    "load_tables": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS "rows" FROM {source}"""
+        for name, source in (
+            ("orders_raw", "c_orders"), ("order_items_raw", "c_items"), ("order_payments_raw", "c_payments"),
+            ("order_reviews_raw", "c_reviews"), ("customers_raw", "c_customers"), ("products_raw", "c_products"),
+            ("category_translation_raw", "c_cats"),
+        )
+    ),
     "orders_by_month": "SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month, count(*) AS orders FROM c_orders GROUP BY 1",
 }
 

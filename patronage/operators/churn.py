@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronage.functions.expressions import (
-    cascade,
     count_if,
     flag,
     floor_days,
@@ -20,7 +19,8 @@ from patronage.functions.expressions import (
     ratio,
     round_half_even,
 )
-from patronage.operators.customers import CUSTOMER, latest_purchase
+from patronage.functions.joins import lookup_join
+from patronage.operators.customers import CUSTOMER, latest_purchase, order_reviews
 from patronage.operators.ordering import exact_quantiles, quantile_table, rank_features
 from patronage.operators.scaling import robust_scale
 from patronage.session import materialize
@@ -37,15 +37,22 @@ DEFAULT_THRESHOLDS = {"hist_value": 50.0, "hist_freq": 1.0}
 # ---- labels and split ----------------------------------------------------------------------
 
 
+def label_measures(orders: DataFrame, months: int = CHURN_MONTHS) -> list[Column]:
+    """Columns over the last purchase of a customer."""
+    latest = latest_purchase(orders)
+    return [
+        flag(F.col("last_purchase") < plus_months(latest, -months)).alias("is_churned"),
+        floor_days(latest, F.col("last_purchase")).alias("days_since_last_order"),
+    ]
+
+
 def churn_labels(orders: DataFrame, customer: str = CUSTOMER, months: int = CHURN_MONTHS) -> DataFrame:
     """Churned means: no purchase in the last `months` months of the whole table."""
-    latest = latest_purchase(orders)
     return (
         orders.where(F.col(customer).isNotNull())
         .groupBy(customer)
         .agg(F.max("order_purchase_timestamp").alias("last_purchase"))
-        .withColumn("is_churned", flag(F.col("last_purchase") < plus_months(latest, -months)))
-        .withColumn("days_since_last_order", floor_days(latest, F.col("last_purchase")))
+        .select(customer, "last_purchase", *label_measures(orders, months))
     )
 
 
@@ -83,22 +90,26 @@ def class_balance(labels: DataFrame) -> DataFrame:
 # ---- delivery ------------------------------------------------------------------------------
 
 
-def delivered_orders(orders: DataFrame) -> DataFrame:
-    """Delivered orders with both the delivery and the promised date."""
-    return orders.where(F.col("order_status") == "delivered").dropna(
-        subset=["order_delivered_customer_date", "order_estimated_delivery_date"]
+def is_delivered() -> Column:
+    """Delivered, with both the delivery and the promised date."""
+    return (
+        (F.col("order_status") == "delivered")
+        & F.col("order_delivered_customer_date").isNotNull()
+        & F.col("order_estimated_delivery_date").isNotNull()
     )
 
 
-def delivery_days(orders: DataFrame) -> DataFrame:
-    """Delivered orders with days late, days taken and days promised."""
-    return delivered_orders(orders).withColumns(
-        {
-            "days_diff": floor_days("order_delivered_customer_date", "order_estimated_delivery_date"),
-            "actual_days": floor_days("order_delivered_customer_date", "order_purchase_timestamp"),
-            "promised_days": floor_days("order_estimated_delivery_date", "order_purchase_timestamp"),
-        }
-    )
+def delivered_orders(orders: DataFrame) -> DataFrame:
+    return orders.where(is_delivered())
+
+
+def delivery_days() -> dict[str, Column]:
+    """Days late, days taken and days promised of an order, null unless it was delivered."""
+    return {
+        "days_diff": F.when(is_delivered(), floor_days("order_delivered_customer_date", "order_estimated_delivery_date")),
+        "actual_days": F.when(is_delivered(), floor_days("order_delivered_customer_date", "order_purchase_timestamp")),
+        "promised_days": F.when(is_delivered(), floor_days("order_estimated_delivery_date", "order_purchase_timestamp")),
+    }
 
 
 # names of the same delivery measures in the two feature sets
@@ -127,55 +138,65 @@ MODULE_DELIVERY = {
 }
 
 
+def delivery_aggregates() -> list[Column]:
+    return [
+        F.avg("days_diff").alias("_diff"),
+        F.avg("actual_days").alias("_actual"),
+        F.stddev_samp("actual_days").alias("_spread"),
+        F.count("days_diff").alias("_delivered"),
+        count_if(F.col("days_diff") > 0).alias("_late"),
+        count_if(F.col("actual_days") > 7).alias("_slow"),
+        count_if(F.col("actual_days") > 14).alias("_very_slow"),
+    ]
+
+
+def delivery_measures(variant: str = "flow") -> list[Column]:
+    """Columns over `delivery_aggregates`. Flags read the rounded means."""
+    share = {name: F.col(f"_{name}") / F.nullif(F.col("_delivered"), F.lit(0)) for name in ("late", "slow", "very_slow")}
+    mean, spread = round_half_even(F.col("_actual"), 2), round_half_even(F.col("_spread"), 2)
+    score = share["late"] * 0.3 + share["slow"] * 0.4 + share["very_slow"] * 0.3
+    measures = {
+        "diff_mean": round_half_even(F.col("_diff"), 2),
+        "actual_mean": mean,
+        "actual_std": F.coalesce(spread, F.lit(0.0)) if variant == "flow" else spread,
+        **share,
+        "often_late": flag(share["late"] > 0.5),
+        "often_slow": flag(share["slow"] > 0.3),
+        "any_very_slow": flag(share["very_slow"] > 0),
+        "uneven": flag(spread > 5),
+        "score": score,
+        "unhappy": flag(score > 0.3),
+        "fast": flag(mean <= 3),
+        "normal": flag((mean > 3) & (mean <= 7)),
+        "slowish": flag((mean > 7) & (mean <= 14)),
+        "slowest": flag(mean > 14),
+    }
+    names = FLOW_DELIVERY if variant == "flow" else MODULE_DELIVERY
+    return [measures[measure].alias(name) for measure, name in names.items()]
+
+
 def delivery_features(orders: DataFrame, customer: str = CUSTOMER, variant: str = "flow") -> DataFrame:
     """Lateness against the promise, speed, and flags derived from both.
 
-    Flags read the rounded means; the spread of a single delivery is 0 in the `flow`
-    variant and unknown in the `module` variant, with the same flag.
+    The spread of a single delivery is 0 in the `flow` variant and unknown in the
+    `module` variant, with the same flag.
     """
-    grouped = (
-        delivery_days(orders)
+    return (
+        delivered_orders(orders)
         .where(F.col(customer).isNotNull())
+        .withColumns(delivery_days())
         .groupBy(customer)
-        .agg(
-            round_half_even(F.avg("days_diff"), 2).alias("diff_mean"),
-            round_half_even(F.avg("actual_days"), 2).alias("actual_mean"),
-            round_half_even(F.stddev_samp("actual_days"), 2).alias("actual_std"),
-            F.count("order_id").alias("n"),
-            count_if(F.col("days_diff") > 0).alias("n_late"),
-            count_if(F.col("actual_days") > 7).alias("n_slow"),
-            count_if(F.col("actual_days") > 14).alias("n_very_slow"),
-        )
+        .agg(*delivery_aggregates())
+        .select(customer, *delivery_measures(variant))
     )
-    shares = grouped.withColumns(
-        {name: F.col(f"n_{name}") / F.col("n") for name in ("late", "slow", "very_slow")}
-    )
-    score = F.col("late") * 0.3 + F.col("slow") * 0.4 + F.col("very_slow") * 0.3
-    mean = F.col("actual_mean")
-    full = shares.withColumns(
-        {
-            "often_late": flag(F.col("late") > 0.5),
-            "often_slow": flag(F.col("slow") > 0.3),
-            "any_very_slow": flag(F.col("very_slow") > 0),
-            "uneven": flag(F.col("actual_std") > 5),
-            "score": score,
-            "unhappy": flag(score > 0.3),
-            "fast": flag(mean <= 3),
-            "normal": flag((mean > 3) & (mean <= 7)),
-            "slowish": flag((mean > 7) & (mean <= 14)),
-            "slowest": flag(mean > 14),
-        }
-    )
-    names = FLOW_DELIVERY if variant == "flow" else MODULE_DELIVERY
-    named = full.select(customer, *(F.col(old).alias(new) for old, new in names.items()))
-    return named.fillna(0) if variant == "flow" else named
 
 
 def delivery_promise_features(orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Mean and worst lateness, promised time, shares of late, very late and long promises."""
     return (
-        delivery_days(orders)
+        delivered_orders(orders)
         .where(F.col(customer).isNotNull())
+        .withColumns(delivery_days())
         .groupBy(customer)
         .agg(
             round_half_even(F.avg("days_diff"), 2).alias("delivery_days_diff_mean"),
@@ -228,6 +249,27 @@ def delivery_features_scaled(orders: DataFrame, customers: DataFrame, customer:
 # ---- reviews -------------------------------------------------------------------------------
 
 
+def score_aggregates() -> list[Column]:
+    """Over the review counts of each order."""
+    return [
+        F.sum("score").alias("_score"),
+        F.sum("n_scores").alias("_scores"),
+        F.min("worst_score").alias("review_review_score_min"),
+        F.sum("n_bad").alias("_bad"),
+    ]
+
+
+def score_measures() -> list[Column]:
+    scores = F.nullif(F.col("_scores"), F.lit(0))
+    mean = round_half_even(F.col("_score") / scores, 2)
+    return [
+        mean.alias("review_review_score_mean"),
+        F.col("review_review_score_min"),
+        (F.col("_bad") / scores).alias("review_bad_ratio"),
+        flag(mean < 3.5).alias("review_dissatisfied"),
+    ]
+
+
 def review_features(
     reviews: DataFrame,
     orders: DataFrame,
@@ -240,48 +282,44 @@ def review_features(
     texts is added.
     """
     scored = reviews.dropna(subset=["review_score"])
-    per_order = scored.groupBy("order_id").agg(
-        F.sum("review_score").alias("score"),
-        F.min("review_score").alias("worst"),
-        F.count("*").alias("n"),
-        count_if(F.col("review_score") <= 2).alias("n_bad"),
-    )
-    mean = round_half_even(F.sum("score") / F.sum("n"), 2)
     owners = orders.where(F.col(customer).isNotNull()).select("order_id", customer)
     result = (
-        per_order.join(owners, "order_id")
+        order_reviews(scored)
+        .join(owners, "order_id")
         .groupBy(customer)
-        .agg(
-            mean.alias("review_review_score_mean"),
-            F.min("worst").alias("review_review_score_min"),
-            (F.sum("n_bad") / F.sum("n")).alias("review_bad_ratio"),
-        )
-        .withColumn("review_dissatisfied", flag(F.col("review_review_score_mean") < 3.5))
+        .agg(*score_aggregates())
+        .select(customer, *score_measures())
     )
     if lexicon is None:
         return result
-    sentiment = (
+    return result.join(review_sentiment_mean(scored, owners, lexicon, customer), customer, "left")
+
+
+def review_sentiment_mean(
+    scored: DataFrame, owners: DataFrame, lexicon: DataFrame, customer: str = CUSTOMER
+) -> DataFrame:
+    """Mean polarity of the written reviews of each customer."""
+    return (
         review_polarity(scored, lexicon)
         .join(owners, "order_id")
         .groupBy(customer)
         .agg(F.avg("polarity").alias("review_sentiment_mean"))
     )
-    return result.join(sentiment, customer, "left")
 
 
 def review_polarity(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mean polarity of the lexicon words in each review text, 0 when none occurs.
 
-    Texts are split into words where they lie. The words of a review stay in its
-    partition, so the partial aggregation shuffles one small row per review. Spark
-    broadcasts the lexicon when its size allows it. A review is identified by review
-    and order, because review ids may repeat.
+    Texts are split into words where they lie. With a broadcast lexicon the words of a
+    review stay in its partition, and the partial aggregation shuffles one small row per
+    review. A review is identified by review and order, because review ids may repeat.
     """
     words = F.explode_outer(F.split(F.lower("review_comment_message"), "[^a-z]+"))
+    spoken = reviews.dropna(subset=["review_comment_message"]).select(
+        "review_id", "order_id", "review_score", words.alias("word")
+    )
     return (
-        reviews.dropna(subset=["review_comment_message"])
-        .select("review_id", "order_id", "review_score", words.alias("word"))
-        .join(lexicon.select("word", "polarity"), "word", "left")
+        lookup_join(spoken, lexicon.select("word", "polarity"), "word")
         .groupBy("review_id", "order_id")
         .agg(
             F.max("review_score").alias("review_score"),
@@ -330,43 +368,37 @@ def review_sentiment(
 # ---- spend in the historical window --------------------------------------------------------
 
 
-def historical_window(
-    orders: DataFrame, customer: str = CUSTOMER, months: int = CHURN_MONTHS, by_split: bool = False, seed: int = SEED
-) -> DataFrame:
-    """Orders from `2 * months` to `months` months before the last purchase, both ends included.
+def in_window(orders: DataFrame, customer: str = CUSTOMER, months: int = CHURN_MONTHS, by_split: bool = True, seed: int = SEED) -> Column:
+    """From `2 * months` to `months` months before the last purchase, both ends included.
 
     With `by_split` the last purchase is that of the customer's own split, as when every
-    split is built alone; the three dates are scalar subqueries over two columns.
+    split is built alone. The dates are one scalar subquery over two columns.
     """
     when = F.col("order_purchase_timestamp")
-    if by_split:
-        tagged = orders.withColumn("split", split_of(F.col(customer), seed))
-        own = {s: tagged.where(F.col("split") == s).agg(F.max("order_purchase_timestamp")).scalar() for s in SPLITS}
-        bounded = [
-            (F.col("split") == s)
-            & (when >= plus_months(plus_months(latest, -months), -months))
-            & (when <= plus_months(latest, -months))
-            for s, latest in own.items()
-        ]
-        return tagged.where(reduce(lambda a, b: a | b, bounded))
-    end = plus_months(latest_purchase(orders), -months)
-    return orders.where((when >= plus_months(end, -months)) & (when <= end))
-
-
-def order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame, customer: str = CUSTOMER) -> DataFrame:
-    """One row per order: item rows, price, freight, and the payment total."""
-    lines = items.groupBy("order_id").agg(
+
+    def between(latest: Column) -> Column:
+        end = plus_months(latest, -months)
+        return (when >= plus_months(end, -months)) & (when <= end)
+
+    if not by_split:
+        return between(latest_purchase(orders))
+    split = split_of(F.col(customer), seed)
+    latest = orders.agg(F.struct(*(F.max(F.when(split == name, when)).alias(name) for name in SPLITS))).scalar()
+    return reduce(lambda a, b: a | b, ((split == name) & between(latest[name]) for name in SPLITS))
+
+
+def historical_window(orders: DataFrame, months: int = CHURN_MONTHS) -> DataFrame:
+    return orders.where(in_window(orders, months=months, by_split=False))
+
+
+def order_lines(items: DataFrame) -> DataFrame:
+    """Item rows, price and freight per order."""
+    return items.groupBy("order_id").agg(
         F.count("*").alias("n_items"),
         F.sum("price").alias("price"),
         F.sum("freight_value").alias("freight"),
         F.count("freight_value").alias("n_freight"),
     )
-    paid = payments.groupBy("order_id").agg(F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("paid"))
-    return (
-        orders.where(F.col(customer).isNotNull())
-        .join(lines, "order_id", "left")
-        .join(paid, "order_id", "left")
-    )
 
 
 def order_repeats(dedupe: bool) -> Column:
@@ -380,49 +412,44 @@ HISTORY_NAMES = {
 }
 
 
-def rfm_history(
-    orders: DataFrame,
-    items: DataFrame,
-    payments: DataFrame,
-    customer: str = CUSTOMER,
-    months: int = CHURN_MONTHS,
-    variant: str = "flow",
-    dedupe: bool = False,
-    by_split: bool = True,
-    seed: int = SEED,
-) -> DataFrame:
-    """Spend and order counts inside the historical window, without the threshold flags.
+def history_aggregates(inside: Column, dedupe: bool = False) -> list[Column]:
+    """Over one row per order with its lines and payments, for the orders where `inside` holds.
 
     Payments were joined per item row in the original measure, so an order with three
     items counts three times, in spend too. The repeats are computed from the number of
     items instead of being produced by a join; `dedupe=True` counts orders once.
     """
-    window = historical_window(orders, customer, months, by_split=by_split, seed=seed)
-    totals = order_totals(window, items, payments, customer).withColumn("repeats", order_repeats(dedupe))
-    split = [F.first("split").alias("split")] if by_split else []
-    grouped = totals.groupBy(customer).agg(
-        *split,
-        F.sum("repeats").alias("rows"),
-        F.coalesce(F.sum(F.col("paid") * F.col("repeats")), F.lit(0.0)).alias("spend"),
-        F.sum(F.when(F.col("paid").isNotNull(), F.col("repeats"))).alias("paid_rows"),
-        round_half_even(F.coalesce(F.sum("freight"), F.lit(0.0)), 2).alias("freight"),
-        round_half_even(F.coalesce(F.sum("price"), F.lit(0.0)), 2).alias("price"),
-    )
-    monthly = F.col("rows") / F.lit(months)
+    repeats, paid = order_repeats(dedupe), F.col("paid")
+
+    def total(x: Column) -> Column:
+        return F.sum(F.when(inside, x))
+
+    return [
+        total(repeats).alias("_rows"),
+        total(paid * repeats).alias("_paid"),
+        total(F.when(paid.isNotNull(), repeats)).alias("_paid_rows"),
+        total(F.col("freight")).alias("_freight"),
+        total(F.col("price")).alias("_price"),
+    ]
+
+
+def history_measures(variant: str = "flow", months: int = CHURN_MONTHS) -> list[Column]:
+    """Columns over `history_aggregates`; `_spend` is null for customers without such orders."""
+    monthly = F.col("_rows") / F.lit(months)
+    spend = F.coalesce("_paid", F.lit(0.0))
+    freight, price = (round_half_even(F.coalesce(c, F.lit(0.0)), 2) for c in ("_freight", "_price"))
     monthly_name, spend_name = HISTORY_NAMES[variant]
-    return grouped.select(
-        customer,
-        *(["split"] if by_split else []),
+    return [
         (round_half_even(monthly, 2) if variant == "module" else monthly).alias(monthly_name),
-        round_half_even(F.col("spend") / F.col("paid_rows"), 2).alias(spend_name),
-        ratio(F.col("freight"), F.col("price")).alias("rfm_hist_shipping_ratio"),
-        round_half_even(F.col("spend"), 2).alias("_spend"),
-    )
+        round_half_even(F.col("_paid") / F.nullif(F.col("_paid_rows"), F.lit(0)), 2).alias(spend_name),
+        ratio(freight, price).alias("rfm_hist_shipping_ratio"),
+        F.when(F.col("_rows").isNotNull(), round_half_even(spend, 2)).alias("_spend"),
+    ]
 
 
 def learn_thresholds(history: DataFrame, customer: str = CUSTOMER) -> dict[str, float]:
-    """Upper quartiles of spend and order rate among the training customers."""
-    train = history.where(F.col("split") == "train") if "split" in history.columns else history
+    """Upper quartiles of spend and order rate among the training customers with history."""
+    train = history.where((F.col("split") == "train") & F.col("_spend").isNotNull())
     found = exact_quantiles(train, [customer], ["_spend", "rfm_hist_monthly_orders"], [0.75])
     if not found:
         return dict(DEFAULT_THRESHOLDS)
@@ -435,7 +462,7 @@ def flag_history(history: DataFrame, thresholds: dict[str, float]) -> DataFrame:
             "rfm_hist_was_valuable": flag(F.col("_spend") > F.lit(thresholds["hist_value"])),
             "rfm_hist_was_frequent": flag(F.col("rfm_hist_monthly_orders") > F.lit(thresholds["hist_freq"])),
         }
-    ).drop("_spend", "split")
+    ).drop("_spend")
 
 
 def rfm_historical(
@@ -450,13 +477,19 @@ def rfm_historical(
     seed: int = SEED,
 ) -> DataFrame:
     """Historical window features; thresholds are learned on the training split if not given."""
-    history = rfm_history(
-        orders, items, payments, customer, variant=variant, dedupe=dedupe, by_split=by_split, seed=seed
+    history = (
+        orders.where(F.col(customer).isNotNull() & in_window(orders, customer, by_split=by_split, seed=seed))
+        .select("order_id", customer)
+        .join(order_lines(items), "order_id", "left")
+        .join(order_payments(payments), "order_id", "left")
+        .groupBy(customer)
+        .agg(*history_aggregates(F.lit(True), dedupe))
+        .select(customer, split_of(F.col(customer), seed).alias("split"), *history_measures(variant))
     )
     if thresholds is None:
         history = materialize(history)
         thresholds = learn_thresholds(history, customer)
-    return flag_history(history, thresholds)
+    return flag_history(history, thresholds).drop("split")
 
 
 def rfm_shipping_features(
@@ -469,26 +502,26 @@ def rfm_shipping_features(
 ) -> DataFrame:
     """Recency, spend and shipping share over all orders, with fixed and learned flags.
 
-    Repeats per item row as in `rfm_history`.
+    Repeats per item row as in `history_aggregates`.
     """
-    latest = latest_purchase(orders)
-    totals = order_totals(orders, items, payments, customer).withColumn("repeats", order_repeats(dedupe))
     features = (
-        totals.groupBy(customer)
+        orders.where(F.col(customer).isNotNull())
+        .select("order_id", customer, "order_purchase_timestamp")
+        .join(order_lines(items), "order_id", "left")
+        .join(order_payments(payments), "order_id", "left")
+        .groupBy(customer)
         .agg(
             F.max("order_purchase_timestamp").alias("last_purchase"),
-            F.sum("repeats").alias("frequency"),
-            F.coalesce(F.sum(F.col("paid") * F.col("repeats")), F.lit(0.0)).alias("_spend"),
-            F.sum(F.when(F.col("paid").isNotNull(), F.col("repeats"))).alias("_paid_rows"),
-            round_half_even(F.sum("freight") / F.nullif(F.sum("n_freight"), F.lit(0)), 2).alias("avg_shipping"),
+            *history_aggregates(F.lit(True), dedupe),
+            F.sum("n_freight").alias("_n_freight"),
         )
         .select(
             customer,
-            "frequency",
-            round_half_even(F.col("_spend"), 2).alias("total_spend"),
-            round_half_even(F.col("_spend") / F.col("_paid_rows"), 2).alias("avg_order_value"),
-            "avg_shipping",
-            floor_days(latest, F.col("last_purchase")).alias("recency_days"),
+            F.col("_rows").alias("frequency"),
+            round_half_even(F.coalesce("_paid", F.lit(0.0)), 2).alias("total_spend"),
+            round_half_even(F.col("_paid") / F.nullif(F.col("_paid_rows"), F.lit(0)), 2).alias("avg_order_value"),
+            round_half_even(F.col("_freight") / F.nullif(F.col("_n_freight"), F.lit(0)), 2).alias("avg_shipping"),
+            floor_days(latest_purchase(orders), F.col("last_purchase")).alias("recency_days"),
         )
         .withColumn("shipping_ratio", ratio(F.col("avg_shipping"), F.col("avg_order_value")))
     )
@@ -525,44 +558,49 @@ def order_payments(payments: DataFrame) -> DataFrame:
             F.max("max_inst").alias("install_max"),
             (F.sum("sum_inst") / F.nullif(F.sum("n_inst"), F.lit(0))).alias("install_mean"),
             F.count("payment_type").alias("n_types"),
-            F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"),
+            F.coalesce(F.sum("value"), F.lit(0.0)).alias("paid"),
             (F.sum("value") / F.nullif(F.sum("n_value"), F.lit(0))).alias("value_mean"),
             F.max("max_seq").alias("n_methods"),
         )
     )
 
 
+# source column and name of the payment means; the first and the type mean feed the flags
+PAYMENT_MEANS = {
+    "flow": {"install_max": "payment_installments", "n_types": "payment_type", "paid": "payment_value"},
+    "module": {
+        "install_max": "payment_install_max_mean",
+        "install_mean": "payment_install_mean_mean",
+        "n_types": "payment_type_nunique_mean",
+        "value_mean": "payment_payment_mean_mean",
+    },
+}
+
+
+def payment_aggregates(variant: str = "flow") -> list[Column]:
+    return [F.avg(source).alias(f"_mean_{source}") for source in PAYMENT_MEANS[variant]]
+
+
+def payment_measures(variant: str = "flow") -> list[Column]:
+    means = {source: round_half_even(F.col(f"_mean_{source}"), 2) for source in PAYMENT_MEANS[variant]}
+    return [
+        *(means[source].alias(name) for source, name in PAYMENT_MEANS[variant].items()),
+        flag(means["install_max"] > 6).alias("payment_high_installments"),
+        flag(means["n_types"] > 1).alias("payment_multiple_types"),
+    ]
+
+
 def payment_features(
     payments: DataFrame, orders: DataFrame, customer: str = CUSTOMER, variant: str = "flow"
 ) -> DataFrame:
     """Means over orders of the largest instalment count, number of types and value, two flags."""
-    grouped = (
+    return (
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer)
         .join(order_payments(payments), "order_id", "left")
         .groupBy(customer)
-    )
-    if variant == "flow":
-        return grouped.agg(
-            round_half_even(F.avg("install_max"), 2).alias("payment_installments"),
-            round_half_even(F.avg("n_types"), 2).alias("payment_type"),
-            round_half_even(F.avg("value"), 2).alias("payment_value"),
-        ).withColumns(
-            {
-                "payment_high_installments": flag(F.col("payment_installments") > 6),
-                "payment_multiple_types": flag(F.col("payment_type") > 1),
-            }
-        )
-    return grouped.agg(
-        round_half_even(F.avg("install_max"), 2).alias("payment_install_max_mean"),
-        round_half_even(F.avg("install_mean"), 2).alias("payment_install_mean_mean"),
-        round_half_even(F.avg("n_types"), 2).alias("payment_type_nunique_mean"),
-        round_half_even(F.avg("value_mean"), 2).alias("payment_payment_mean_mean"),
-    ).withColumns(
-        {
-            "payment_high_installments": flag(F.col("payment_install_max_mean") > 6),
-            "payment_multiple_types": flag(F.col("payment_type_nunique_mean") > 1),
-        }
+        .agg(*payment_aggregates(variant))
+        .select(customer, *payment_measures(variant))
     )
 
 
@@ -617,24 +655,28 @@ CANCELLATION_NAMES = {
 }
 
 
+def cancellation_aggregates() -> list[Column]:
+    return [F.count("order_id").alias("_orders"), count_if(F.col("order_status") == "canceled").alias("_canceled")]
+
+
+def cancellation_measures(variant: str = "flow") -> list[Column]:
+    share, any_canceled = CANCELLATION_NAMES[variant]
+    return [
+        ratio(F.col("_canceled"), F.col("_orders")).alias(share),
+        flag(F.col("_canceled") > 0).alias(any_canceled),
+    ]
+
+
 def cancellation_features(orders: DataFrame, customer: str = CUSTOMER, variant: str = "flow") -> DataFrame:
     """Share of canceled orders and whether there is one."""
-    share, any_canceled = CANCELLATION_NAMES[variant]
-    canceled = F.col("order_status") == "canceled"
-    return (
-        orders.where(F.col(customer).isNotNull())
-        .groupBy(customer)
-        .agg(
-            (count_if(canceled) / F.count("order_id")).alias(share),
-            flag(count_if(canceled) > 0).alias(any_canceled),
-        )
-    )
+    grouped = orders.where(F.col(customer).isNotNull()).groupBy(customer).agg(*cancellation_aggregates())
+    return grouped.select(customer, *cancellation_measures(variant))
 
 
 # ---- assembly ------------------------------------------------------------------------------
 
 
-def churn_features(
+def churn_dataset(
     shop: Shop,
     customer: str = CUSTOMER,
     thresholds: dict[str, float] | None = None,
@@ -642,35 +684,60 @@ def churn_features(
     seed: int = SEED,
     lexicon: DataFrame | None = None,
 ) -> DataFrame:
-    """All blocks for every customer with orders and its split, 0 where a block has no row.
+    """All feature blocks, the label and days since the last order for every customer with
+    orders, and the customer's split; 0 where a block has nothing.
 
-    All blocks are hash partitioned by customer, so assembling them adds no shuffle.
+    Reviews, items and payments are reduced to one row per order, meet the orders once,
+    and a single grouping by customer yields all blocks. The grouped rows are
+    materialised when the thresholds have to be learned from them.
     """
-    spine = (
-        shop.orders.where(F.col(customer).isNotNull())
-        .groupBy(customer)
-        .agg(F.count("*").alias("_n"))
-        .select(customer, split_of(F.col(customer), seed).alias("split"))
+    owners = shop.orders.where(F.col(customer).isNotNull())
+    facts = (
+        owners.withColumns({**delivery_days(), "_inside": in_window(shop.orders, customer, seed=seed)})
+        .select("order_id", customer, "order_status", "order_purchase_timestamp", "days_diff", "actual_days", "_inside")
+        .join(order_reviews(shop.reviews), "order_id", "left")
+        .join(order_lines(shop.items), "order_id", "left")
+        .join(order_payments(shop.payments), "order_id", "left")
     )
-    blocks = [
-        delivery_features(shop.orders, customer, variant),
-        review_features(shop.reviews, shop.orders, customer, lexicon),
-        rfm_historical(shop.orders, shop.items, shop.payments, customer, thresholds, variant, seed=seed),
-        payment_features(shop.payments, shop.orders, customer, variant),
-        cancellation_features(shop.orders, customer, variant),
-    ]
-    return reduce(lambda left, right: left.join(right, customer, "left"), blocks, spine).fillna(0)
+    grouped = (
+        facts.groupBy(customer)
+        .agg(
+            F.max("order_purchase_timestamp").alias("last_purchase"),
+            *delivery_aggregates(),
+            *score_aggregates(),
+            *history_aggregates(F.col("_inside")),
+            *payment_aggregates(variant),
+            *cancellation_aggregates(),
+        )
+        .select(
+            customer,
+            split_of(F.col(customer), seed).alias("split"),
+            *delivery_measures(variant),
+            *score_measures(),
+            *history_measures(variant),
+            *payment_measures(variant),
+            *cancellation_measures(variant),
+            *label_measures(shop.orders),
+        )
+    )
+    if lexicon is not None:
+        scored = shop.reviews.dropna(subset=["review_score"])
+        sentiment = review_sentiment_mean(scored, owners.select("order_id", customer), lexicon, customer)
+        grouped = grouped.join(sentiment, customer, "left")
+    if thresholds is None:
+        grouped = materialize(grouped)
+        thresholds = learn_thresholds(grouped, customer)
+    return flag_history(grouped, thresholds).fillna(0)
 
 
-def churn_dataset(shop: Shop, customer: str = CUSTOMER, variant: str = "flow", seed: int = SEED) -> DataFrame:
-    """Features, label and days since the last order of all splits in one frame."""
-    labels = churn_labels(shop.orders, customer).drop("last_purchase")
-    return churn_features(shop, customer, variant=variant, seed=seed).join(labels, customer, "left")
+def churn_features(shop: Shop, customer: str = CUSTOMER, **options) -> DataFrame:
+    """The feature blocks without label and recency."""
+    return churn_dataset(shop, customer, **options).drop("is_churned", "days_since_last_order")
 
 
 def order_delivery_features(orders: DataFrame) -> DataFrame:
     """Per delivered order: days promised, taken and late, purchase month and weekday, late label."""
-    return delivery_days(orders).select(
+    return delivered_orders(orders).withColumns(delivery_days()).select(
         "order_id",
         "promised_days",
         "actual_days",

@@ -21,6 +21,7 @@ from patronage.functions.expressions import (
     ratio,
     round_half_even,
 )
+from patronage.functions.joins import lookup_join
 from patronage.operators.ordering import quantile_table, quintile_bounds, quintile_of_rank, rank_features
 from patronage.session import materialize
 from patronage.sources.shop import Shop
@@ -35,23 +36,27 @@ def latest_purchase(orders: DataFrame) -> Column:
     return orders.agg(F.max("order_purchase_timestamp")).scalar()
 
 
-def rfm_base(orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
-    """First and last order, number of orders, days since the last one, days between both.
+def rfm_aggregates() -> list[Column]:
+    when = F.col("order_purchase_timestamp")
+    return [F.min(when).alias("first_order"), F.max(when).alias("last_order"), F.count(when).alias("frequency")]
 
-    Recency counts to the day after the last purchase in the table.
-    """
+
+def rfm_measures(orders: DataFrame) -> list[Column]:
+    """Columns over `rfm_aggregates`; recency counts to the day after the last purchase of all."""
     analysis_date = plus_days(latest_purchase(orders), 1)
-    return (
-        orders.where(F.col(customer).isNotNull())
-        .groupBy(customer)
-        .agg(
-            F.min("order_purchase_timestamp").alias("first_order"),
-            F.max("order_purchase_timestamp").alias("last_order"),
-            F.count("order_purchase_timestamp").alias("frequency"),
-        )
-        .withColumn("recency_days", floor_days(analysis_date, F.col("last_order")))
-        .withColumn("tenure_days", floor_days("last_order", "first_order"))
-    )
+    return [
+        F.col("first_order"),
+        F.col("last_order"),
+        F.col("frequency"),
+        floor_days(analysis_date, F.col("last_order")).alias("recency_days"),
+        floor_days("last_order", "first_order").alias("tenure_days"),
+    ]
+
+
+def rfm_base(orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
+    """First and last order, number of orders, days since the last one, days between both."""
+    grouped = orders.where(F.col(customer).isNotNull()).groupBy(customer).agg(*rfm_aggregates())
+    return grouped.select(customer, *rfm_measures(orders))
 
 
 def order_values(items: DataFrame) -> DataFrame:
@@ -69,19 +74,20 @@ def order_value_join(orders: DataFrame, items: DataFrame, customer: str = CUSTOM
     return orders.select("order_id", customer).join(order_values(items), "order_id")
 
 
+def monetary_aggregates() -> list[Column]:
+    """Over one row per order; orders without items have no values and do not count."""
+    return [
+        F.sum("total_value").alias("total_spent"),
+        F.avg("total_value").alias("avg_order_value"),
+        F.sum("total_freight").alias("total_freight"),
+        F.avg("total_freight").alias("avg_freight"),
+    ]
+
+
 def monetary(orders: DataFrame, items: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Spend including freight; the average order value counts price plus freight."""
-    return (
-        order_value_join(orders, items, customer)
-        .where(F.col(customer).isNotNull())
-        .groupBy(customer)
-        .agg(
-            F.sum("total_value").alias("total_spent"),
-            F.avg("total_value").alias("avg_order_value"),
-            F.sum("total_freight").alias("total_freight"),
-            F.avg("total_freight").alias("avg_freight"),
-        )
-    )
+    joined = order_value_join(orders, items, customer).where(F.col(customer).isNotNull())
+    return joined.groupBy(customer).agg(*monetary_aggregates())
 
 
 def monetary_price_only(orders: DataFrame, items: DataFrame, customer: str = CUSTOMER) -> DataFrame:
@@ -151,29 +157,47 @@ def payment_behavior(
     )
 
 
+def order_reviews(reviews: DataFrame) -> DataFrame:
+    """Scores and texts per order."""
+    return reviews.groupBy("order_id").agg(
+        F.sum("review_score").alias("score"),
+        F.count("review_score").alias("n_scores"),
+        F.count("review_comment_message").alias("n_texts"),
+        F.min("review_score").alias("worst_score"),
+        count_if(F.col("review_score") <= 2).alias("n_bad"),
+    )
+
+
+def review_aggregates() -> list[Column]:
+    return [
+        F.sum("score").alias("_score"),
+        F.coalesce(F.sum("n_scores"), F.lit(0)).alias("review_count"),
+        F.coalesce(F.sum("n_texts"), F.lit(0)).alias("reviews_with_text"),
+        F.count("order_purchase_timestamp").alias("_orders"),
+    ]
+
+
+def review_measures() -> list[Column]:
+    return [
+        (F.col("_score") / F.nullif(F.col("review_count"), F.lit(0))).alias("avg_review_score"),
+        F.col("review_count"),
+        F.col("reviews_with_text"),
+        round_half_even(ratio(F.col("review_count"), F.col("_orders")), 2).alias("review_rate"),
+    ]
+
+
 def review_behavior(reviews: DataFrame, orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Mean score, scores given, reviews with text, scores per order.
 
     The rate can exceed 1, because an order may have several reviews.
     """
-    per_order = reviews.groupBy("order_id").agg(
-        F.sum("review_score").alias("score"),
-        F.count("review_score").alias("n_scores"),
-        F.count("review_comment_message").alias("n_texts"),
-    )
     return (
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer, "order_purchase_timestamp")
-        .join(per_order, "order_id", "left")
+        .join(order_reviews(reviews), "order_id", "left")
         .groupBy(customer)
-        .agg(
-            (F.sum("score") / F.nullif(F.sum("n_scores"), F.lit(0))).alias("avg_review_score"),
-            F.coalesce(F.sum("n_scores"), F.lit(0)).alias("review_count"),
-            F.coalesce(F.sum("n_texts"), F.lit(0)).alias("reviews_with_text"),
-            F.count("order_purchase_timestamp").alias("_frequency"),
-        )
-        .withColumn("review_rate", round_half_even(ratio(F.col("review_count"), F.col("_frequency")), 2))
-        .drop("_frequency")
+        .agg(*review_aggregates())
+        .select(customer, *review_measures())
     )
 
 
@@ -187,12 +211,8 @@ def product_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def items_with_category(items: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Every item with the category of its product.
-
-    The product table is joined by Spark's own choice: broadcast when its size allows
-    it, otherwise a sort-merge join whose hot products adaptive execution splits.
-    """
-    return items.join(product_categories(products, categories), "product_id", "left")
+    """Every item with the category of its product; hot products are salted."""
+    return lookup_join(items, product_categories(products, categories), "product_id")
 
 
 def category_counts(
@@ -238,23 +258,48 @@ def geo_info(customers: DataFrame, customer: str = CUSTOMER) -> DataFrame:
 def customer_features(shop: Shop, customer: str = CUSTOMER) -> DataFrame:
     """All blocks on the customers that have orders; missing values become 0 or "0".
 
-    Each block already is hash partitioned by customer, so the joins add no shuffle.
+    Orders, item values and review counts meet once, one row per order, and give the
+    recency, spend and review blocks in a single grouping. Every block is hash
+    partitioned by customer, so assembling them adds no shuffle.
     """
+    facts = (
+        shop.orders.where(F.col(customer).isNotNull())
+        .select("order_id", customer, "order_purchase_timestamp")
+        .join(order_values(shop.items), "order_id", "left")
+        .join(order_reviews(shop.reviews), "order_id", "left")
+    )
+    base = (
+        facts.groupBy(customer)
+        .agg(*rfm_aggregates(), *monetary_aggregates(), *review_aggregates())
+        .select(
+            customer,
+            *rfm_measures(shop.orders),
+            "total_spent",
+            "avg_order_value",
+            "total_freight",
+            "avg_freight",
+            *review_measures(),
+        )
+    )
     blocks = [
-        rfm_base(shop.orders, customer),
-        monetary(shop.orders, shop.items, customer),
         payment_behavior(shop.payments, shop.orders, customer),
-        review_behavior(shop.reviews, shop.orders, customer),
         category_behavior(shop.items, shop.products, shop.categories, shop.orders, customer),
         geo_info(shop.customers, customer),
     ]
-    joined = reduce(lambda left, right: left.join(right, customer, "left"), blocks)
+    joined = reduce(lambda left, right: left.join(right, customer, "left"), blocks, base)
     return fill_missing(joined, keep=(customer, "first_order", "last_order"))
 
 
 def spend_base(orders: DataFrame, items: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Recency, frequency and spend only: the input of scores and tiers."""
-    return rfm_base(orders, customer).join(monetary(orders, items, customer), customer, "left").fillna(0.0)
+    facts = (
+        orders.where(F.col(customer).isNotNull())
+        .select("order_id", customer, "order_purchase_timestamp")
+        .join(order_values(items), "order_id", "left")
+    )
+    grouped = facts.groupBy(customer).agg(*rfm_aggregates(), *monetary_aggregates())
+    spent = ["total_spent", "avg_order_value", "total_freight", "avg_freight"]
+    return grouped.select(customer, *rfm_measures(orders), *spent).fillna(0.0, subset=spent)
 
 
 def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool = False) -> DataFrame:
@@ -311,17 +356,12 @@ def customer_master(shop: Shop, customer: str = CUSTOMER) -> DataFrame:
 def cltv_summary(orders: DataFrame, items: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Lifetime-value input: repeat orders, days between first and last order, days since
     the first order, mean order value."""
-    end = latest_purchase(orders)
-    return (
-        rfm_base(orders, customer)
-        .join(monetary(orders, items, customer), customer, "left")
-        .select(
-            customer,
-            (F.col("frequency") - 1).alias("frequency"),
-            F.col("tenure_days").alias("recency"),
-            floor_days(end, F.col("first_order")).alias("age"),
-            F.coalesce("avg_order_value", F.lit(0.0)).alias("mean_value"),
-        )
+    return spend_base(orders, items, customer).select(
+        customer,
+        (F.col("frequency") - 1).alias("frequency"),
+        F.col("tenure_days").alias("recency"),
+        floor_days(latest_purchase(orders), F.col("first_order")).alias("age"),
+        F.col("avg_order_value").alias("mean_value"),
     )
 
 

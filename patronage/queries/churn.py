@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronage.functions.expressions import floor_days, plus_days, plus_months, polarity_class, rounded
+from patronage.functions.joins import lookup_join
 from patronage.operators import churn as ops
 from patronage.operators.scaling import robust_scale, standard_scale
 from patronage.session import materialize
@@ -169,8 +170,8 @@ def semi_join_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of the orders of the test customers."""
     shop = load_shop(spark, sf_dir)
     test = stratified_split(spark, sf_dir).where(F.col("split") == "test")
-    orders = shop.orders.join(test, "customer_id", "left_semi")
-    return shop.reviews.select("review_id", "order_id", "review_score").join(orders, "order_id", "left_semi")
+    orders = lookup_join(shop.orders.select("order_id", "customer_id"), test, "customer_id", "left_semi")
+    return lookup_join(shop.reviews.select("review_id", "order_id", "review_score"), orders, "order_id", "left_semi")
 
 
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,8 +94,9 @@ def orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster summary as JSON records, written and read back."""
     target = scratch_path(spark, "segment-summary")
-    files.write_json_records(segment_summary(spark, sf_dir), target)
-    return spark.read.text(target).withColumnRenamed("value", "record")
+    summary = segment_summary(spark, sf_dir)
+    files.write_json_records(summary, target)
+    return spark.read.schema(summary.schema).json(target)
 
 
 QUERIES = {
