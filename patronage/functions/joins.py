@@ -9,7 +9,13 @@ SALTS = 16
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: str, how: str = "left", max_rows: int = BROADCAST_ROWS, salts: int = SALTS
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    how: str = "left",
+    size_of: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join `facts` with a lookup table by `how` in left, inner or left_semi.
 
@@ -17,9 +23,11 @@ def lookup_join(
     and the check stops reading at the limit. A larger one is joined by shuffle: every key
     of the facts is spread over `salts` partitions by a hash of the row, and the lookup is
     repeated that often, so a hot key is shared by many tasks. The hash makes the spread
-    the same when a task is repeated.
+    the same when a task is repeated. `size_of` names a cheaper table with as many rows as
+    the lookup.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    counted = lookup if size_of is None else size_of
+    if counted.limit(max_rows + 1).count() <= max_rows:
         return facts.join(F.broadcast(lookup), on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))

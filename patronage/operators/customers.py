@@ -22,7 +22,16 @@ from patronage.functions.expressions import (
     round_half_even,
 )
 from patronage.functions.joins import lookup_join
-from patronage.operators.ordering import quantile_table, quintile_bounds, quintile_of_rank, rank_features
+from patronage.operators.ordering import (
+    exact_quantiles,
+    pick_places,
+    quantile_places,
+    quantiles_from,
+    quintile_bounds,
+    quintile_of_rank,
+    quintile_places,
+    rank_features,
+)
 from patronage.session import materialize
 from patronage.sources.shop import Shop
 
@@ -212,7 +221,7 @@ def product_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 def items_with_category(items: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Every item with the category of its product; hot products are salted."""
-    return lookup_join(items, product_categories(products, categories), "product_id")
+    return lookup_join(items, product_categories(products, categories), "product_id", size_of=products)
 
 
 def category_counts(
@@ -310,10 +319,10 @@ def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool =
     `features` is read several times: materialise it when it is expensive.
     """
     ranked = rank_features(features, [customer], ["recency_days", "frequency", "total_spent"])
-    probs = [0.2, 0.4, 0.6, 0.8, *(p for p, _ in SPEND_TIERS)]
-    quantiles = {row["feature"]: row for row in quantile_table(ranked, probs).collect()}
-    bounds = quintile_bounds(ranked.where(F.col("feature") != "recency_days"), customer)
-    edges = [quantiles["recency_days"][f"q{i}"] for i in range(4)]
+    recency, spend = [0.2, 0.4, 0.6, 0.8], [p for p, _ in SPEND_TIERS]
+    picked = pick_places(ranked, [customer], [*quantile_places([*recency, *spend]), *quintile_places()])
+    edges = quantiles_from(picked["recency_days"], recency)
+    bounds = {feature: quintile_bounds(picked[feature]) for feature in ("frequency", "total_spent")}
     key = F.col(customer)
     scored = features.withColumns(
         {
@@ -324,7 +333,7 @@ def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool =
     ).withColumn("RFM_score", rfm_code(F.col("R_score"), F.col("F_score"), F.col("M_score")))
     if not tiers:
         return scored
-    limits = [quantiles["total_spent"][f"q{i}"] for i in range(4, 4 + len(SPEND_TIERS))]
+    limits = quantiles_from(picked["total_spent"], spend)
     return scored.withColumn("value_segment", spend_tier(F.col("total_spent"), limits))
 
 
@@ -339,9 +348,7 @@ def spend_tier(spent: Column, limits: list[float]) -> Column:
 
 def value_segments(features: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Spend tier of every customer from the quartiles and the ninth decile of spend."""
-    ranked = rank_features(features, [customer], ["total_spent"])
-    row = quantile_table(ranked, [p for p, _ in SPEND_TIERS]).first()
-    limits = [row[f"q{i}"] for i in range(len(SPEND_TIERS))]
+    limits = exact_quantiles(features, [customer], ["total_spent"], [p for p, _ in SPEND_TIERS])["total_spent"]
     return features.withColumn("value_segment", spend_tier(F.col("total_spent"), limits))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -165,27 +166,55 @@ def _interpolated(i: int, spot: Column) -> Column:
     return F.when(part < 0.5, low + (high - low) * part).otherwise(high - (high - low) * (1 - part))
 
 
+def pick_places(ranked: DataFrame, keys: Sequence[str], places: Sequence[Column]) -> dict[str, dict[int, tuple]]:
+    """The rows at the given places (from 0), per feature: place -> (value, key …).
+
+    A place is an expression over `total`. The result has as many rows as places are asked
+    for, so it is small enough for the driver; its total is kept under place -1.
+    """
+    place = F.col("rank") - 1
+    wanted = reduce(lambda a, b: a | b, (place == p for p in places))
+    found: dict[str, dict[int, tuple]] = {}
+    for row in ranked.where(wanted).select("feature", "value", *keys, "rank", "total").collect():
+        spots = found.setdefault(row["feature"], {-1: (row["total"],)})
+        spots[row["rank"] - 1] = (row["value"], *(row[k] for k in keys))
+    return found
+
+
+def quantile_places(probs: Sequence[float]) -> list[Column]:
+    spots = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
+    return [x for h in spots for x in (F.floor(h), F.floor(h) + 1)]
+
+
+def quintile_places() -> list[Column]:
+    return [F.floor((F.col("total") - 1) * s / 5) for s in range(1, 5)]
+
+
+def quantiles_from(spots: dict[int, tuple], probs: Sequence[float]) -> list[float]:
+    """Linear interpolation between the picked neighbours, from the nearer end."""
+    total = spots[-1][0]
+    result = []
+    for p in probs:
+        h = (total - 1) * float(p)
+        low = spots[math.floor(h)][0]
+        high = spots.get(math.floor(h) + 1, (low,))[0]
+        part = h - math.floor(h)
+        result.append(low + (high - low) * part if part < 0.5 else high - (high - low) * (1 - part))
+    return result
+
+
+def quintile_bounds(spots: dict[int, tuple]) -> list[tuple]:
+    """Last (value, key) of the first four fifths of a ranked feature."""
+    total = spots[-1][0]
+    return [spots[(total - 1) * s // 5] for s in range(1, 5)]
+
+
 def exact_quantiles(
     df: DataFrame, key: Sequence[str], columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float]]:
     """Quantiles of several columns as plain numbers: one short list per column."""
-    table = quantile_table(rank_features(df, key, columns), probs)
-    return {row["feature"]: [row[f"q{i}"] for i in range(len(probs))] for row in table.collect()}
-
-
-def quintile_bounds(ranked: DataFrame, key: str) -> dict[str, list[tuple]]:
-    """Last (value, key) of the first four fifths of each ranked feature."""
-    fifth = [F.lit(1) + F.floor((F.col("total") - 1) * s / 5) for s in range(1, 5)]
-    rows = ranked.where(F.col("rank").isin(*fifth)).select("feature", "value", key, "rank", "total").collect()
-    bounds: dict[str, dict[int, tuple]] = {}
-    for row in rows:
-        bounds.setdefault(row["feature"], {})[row["rank"]] = (row["value"], row[key], row["total"])
-    result = {}
-    for feature, found in bounds.items():
-        total = next(iter(found.values()))[2]
-        ranks = [1 + (total - 1) * s // 5 for s in range(1, 5)]
-        result[feature] = [found[r][:2] for r in ranks]
-    return result
+    picked = pick_places(rank_features(df, key, columns), [], quantile_places(probs))
+    return {feature: quantiles_from(spots, probs) for feature, spots in picked.items()}
 
 
 def quintile_of_rank(value: Column, key: Column, bounds: list[tuple]) -> Column:

@@ -6,7 +6,7 @@ from patronage.functions.expressions import rounded
 from patronage.operators import clusters as ops, customers, segments
 from patronage.operators.scaling import standard_scale
 from patronage.session import materialize
-from patronage.sources.shop import load_shop
+from patronage.sources.shop import load_shop, read_test_table
 
 STARTS = 5
 FEATURES = segments.BEHAVIOUR
@@ -51,7 +51,7 @@ def k_metric_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings with their given labels as one clustering."""
-    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    table = read_test_table(spark, sf_dir, "embeddings")
     return ops.cluster_quality(
         table.select(F.lit(0).alias("k"), "label", F.transform("embedding", lambda v: v.cast("double")).alias("x")), 64
     )

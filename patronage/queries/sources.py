@@ -17,7 +17,7 @@ ORDER_COLUMNS = (
 
 def scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     adapters.pin_utc(spark)
-    return rounded(adapters._read(spark, sf_dir, "orders"))
+    return rounded(adapters.read_test_table(spark, sf_dir, "orders"))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def coerce_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
-    return files.load_into_catalog(dict(vars(shop)), "patronage_raw", f"{scratch_path(spark, 'warehouse')}")
+    return files.load_into_catalog(shop.tables(), "patronage_raw", f"{scratch_path(spark, 'warehouse')}")
 
 
 def null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,41 +2,78 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from patronage.session import pin_utc
+from patronage.sources.schemas import RAW_TABLES
 
 
-@dataclass(frozen=True)
 class Shop:
-    """Named input tables. The key types are whatever the source delivers."""
+    """Named input tables, each opened when it is first used.
 
-    orders: DataFrame
-    items: DataFrame
-    payments: DataFrame
-    reviews: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    categories: DataFrame
+    The tables are orders, items, payments, reviews, customers, products and categories.
+    The key types are whatever the source delivers.
+    """
+
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]) -> None:
+        self._sources = sources
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._sources:
+            raise AttributeError(name)
+        source = self._sources[name]
+        table = source if isinstance(source, DataFrame) else source()
+        setattr(self, name, table)
+        return table
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self._sources}
+
+
+SHOP_TABLES = ("orders", "items", "payments", "reviews", "customers", "products", "categories")
 
 
 def read_shop(spark: SparkSession, folder: str) -> Shop:
-    """Shop tables stored as one parquet folder per table."""
+    """Shop tables stored as one parquet folder per table, read with their fixed schemas."""
     pin_utc(spark)
-    names = ("orders", "items", "payments", "reviews", "customers", "products", "categories")
-    return Shop(**{name: spark.read.parquet(f"{folder}/{name}") for name in names})
 
+    def opened(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(RAW_TABLES[name]).parquet(f"{folder}/{name}")
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    naive = [f.name for f in df.schema if f.dataType.typeName() == "timestamp_ntz"]
-    return df.withColumns({name: F.col(name).cast("timestamp") for name in naive}) if naive else df
+    return Shop(**{name: opened(name) for name in SHOP_TABLES})
+
+
+# columns of the test tables; naive timestamps are read as UTC
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp"
+    ),
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
+def read_test_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A fixed schema spares the job that would read the footer."""
+    return spark.read.schema(TEST_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def adapt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").selectExpr(
+    return read_test_table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         """CASE WHEN o_orderkey % 20 = 0 THEN 'canceled'
@@ -52,7 +89,7 @@ def adapt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "lineitem").selectExpr(
+    return read_test_table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id",
         "l_linenumber AS order_item_id",
         "l_partkey AS product_id",
@@ -64,7 +101,7 @@ def adapt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "lineitem").selectExpr(
+    return read_test_table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id",
         "l_linenumber AS payment_sequential",
         """CASE WHEN l_returnflag = 'A' THEN 'credit_card' WHEN l_returnflag = 'N' THEN 'boleto'
@@ -75,8 +112,8 @@ def adapt_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _read(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
-    texts = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    events = read_test_table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
+    texts = read_test_table(spark, sf_dir, "documents").select("doc_id", "text")
     return events.join(texts, events.event_id == texts.doc_id, "left").selectExpr(
         "event_id AS review_id",
         "CASE WHEN event_id % 7 = 1 THEN event_id - 1 ELSE event_id END AS order_id",
@@ -88,9 +125,9 @@ def adapt_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _read(spark, sf_dir, "customer")
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
+    customer = read_test_table(spark, sf_dir, "customer")
+    nation = read_test_table(spark, sf_dir, "nation")
+    region = read_test_table(spark, sf_dir, "region")
     return (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
@@ -105,7 +142,7 @@ def adapt_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "part").selectExpr(
+    return read_test_table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS product_id",
         "CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_brand END AS product_category_name",
     )
@@ -113,7 +150,7 @@ def adapt_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def adapt_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _read(spark, sf_dir, "part")
+        read_test_table(spark, sf_dir, "part")
         .where("p_brand <> 'Brand#13'")
         .selectExpr(
             "p_brand AS product_category_name",
@@ -126,15 +163,16 @@ def adapt_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_shop(spark: SparkSession, sf_dir: str) -> Shop:
     """Shop tables derived from the driver's parquet files."""
     pin_utc(spark)
-    return Shop(
-        orders=adapt_orders(spark, sf_dir),
-        items=adapt_items(spark, sf_dir),
-        payments=adapt_payments(spark, sf_dir),
-        reviews=adapt_reviews(spark, sf_dir),
-        customers=adapt_customers(spark, sf_dir),
-        products=adapt_products(spark, sf_dir),
-        categories=adapt_categories(spark, sf_dir),
-    )
+    adapters = {
+        "orders": adapt_orders,
+        "items": adapt_items,
+        "payments": adapt_payments,
+        "reviews": adapt_reviews,
+        "customers": adapt_customers,
+        "products": adapt_products,
+        "categories": adapt_categories,
+    }
+    return Shop(**{name: partial(adapt, spark, sf_dir) for name, adapt in adapters.items()})
 
 
 def load_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
