@@ -20,7 +20,7 @@ from patronage.functions.expressions import (
     round_half_even,
 )
 from patronage.functions.joins import lookup_join
-from patronage.operators.customers import CUSTOMER, latest_purchase, order_reviews
+from patronage.operators.customers import CUSTOMER, latest_purchase, order_payments, order_reviews, payment_types
 from patronage.operators.ordering import exact_quantiles, quantile_table, rank_features
 from patronage.operators.scaling import robust_scale
 from patronage.session import materialize
@@ -481,7 +481,7 @@ def rfm_historical(
         orders.where(F.col(customer).isNotNull() & in_window(orders, customer, by_split=by_split, seed=seed))
         .select("order_id", customer)
         .join(order_lines(items), "order_id", "left")
-        .join(order_payments(payments), "order_id", "left")
+        .join(per_order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(*history_aggregates(F.lit(True), dedupe))
         .select(customer, split_of(F.col(customer), seed).alias("split"), *history_measures(variant))
@@ -508,7 +508,7 @@ def rfm_shipping_features(
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer, "order_purchase_timestamp")
         .join(order_lines(items), "order_id", "left")
-        .join(order_payments(payments), "order_id", "left")
+        .join(per_order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(
             F.max("order_purchase_timestamp").alias("last_purchase"),
@@ -538,31 +538,8 @@ def rfm_shipping_features(
 # ---- payments ------------------------------------------------------------------------------
 
 
-def order_payments(payments: DataFrame) -> DataFrame:
-    """One row per order: instalments, distinct types, values.
-
-    Counted per order and type first, so a heavy order is collapsed before the shuffle.
-    """
-    return (
-        payments.groupBy("order_id", "payment_type")
-        .agg(
-            F.max("payment_installments").alias("max_inst"),
-            F.sum("payment_installments").alias("sum_inst"),
-            F.count("payment_installments").alias("n_inst"),
-            F.sum("payment_value").alias("value"),
-            F.count("payment_value").alias("n_value"),
-            F.max("payment_sequential").alias("max_seq"),
-        )
-        .groupBy("order_id")
-        .agg(
-            F.max("max_inst").alias("install_max"),
-            (F.sum("sum_inst") / F.nullif(F.sum("n_inst"), F.lit(0))).alias("install_mean"),
-            F.count("payment_type").alias("n_types"),
-            F.coalesce(F.sum("value"), F.lit(0.0)).alias("paid"),
-            (F.sum("value") / F.nullif(F.sum("n_value"), F.lit(0))).alias("value_mean"),
-            F.max("max_seq").alias("n_methods"),
-        )
-    )
+def per_order_payments(payments: DataFrame) -> DataFrame:
+    return order_payments(payments, payment_types(payments))
 
 
 # source column and name of the payment means; the first and the type mean feed the flags
@@ -597,7 +574,7 @@ def payment_features(
     return (
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer)
-        .join(order_payments(payments), "order_id", "left")
+        .join(per_order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(*payment_aggregates(variant))
         .select(customer, *payment_measures(variant))
@@ -607,7 +584,7 @@ def payment_features(
 def payment_complexity(payments: DataFrame, orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Shares of orders with several methods, several types or many instalments, and a
     stress score from them. Shares are over the orders that have payments."""
-    flags = order_payments(payments).select(
+    flags = per_order_payments(payments).select(
         "order_id",
         flag(F.col("n_methods") > 1).alias("methods"),
         flag(F.col("n_types") > 1).alias("types"),
@@ -697,7 +674,7 @@ def churn_dataset(
         .select("order_id", customer, "order_status", "order_purchase_timestamp", "days_diff", "actual_days", "_inside")
         .join(order_reviews(shop.reviews), "order_id", "left")
         .join(order_lines(shop.items), "order_id", "left")
-        .join(order_payments(shop.payments), "order_id", "left")
+        .join(per_order_payments(shop.payments), "order_id", "left")
     )
     grouped = (
         facts.groupBy(customer)

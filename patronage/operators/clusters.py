@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,10 +27,18 @@ def behaviour_vectors(
     return assembler.transform(standard_scale(filled, features)).select(customer, "features")
 
 
-def fit_kmeans(vectors: DataFrame, k: int = 5, n_init: int = 50, seed: int = SEED) -> KMeansModel:
-    """Best of `n_init` starts by within-cluster cost. `vectors` should be cached."""
-    starts = (KMeans(k=k, seed=seed + i).fit(vectors) for i in range(n_init))
-    return min(starts, key=lambda model: model.summary.trainingCost)
+def fit_kmeans(
+    vectors: DataFrame, k: int = 5, n_init: int = 50, seed: int = SEED, parallelism: int = 4
+) -> KMeansModel:
+    """Best of `n_init` starts by within-cluster cost, the first on ties.
+
+    A few starts are submitted at a time, so that their many short jobs overlap.
+    `vectors` should be cached.
+    """
+    fit = inheritable_thread_target(vectors.sparkSession)(lambda i: KMeans(k=k, seed=seed + i).fit(vectors))
+    with ThreadPool(min(parallelism, n_init)) as pool:
+        models = pool.map(fit, range(n_init))
+    return min(models, key=lambda model: model.summary.trainingCost)
 
 
 def kmeans_segments(
