@@ -92,6 +92,10 @@ SELECT o.customer_id, {rnd("avg(r.review_score)", 3)} AS review_score_mean, min(
   {share("(r.review_score >= 4 AND tone = 'negative') OR (r.review_score <= 2 AND tone = 'positive')")} AS mismatch_ratio,
   {share("tone = 'negative'")} AS negative_ratio
 FROM b_polarity r JOIN c_orders o USING (order_id) GROUP BY o.customer_id""")
+SENTIMENT = ["review_score_mean", "review_score_min", "sentiment_mean", "sentiment_std", "negative_ratio", "mismatch_ratio"]
+block("b_sentiment_all", "SELECT c.customer_id, CASE WHEN s.customer_id IS NULL THEN 0 ELSE 1 END AS has_review, "
+      + ", ".join(f"coalesce({c}, 0) AS {c}" for c in SENTIMENT)
+      + " FROM (SELECT DISTINCT customer_id FROM c_orders) c LEFT JOIN b_sentiment s USING (customer_id)")
 block("b_split_latest", """
 SELECT split, max(order_purchase_timestamp) AS latest FROM c_orders JOIN b_split USING (customer_id) GROUP BY split""")
 block("b_window_rows", """
@@ -238,6 +242,8 @@ SELECT c.customer_id, coalesce(review_score_mean, 0) AS review_score_mean, coale
   CASE WHEN s.customer_id IS NULL THEN 0 ELSE 1 END AS has_review,
   {rnd('coalesce(negative_ratio, 0)')} AS negative_ratio, {rnd('coalesce(mismatch_ratio, 0)')} AS mismatch_ratio
 FROM (SELECT DISTINCT customer_id FROM c_orders) c LEFT JOIN b_sentiment s USING (customer_id)""",
+    "review_sentiment_scaled": "SELECT customer_id, has_review, "
+    + ", ".join(f"{rnd(scaled(c, 'b_sentiment_all'))} AS {c}" for c in SENTIMENT) + " FROM b_sentiment_all",
     "sentiment_class": "SELECT tone AS sentiment_class, count(*) AS reviews FROM b_polarity GROUP BY tone",
     "historical_window": f"""
 SELECT order_id, customer_id, order_purchase_timestamp FROM c_orders

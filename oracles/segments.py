@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from oracles.blocks import block, cols, quantile, rnd, statement
+from oracles.blocks import block, quantile, rnd, statement
 from oracles.churn import ALL_FEATURES
 
 # fixed values, as in the operators

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from patronage.operators.customers import CUSTOMER
 from patronage.operators.scaling import standard_scale
 from patronage.operators.segments import BEHAVIOUR
+from patronage.session import materialize
 
 SEED = 42
 
@@ -48,7 +49,8 @@ def kmeans_segments(
     the centre, so that the numbers do not depend on the start."""
     cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = fit_kmeans(cached, k, n_init, seed)
-    predicted = model.transform(cached)
+    predicted = materialize(model.transform(cached))
+    cached.unpersist()
     sizes = {r["prediction"]: r["count"] for r in predicted.groupBy("prediction").count().collect()}
     centers = model.clusterCenters()
     order = sorted(range(len(centers)), key=lambda c: (-sizes.get(c, 0), *centers[c]))
@@ -151,7 +153,9 @@ def kmeans_k_search(
         model = fit_kmeans(cached, k, n_init, seed).setPredictionCol(f"label_{k}")
         labelled = model.transform(labelled)
     choices = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"label_{k}").alias("label")) for k in ks))
-    long = labelled.select(vector_to_array("features").alias("x"), F.explode(choices).alias("c")).select("x", "c.*")
+    labelled = materialize(labelled.select(vector_to_array("features").alias("x"), choices.alias("choices")))
+    cached.unpersist()
+    long = labelled.select("x", F.explode("choices").alias("c")).select("x", "c.*")
     return cluster_quality(long, dimensions)
 
 

@@ -112,6 +112,11 @@ def review_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(spark)))
 
 
+def review_sentiment_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shop = load_shop(spark, sf_dir)
+    return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(spark), scaled=True))
+
+
 def sentiment_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     polarity = ops.review_polarity(load_shop(spark, sf_dir).reviews, lexicon(spark))
     tone = polarity_class(F.col("polarity"))
@@ -247,6 +252,7 @@ QUERIES = {
     "describe_features": describe_features,
     "review_features": review_features,
     "review_sentiment": review_sentiment,
+    "review_sentiment_scaled": review_sentiment_scaled,
     "sentiment_class": sentiment_class,
     "historical_window": historical_window,
     "rfm_historical": rfm_historical,

@@ -70,6 +70,11 @@ def pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.pca_projection(ops.fit_pca(clustered), clustered))
 
 
+def pca_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster centres in the plane of the components."""
+    return rounded(ops.projected_centers(pca_projection(spark, sf_dir)))
+
+
 def pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.pca_loadings(ops.fit_pca(vectors(spark, sf_dir)), FEATURES, spark))
 
@@ -91,6 +96,7 @@ QUERIES = {
     "davies_bouldin": davies_bouldin,
     "silhouette": silhouette,
     "pca_projection": pca_projection,
+    "pca_centers": pca_centers,
     "pca_loadings": pca_loadings,
     "behavioral_segment_profile": behavioral_segment_profile,
 }

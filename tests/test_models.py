@@ -88,8 +88,6 @@ def test_k_search(vectors):
 
 
 def test_silhouette_equals_all_pairs(spark):
-    import itertools
-
     points = [(0, 0, [0.0, 0.0]), (0, 0, [0.0, 1.0]), (0, 1, [5.0, 5.0]), (0, 1, [6.0, 5.0]), (0, 2, [9.0, 0.0])]
     df = spark.createDataFrame(points, "k int, label int, x array<double>")
     d2 = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
@@ -107,7 +105,7 @@ def test_silhouette_equals_all_pairs(spark):
         widths.append((b - a) / max(a, b))
     row = clusters.cluster_quality(df, 2).first()
     assert abs(row["silhouette"] - sum(widths) / len(widths)) < 1e-9
-    assert itertools is not None and row["inertia"] == 1.0
+    assert row["inertia"] == 1.0
 
 
 def test_jobs_write_their_outputs(spark):
@@ -120,7 +118,20 @@ def test_jobs_write_their_outputs(spark):
     assert spark.read.parquet(f"{target}/segments/customers").count() == 150
     assert spark.read.json(f"{target}/segments/summary").count() == 3
     jobs.build_churn_dataset(data, f"{target}/churn")
-    assert spark.read.parquet(f"{target}/churn").groupBy("split").count().count() == 3
+    whole = jobs.load_churn_dataset(spark, f"{target}/churn")
+    parts = [jobs.load_churn_dataset(spark, f"{target}/churn", split).count() for split in ("train", "val", "test")]
+    assert sum(parts) == whole.count() == 150 and all(parts)
+
+
+def test_shop_is_read_from_parquet_folders(spark):
+    from patronage.operators.customers import rfm_base
+    from patronage.sources.shop import read_shop
+    from shop_data import order, shop
+
+    folder = scratch_path(spark, "shop")
+    for name, table in shop(spark, orders=[order("1", "x", "2018-01-01")]).tables().items():
+        table.write.parquet(f"{folder}/{name}")
+    assert rfm_base(read_shop(spark, folder).orders).first()["frequency"] == 1
 
 
 def test_existing_target_is_kept(spark):
