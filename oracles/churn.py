@@ -84,7 +84,7 @@ SELECT r.review_id, r.order_id, r.review_score, coalesce(p.polarity, 0) AS polar
   CASE WHEN coalesce(p.polarity, 0) <= -0.1::DOUBLE THEN 'negative' WHEN coalesce(p.polarity, 0) <= 0.1::DOUBLE THEN 'neutral'
        ELSE 'positive' END AS tone
 FROM c_reviews r
-LEFT JOIN (SELECT review_id, avg(polarity) AS polarity FROM b_words JOIN b_lexicon USING (word) GROUP BY review_id) p USING (review_id)
+LEFT JOIN (SELECT review_id, round(avg(polarity), 10) AS polarity FROM b_words JOIN b_lexicon USING (word) GROUP BY review_id) p USING (review_id)
 WHERE r.review_comment_message IS NOT NULL""")
 block("b_sentiment", f"""
 SELECT o.customer_id, {rnd("avg(r.review_score)", 3)} AS review_score_mean, min(r.review_score) AS review_score_min,

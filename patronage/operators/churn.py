@@ -312,7 +312,9 @@ def review_polarity(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
 
     Texts are split into words where they lie. With a broadcast lexicon the words of a
     review stay in its partition, and the partial aggregation shuffles one small row per
-    review. A review is identified by review and order, because review ids may repeat.
+    review. A review is identified by review and order, because review ids may repeat. The
+    mean is rounded to ten digits: the order of summation must not decide on which side of
+    a class limit it falls.
     """
     words = F.explode_outer(F.split(F.lower("review_comment_message"), "[^a-z]+"))
     spoken = reviews.dropna(subset=["review_comment_message"]).select(
@@ -323,7 +325,7 @@ def review_polarity(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
         .groupBy("review_id", "order_id")
         .agg(
             F.max("review_score").alias("review_score"),
-            F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("polarity"),
+            F.coalesce(F.round(F.avg("polarity"), 10), F.lit(0.0)).alias("polarity"),
         )
     )
 

@@ -59,18 +59,28 @@ def dashboard_bundle(
     return single.select(F.to_json(F.struct(*parts)).alias("bundle"))
 
 
-def run(shop: Shop, output: str, trials: int = models.TRIALS) -> dict[str, float]:
-    """Train the baselines, tune the best one, write results, importances, model and bundle."""
+def run(
+    shop: Shop,
+    output: str,
+    trials: int = models.TRIALS,
+    folds: int = 5,
+    logistic_grid: Sequence[float] = models.LOGISTIC_GRID,
+    gbt_grid: Sequence[dict] = models.GBT_GRID,
+    ranges: dict = models.SEARCH_RANGES,
+) -> Trained:
+    """Train the baselines, tune the best kind, write results, importances, model and bundle."""
     dataset = materialize(churn.churn_dataset(shop))
     prepared = models.prepare(dataset)
     spark = dataset.sparkSession
-    baselines = [models.train_logistic(prepared), models.train_gbt(prepared), models.train_forest(prepared)]
-    comparison = materialize(models.model_comparison(baselines, prepared))
-    best = comparison.where((F.col("is_best") == 1)).first()["model"]
-    family = models.LOGISTIC if best == models.LOGISTIC else models.BOOSTED
-    tuned = models.tune_model(prepared, family, trials)
+    baselines = [
+        models.train_logistic(prepared, logistic_grid, folds),
+        models.train_gbt(prepared, gbt_grid, folds),
+    ]
+    best = models.model_comparison(baselines, prepared).where(F.col("is_best") == 1).first()["model"]
+    tuned = models.tune_model(prepared, best, trials, ranges=ranges)
     files.write_csv(models.model_comparison([*baselines, tuned], prepared), f"{output}/model_results")
     files.write_csv(models.feature_importance(tuned, prepared, spark), f"{output}/feature_importance")
     models.save_model(tuned, f"{output}/model")
-    dashboard_bundle(shop, prepared, baselines, tuned).write.mode("overwrite").text(f"{output}/dashboard")
-    return {"cv_auc": tuned.cv_auc}
+    bundle = dashboard_bundle(shop, prepared, baselines, tuned)
+    bundle.write.mode("overwrite").text(f"{output}/dashboard")
+    return tuned

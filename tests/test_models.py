@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from patronage.operators import clusters, models
 from patronage.operators.customers import customer_features
 from patronage.operators.churn import churn_dataset
-from patronage.plans import jobs
+from patronage.plans import jobs, modelling
 from patronage.session import materialize, scratch_path
 from patronage.sources import files
 from patronage.sources.shop import load_shop
@@ -141,3 +141,23 @@ def test_existing_target_is_kept(spark):
     other = scratch_path(spark, "csv")
     files.write_csv(spark.range(9).selectExpr("cast(id as string) AS product_id"), other)
     assert files.csv_to_parquet(spark, other, target, "product_id string").count() == 3
+
+
+def test_modelling_job(spark):
+    import json
+
+    target = scratch_path(spark, "modelling")
+    small = {"maxIter": 2, "stepSize": 0.1, "maxDepth": 2}
+    ranges = {"maxIter": (2, 3), "stepSize": (0.1, 0.3), "maxDepth": (2, 3), "C": (0.1, 10.0)}
+    tuned = modelling.run(
+        load_shop(spark, "/root/testdata/sf0.001"), target, 2, 2, logistic_grid=[1.0], gbt_grid=[small], ranges=ranges
+    )
+    bundle = json.loads(spark.read.text(f"{target}/dashboard").first()[0])
+    assert {"modelComparison", "featureImportance", "optimizationHistory", "thresholdOptimization"} <= set(bundle)
+    assert len(bundle["optimizationHistory"]) == 2 and len(bundle["riskSegmentation"]) == 3
+    thresholds = [t["threshold"] for t in bundle["thresholdOptimization"]]
+    assert bundle["recommendedThreshold"] in thresholds and {0.3, 0.9} <= set(thresholds)
+    importances = [f["importance"] for f in bundle["featureImportance"]]
+    assert importances == sorted(importances, reverse=True)
+    assert spark.read.option("header", True).csv(f"{target}/model_results").count() == 3
+    assert models.load_model(tuned, f"{target}/model").model is not None
