@@ -2,35 +2,21 @@ from __future__ import annotations
 
 from oracles.blocks import block, quantile, rnd, statement
 from oracles.churn import ALL_FEATURES
+from patronage.operators.segments import (
+    CLUSTER_NAMES,
+    FEATURE_ADVICE,
+    INSIGHTS,
+    OTHER_FEATURE_ADVICE,
+    RECOMMENDATIONS,
+    RFM_SEGMENTS,
+    STANDARD_HAPPY,
+    STANDARD_OTHER,
+)
 
-# fixed values, as in the operators
-SEGMENTS = [
-    ("Champions", "555 554 544 545 454 455 445"),
-    ("Loyal Customers", "543 444 435 355 354 345 344 335"),
-    ("Potential Loyalists", "512 511 422 421 412 411 311"),
-    ("New Customers", "553 551 552 541 542 533 532 531 452 451"),
-    ("Promising", "155 154 144 214 215 115 114"),
-    ("Need Attention", "155 254 245 253 252 243 244 235 234 225 224 153 152"),
-    ("About to Sleep", "331 321 231 241 251"),
-    ("At Risk", "155 144 214 215 115 114 113"),
-    ("Cannot Lose Them", "125 124 123 122 132 131 121 212 211"),
-    ("Hibernating", "432 423 353 334 343 323 313"),
-]
-ADVICE = {
-    "Champions": "Reward them. Can be early adopters for new products. Will promote your brand.",
-    "Loyal Customers": "Upsell higher value products. Ask for reviews. Engage them.",
-    "Potential Loyalists": "Offer membership or loyalty program. Recommend other products.",
-    "New Customers": "Provide on-boarding support, give them early success, start building relationship.",
-    "Promising": "Create brand awareness, offer free trials.",
-    "Need Attention": "Make limited time offers. Recommend based on past purchases. Reactivate them.",
-    "About to Sleep": "Share valuable resources, recommend popular products / renewals at discount, reconnect with them.",
-    "At Risk": "Send personalized emails to reconnect, offer renewals, provide helpful resources.",
-    "Cannot Lose Them": "Win them back via renewals or newer products, don''t lose them to competition, talk to them.",
-    "Hibernating": "Offer other product categories, special discounts, recreate brand value.",
-    "Lost": "Revive interest with reach out campaign, ignore otherwise.",
-}
+# one text is needed on both sides; DuckDB doubles quotes
+ADVICE = {segment: text.replace("'", "''") for segment, text in INSIGHTS.items()}
 block("b_segmented", "SELECT s.*, f.recency_days, f.frequency, f.total_spent, f.avg_order_value, CASE "
-      + " ".join(f"WHEN RFM_score IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name}'" for name, codes in SEGMENTS)
+      + " ".join(f"WHEN RFM_score IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name}'" for name, codes in RFM_SEGMENTS)
       + " ELSE 'Lost' END AS RFM_segment FROM b_scores s JOIN b_spend f USING (customer_id)")
 block("b_clustered", "SELECT *, (customer_id % 5)::INT AS cluster FROM b_features")
 block("b_summary", f"""
@@ -39,9 +25,7 @@ SELECT cluster, count(*) AS customers, {rnd('100 * count(*) / (SELECT count(*) F
   {rnd('avg(avg_review_score)', 2)} AS "avgReviewScore", {rnd('avg(review_rate)', 2)} AS "reviewRate",
   {rnd('avg(category_diversity)', 2)} AS "categoryDiversity"
 FROM b_clustered GROUP BY cluster""")
-block("b_names", """
-SELECT * FROM (VALUES (0, 'Budget Conscious', 'standard'), (1, 'High-Value Premium', 'premium'), (2, 'Payment Diversified', 'standard'),
-  (3, 'Dissatisfied Regular', 'at-risk'), (4, 'Low Engagement', 'low-value')) AS t(cluster, name, type)""")
+block("b_names", f"SELECT * FROM (VALUES {', '.join(map(repr, CLUSTER_NAMES))}) AS t(cluster, name, type)")
 block("b_enriched", """
 SELECT s.*, n.name, n.type, floor("avgOrderValue" + 0.5)::BIGINT AS "annualValue",
   floor(customers * "avgOrderValue" + 0.5)::BIGINT AS "totalValue"
@@ -72,6 +56,10 @@ SELECT cluster, '{c}' AS feature, {rnd(f"avg({c})", 3)} AS mean, {rnd(median, 3)
 FROM b_clustered GROUP BY cluster"""
 
 
+def by_type(i: int, standard: str) -> str:
+    return "CASE type " + " ".join(f"WHEN '{t}' THEN '{texts[i]}'" for t, texts in RECOMMENDATIONS.items()) + f" ELSE {standard} END"
+
+
 SQL = {
     "rfm_segments": "SELECT customer_id, RFM_score, RFM_segment FROM b_segmented",
     "segment_distribution": f"""
@@ -123,25 +111,17 @@ SELECT sum(customers)::BIGINT AS "totalCustomers", sum("totalValue")::BIGINT AS
 SELECT 'Cluster ' || cluster AS cluster, floor("avgOrderValue" / 400 * 100 + 0.5)::BIGINT AS "Order Value",
   floor("avgReviewScore" / 5 * 100 + 0.5)::BIGINT AS "Review Score", floor("avgInstallments" / 10 * 100 + 0.5)::BIGINT AS "Installments",
   floor("categoryDiversity" * 100 + 0.5)::BIGINT AS "Category Diversity", floor("reviewRate" * 100 + 0.5)::BIGINT AS "Review Rate" FROM b_summary""",
-    "segment_recommendation": """
-SELECT cluster, CASE type WHEN 'premium' THEN 'High-Value Premium' WHEN 'at-risk' THEN 'Dissatisfied Regular' WHEN 'low-value' THEN 'Low Engagement' ELSE name END AS title,
-  CASE type WHEN 'premium' THEN 'VIP programs, exclusive early access, premium support, flexible financing options. These customers drive profit.'
-    WHEN 'at-risk' THEN 'URGENT: Root cause analysis, quality improvements, proactive outreach, service recovery programs.'
-    WHEN 'low-value' THEN 'Onboarding improvements, product discovery features, personalized recommendations, win-back campaigns.'
-    ELSE CASE WHEN "avgReviewScore" > 4.5 THEN 'Volume discounts, loyalty rewards, bundle deals. Happy customers who value good prices - your foundation.'
-      ELSE 'Payment innovation testing, cross-sell opportunities, financial service partnerships. Tech-savvy segment.' END END AS description,
-  CASE type WHEN 'premium' THEN 'Short-term' WHEN 'at-risk' THEN 'Immediate' WHEN 'low-value' THEN 'Short-term' ELSE 'Long-term' END AS priority,
-  CASE type WHEN 'premium' THEN 'green' WHEN 'at-risk' THEN 'red' WHEN 'low-value' THEN 'orange' ELSE 'blue' END AS color
+    "segment_recommendation": f"""
+SELECT cluster, {by_type(0, 'name')} AS title,
+  {by_type(1, f"CASE WHEN avgReviewScore > 4.5 THEN '{STANDARD_HAPPY}' ELSE '{STANDARD_OTHER}' END")} AS description,
+  {by_type(2, "'Long-term'")} AS priority, {by_type(3, "'blue'")} AS color
 FROM b_enriched""",
     "top_features": f"SELECT feature, {rnd('importance')} AS importance FROM b_importance WHERE place <= 10",
     "feature_titles": f"SELECT feature, title, {rnd('importance')} AS importance FROM b_importance JOIN b_titles USING (feature)",
     "feature_advice": f"""
 SELECT title AS feature, {rnd('importance')} AS importance, CASE WHEN coefficient > 0 THEN 'increases' ELSE 'decreases' END AS impact,
-  CASE WHEN contains(feature, 'recency') THEN 'Monitor customer engagement frequency and implement re-engagement campaigns'
-    WHEN contains(feature, 'frequency') THEN 'Focus on increasing purchase frequency through personalized recommendations'
-    WHEN contains(feature, 'monetary') OR contains(feature, 'value') THEN 'Implement value-based retention strategies and upselling programs'
-    WHEN contains(feature, 'days') THEN 'Create time-based triggers for proactive customer outreach'
-    ELSE 'Develop targeted interventions for this key risk factor' END AS advice
+  CASE {' '.join(f"WHEN {' OR '.join(f'contains(feature, {word!r})' for word in words)} THEN '{text}'" for words, text in FEATURE_ADVICE)}
+    ELSE '{OTHER_FEATURE_ADVICE}' END AS advice
 FROM b_importance JOIN b_titles USING (feature) WHERE place <= 3""",
 }
 
