@@ -18,7 +18,8 @@ def build_session(app_name: str = "patronage", master: str | None = None, **sett
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # checkpoints are removed once nothing refers to them
+        # checkpoints are compressed, and removed once nothing refers to them
+        "spark.checkpoint.compress": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **settings}.items():

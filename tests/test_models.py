@@ -9,12 +9,13 @@ from patronage.session import materialize, scratch_path
 from patronage.sources import files
 from patronage.sources.shop import load_shop
 
+SMALL = "/root/testdata/sf0.001"
 SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
 def prepared(spark):
-    return models.prepare(materialize(churn_dataset(load_shop(spark, SF_DIR))))
+    return models.prepare(materialize(churn_dataset(load_shop(spark, SMALL))))
 
 
 @pytest.fixture(scope="module")
@@ -72,7 +73,7 @@ def test_tuning_history(spark, prepared):
 
 @pytest.fixture(scope="module")
 def vectors(spark):
-    return clusters.behaviour_vectors(materialize(customer_features(load_shop(spark, "/root/testdata/sf0.001")))).persist()
+    return clusters.behaviour_vectors(materialize(customer_features(load_shop(spark, SMALL)))).persist()
 
 
 def test_clusters_are_numbered_by_size(vectors):
@@ -109,7 +110,7 @@ def test_silhouette_equals_all_pairs(spark):
 
 
 def test_jobs_write_their_outputs(spark):
-    data = load_shop(spark, "/root/testdata/sf0.001")
+    data = load_shop(spark, SMALL)
     target = scratch_path(spark, "jobs")
     jobs.build_customer_master(data, f"{target}/master")
     master = spark.read.parquet(f"{target}/master")
@@ -150,7 +151,7 @@ def test_modelling_job(spark):
     small = {"maxIter": 2, "stepSize": 0.1, "maxDepth": 2}
     ranges = {"maxIter": (2, 3), "stepSize": (0.1, 0.3), "maxDepth": (2, 3), "C": (0.1, 10.0)}
     tuned = modelling.run(
-        load_shop(spark, "/root/testdata/sf0.001"), target, 2, 2, logistic_grid=[1.0], gbt_grid=[small], ranges=ranges
+        load_shop(spark, SMALL), target, 2, 2, logistic_grid=[1.0], gbt_grid=[small], ranges=ranges
     )
     bundle = json.loads(spark.read.text(f"{target}/dashboard").first()[0])
     assert {"modelComparison", "featureImportance", "optimizationHistory", "thresholdOptimization"} <= set(bundle)
