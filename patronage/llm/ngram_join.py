@@ -18,7 +18,8 @@ A document is the set of its distinct word n-grams (here: tokens). Two documents
 5. Documents under one key are compared with its hub, the document with the fewest rare tokens.
    Only documents that are then still in different components are compared pairwise, so a group of
    thousands of near copies costs one comparison each.
-6. Every link is verified on the whole sets.
+6. The number of shared single-token keys bounds what a pair can have in common; most pairs end here.
+7. Every link is verified on the whole sets.
 
 Null or empty texts have the empty set and link with nothing. Rows with a null doc_id are returned
 with a null component. Rows that repeat a doc_id are returned each; their links meet in the id.
@@ -179,6 +180,23 @@ def _signatures(documents: DataFrame, size: int, percent: int, table) -> DataFra
     return documents.select("doc_id", "text").mapInArrow(sign, schema)
 
 
+def _promising(met: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a < b) whose sets can be similar, given how many single-token keys they share.
+
+    Both key lists hold all rare tokens up to the end of the shorter prefix, so tokens that the pair
+    has in common are shared keys or lie behind a prefix.
+    """
+    prefix = f"least({{0}}_rare, {{0}}_size - ({percent} * {{0}}_size + 99) div 100 + 1)"
+    behind = f"greatest(x_size - {prefix.format('x')}, y_size - {prefix.format('y')})"
+    return (
+        met.selectExpr("least(a, b) as a", "greatest(a, b) as b", "x_size + y_size as sizes", f"{behind} as behind", "1 - abs(key % 2) as single")
+        .groupBy("a", "b")
+        .agg(F.max("sizes").alias("sizes"), F.max("behind").alias("behind"), F.sum("single").alias("shared"))
+        .where(f"{100 + percent} * (shared + behind) >= {percent} * sizes")
+        .select("a", "b")
+    )
+
+
 def _verified(pairs: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -261,17 +279,15 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
         f"(key % 2 = 0 or ({100 + percent} * (x_rare + y_rare) <= {100 - percent} * (x_size + y_size) and "
         f"{100 + percent} * least(x_size - x_rare, y_size - y_rare) >= {percent} * (x_size + y_size)))"
     )
-    stars = store(
+    counted = (
         shared.where("doc_id <> hub.doc_id")
         .selectExpr(
-            "key", "doc_id", "hub.doc_id as hub", "n_shingles as x_size", "hub.n_shingles as y_size",
+            "key", "doc_id as a", "hub.doc_id as b", "n_shingles as x_size", "hub.n_shingles as y_size",
             "n_rare as x_rare", "hub.n_rare as y_rare",
         )
         .where(fits)
-        .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-        .distinct(),
-        "stars",
     )
+    stars = store(_promising(counted, percent), "stars")
     links = store(_verified(stars, documents, size, percent), "links")
     found = connected_components(links.unionByName(copies))
     # documents of one key that are still apart
@@ -282,10 +298,8 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
     open_keys = store(placed.join(apart.select("key"), "key").select("key", "doc_id", "n_shingles", "n_rare", "component"), "open")
     x = open_keys.selectExpr("key", "doc_id as a", "n_shingles as x_size", "n_rare as x_rare", "component as x")
     y = open_keys.selectExpr("key", "doc_id as b", "n_shingles as y_size", "n_rare as y_rare", "component as y")
-    rest = store(
-        x.join(y, "key").where("x < y").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"),
-        "pairs",
-    )
+    met_again = x.join(y, "key").where("x < y").where(fits)
+    rest = store(_promising(met_again, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
     more = store(_verified(rest, documents, size, percent), "links")
     release(spark)
     found = connected_components(links.unionByName(copies).unionByName(more))
