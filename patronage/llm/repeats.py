@@ -149,10 +149,11 @@ def _cut(documents: DataFrame, length: int) -> DataFrame:
 
     def flush(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, start, counts, lead, name, whole, sides = (np.concatenate(column) for column in zip(*found))
-        _, heads = np.unique(whole ^ name, return_index=True)
+        _, heads, back = np.unique(whole ^ name, return_index=True, return_inverse=True)
         head = np.zeros(len(doc), dtype=bool)
         head[heads] = True
-        again = np.flatnonzero(~head)
+        # rows that repeat a doc_id: the same place is not an earlier one
+        again = np.flatnonzero(~head & ((doc != doc[heads[back]]) | (start != start[heads[back]])))
         joins = np.zeros(len(again), dtype=bool)
         joins[1:] = (again[1:] == again[:-1] + 1) & (doc[again[1:]] == doc[again[:-1]])
         joins[1:] &= start[again[1:]] == start[again[:-1]] + counts[again[:-1]]
