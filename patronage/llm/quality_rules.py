@@ -29,14 +29,17 @@ BASE = 0b0000011
 POLICIES = {"v1": BASE, "v2": 0b0011111, "v3": 0b1111111}
 
 
-def measure(documents: DataFrame) -> DataFrame:
-    """doc_id and the measurements of each text."""
+def measure(documents: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """doc_id and the measurements of each text; `carry` names columns to keep, in a struct `row`."""
     text = F.coalesce("text", F.lit(""))
-    split = documents.select("doc_id", text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
+    row = [F.struct(*(F.col(c) for c in carry)).alias("row")] if carry else []
+    kept = ["row"] if carry else []
+    split = documents.select("doc_id", *row, text.alias("text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
     windows = F.greatest(F.size("words") - 2, F.lit(0))
     parts = F.arrays_zip(*(F.slice("words", k, windows).alias(f"w{k}") for k in (1, 2, 3)))
     solid = split.select(
         "doc_id",
+        *kept,
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
@@ -48,7 +51,7 @@ def measure(documents: DataFrame) -> DataFrame:
     numbered = F.arrays_zip(F.col("windows").alias("h"), F.sequence(F.lit(1), n).alias("i"))
     # most texts have no equal windows and need no sorting by place
     placed = solid.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_capitals",
+        "doc_id", *kept, "n_words", "word_chars", "n_symbols", "n_capitals",
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("windows")) < n, F.sort_array(numbered)).alias("placed"),
@@ -66,13 +69,13 @@ def _repeat_words(placed: str) -> Column:
     return F.when(F.col(placed).isNotNull(), F.size(F.array_distinct(covered)))
 
 
-def ledger(documents: DataFrame) -> DataFrame:
+def ledger(documents: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """The measurements of each document and `failed`, the bits of the rules it breaks."""
     bits = [F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, (_, rule) in enumerate(RULES)]
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return measure(documents).withColumn("failed", failed)
+    return measure(documents, carry).withColumn("failed", failed)
 
 
 def apply_policy(entries: DataFrame, policy: str = "v3") -> DataFrame:
@@ -108,9 +111,9 @@ def ablation(entries: DataFrame, policy: str = "v3") -> DataFrame:
     return counts.agg(F.array(*columns).alias("rows")).select(F.inline("rows"))
 
 
-def quality_rules(documents: DataFrame, policy: str = "v3") -> DataFrame:
-    """Measurements, failed bits, base_failed and kept, one row per input row."""
-    return apply_policy(ledger(documents), policy)
+def quality_rules(documents: DataFrame, policy: str = "v3", carry: list[str] | None = None) -> DataFrame:
+    """Measurements, failed bits, base_failed and kept, one row per input row; `carry` as in `measure`."""
+    return apply_policy(ledger(documents, carry), policy)
 
 
 MEASURES_SQL = r"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronage.llm import quality_rules
+from patronage.llm.decontamination import contaminated_passages
+from patronage.llm.encoding import byte_bpe_50k
 from patronage.llm.ngram_join import ngram_jaccard_join
+from patronage.llm.packing import pack
 from patronage.llm.repeats import remove_repeats
 
 
@@ -41,14 +44,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_documents(spark, sf_dir), byte_bpe_50k(), length=2048, end_id=1)
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_passages(_documents(spark, sf_dir), _benchmark(spark, sf_dir), percent=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_mixture_packing": op7_mixture_packing,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    import corpus_pipeline
+
+    return QUERIES | {"pipeline": corpus_pipeline.run}

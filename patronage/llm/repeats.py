@@ -454,8 +454,12 @@ def _grouped(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def remove_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
-    """(doc_id, n_bytes, spans array of start and end, kept binary), one row per input row."""
+def remove_repeats(documents: DataFrame, length: int = 100, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_bytes, spans array of start and end, kept binary), one row per input row.
+
+    With `carry` the rows have those columns in a struct `row`, and `kept_text` instead of `kept`: the
+    text that is left, without characters that were cut in two (null stays null).
+    """
     if length < 2 * ANCHOR:
         raise ValueError(f"length must be at least {2 * ANCHOR}")
     spark = documents.sparkSession
@@ -492,20 +496,29 @@ def remove_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
                 gone = np.cumsum(depth[:-1]) > 0
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
-                kept.append(text[~gone].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.diff(offsets)),
-                    pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=["doc_id", "n_bytes", "spans", "kept"],
-            )
-
-    keyed = documents.select("doc_id", "text", F.coalesce("doc_id", F.lit(_FIRST)).alias("doc"))
-    return (
-        keyed.join(marked, "doc", "left")
-        .select("doc_id", "text", "marks")
-        .mapInArrow(cut, "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
-    )
+                left = np.split(text, edges)[::2]
+                kept.append(b"".join(p.tobytes().decode(errors="ignore").encode() for p in left) if carry else text[~gone].tobytes())
+            columns = {
+                "doc_id": batch.column(0),
+                "n_bytes": pa.array(np.diff(offsets)),
+                "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            }
+            if carry:
+                columns["kept_text"] = pa.array(
+                    [None if null else k.decode(errors="ignore") for null, k in zip(batch.column(1).is_null().to_pylist(), kept)],
+                    pa.string(),
+                )
+                columns["row"] = batch.column(3)
+            else:
+                columns["kept"] = pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    row = [F.struct(*(F.col(c) for c in carry)).alias("row")] if carry else []
+    keyed = documents.select("doc_id", "text", F.coalesce("doc_id", F.lit(_FIRST)).alias("doc"), *row)
+    joined = keyed.join(marked, "doc", "left").select("doc_id", "text", "marks", *(["row"] if carry else []))
+    schema = "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>"
+    if carry:
+        schema += ", kept_text string, row " + joined.schema["row"].dataType.simpleString()
+    else:
+        schema += ", kept binary"
+    return joined.mapInArrow(cut, schema)
