@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronage.llm import quality_rules
 from patronage.llm.decontamination import contaminated_passages
-from patronage.llm.encoding import byte_bpe_50k
+from patronage.llm.encoding import byte_bpe_50k, word_bpe_49k
+from patronage.llm.id_files import read_documents, write_ids
+from patronage.llm.length_histogram import length_histogram
 from patronage.llm.ngram_join import ngram_jaccard_join
 from patronage.llm.packing import pack
 from patronage.llm.repeats import remove_repeats
+from patronage.session import scratch_path
 
 
 def _table(name: str):
@@ -24,6 +27,10 @@ def _table(name: str):
 _documents, _pages, _benchmark, _labels = map(_table, ("documents", "pages", "benchmark", "labels"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(_documents(spark, sf_dir), byte_bpe_50k())
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_documents(spark, sf_dir), size=3, percent=90)
 
@@ -52,12 +59,20 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_passages(_documents(spark, sf_dir), _benchmark(spark, sf_dir), percent=10)
 
 
+def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    write_ids(_documents(spark, sf_dir), path, word_bpe_49k(), end_id=2)
+    return read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_mixture_packing": op7_mixture_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_bit_planes": op9_bit_planes,
 }
 
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
