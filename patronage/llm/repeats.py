@@ -15,8 +15,11 @@ with a smaller doc_id, or earlier in the same document. Strings are judged on th
    and a window is marked where its matching statistic reaches `length`. Every two segments meet
    once. The anchor's first byte is replaced by the number of its block, so a match means the same
    anchor. One index holds many anchors; its text is bounded.
-4. Anchors with very many different segments are not put into an index: their windows are grouped by
-   a 128-bit hash of their bytes, with a combined minimum, and all but the first are marked.
+4. The segments of an anchor with very many of them are cut into quarters by the anchor's place in the
+   window. The windows of a quarter have most of their bytes in common; a hash of these is a new, much
+   narrower anchor, and steps 2 and 3 follow for it. What is crowded even then (hundreds of different
+   segments around 80 equal bytes) is grouped by a 128-bit hash of each window's bytes, with a combined
+   minimum, and all windows but the first are marked.
 5. Marks are joined to the documents, united and cut out.
 
 Null and empty texts have no windows. Documents with a null doc_id come before all others. Rows that
@@ -420,8 +423,56 @@ def _indexed(rows: DataFrame, length: int) -> DataFrame:
     return few.dropDuplicates(["name", "doc", "start"]).sortWithinPartitions("name", "doc", "start").mapInArrow(search, _SPAN)
 
 
+def _quarters(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Marks and narrower segments (as from `_fetch`) of the anchors with very many segments."""
+
+    def split(batches):
+        free = length - ANCHOR
+        step = -(-(free + 1) // 4)
+        for batch in batches:
+            raw, offsets = column_bytes(batch.column(batch.schema.get_field_index("data")).cast(pa.large_binary()).view(pa.large_string()))
+            lanes, data = words_of(raw), raw.tobytes()
+            name, doc, start, windows, lead = (batch.column(j).to_numpy().astype(np.int64) for j in range(1, 6))
+            for j in range(4):
+                a, b = j * step, min(free, (j + 1) * step - 1)
+                first, last = np.maximum(0, lead - b), np.minimum(windows - 1, lead - a)
+                has = np.flatnonzero(first <= last)
+                if not len(has):
+                    continue
+                first, last = first[has], last[has]
+                begin, end = offsets[has] + first, offsets[has] + last + length
+                around = _window_hashes(lanes, offsets[has] + lead[has] - a, ANCHOR + a + free - b, 31 + j)
+                whole = _window_hashes(lanes, begin, length, 41) + _window_hashes(lanes, end - length, length, 43) * _FACTORS[1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(mix(around ^ mix(name[has].astype(np.uint64))).view(np.int64)),
+                        pa.array(mix(whole + (last - first).astype(np.uint64)).view(np.int64)),
+                        pa.array(doc[has]),
+                        pa.array(start[has] + first),
+                        pa.array((last - first + 1).astype(np.int32)),
+                        pa.array((lead[has] - first).astype(np.int32)),
+                        pa.array([data[x:y] for x, y in zip(begin.tolist(), end.tolist())], pa.binary()),
+                    ],
+                    names=["name", "whole", "doc", "start", "windows", "lead", "data"],
+                )
+
+    schema = "name bigint, whole bigint, doc bigint, start bigint, windows int, lead int, data binary"
+    parts = store(rows.where(F.col("kind") == _MANY).mapInArrow(split, schema), "quarters")
+    firsts = parts.groupBy("name", "whole").agg(F.min(F.struct("doc", "start", "windows", "lead", "data")).alias("first"), F.count("*").alias("n"))
+    marks = (
+        parts.drop("data").join(firsts.where("n > 1").select("name", "whole", "first.doc", "first.start").toDF("name", "whole", "d", "s"), ["name", "whole"])
+        .where("doc <> d or start <> s")
+        .select("doc", "start", "windows")
+    )
+    crowd = firsts.groupBy("name").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    narrow = firsts.join(crowd, "name").select(
+        F.when(F.col("crowd") > SEGMENTS, F.lit(_MANY)).otherwise(F.lit(_FEW)).alias("kind"), "name", "first.*"
+    )
+    return marks, store(narrow, "narrow")
+
+
 def _grouped(rows: DataFrame, length: int) -> DataFrame:
-    """Marks by hashes of whole windows, for anchors with very many segments."""
+    """Marks by hashes of whole windows, for what is crowded in its quarter too."""
 
     def windows(batches):
         for batch in batches:
@@ -467,11 +518,14 @@ def remove_repeats(documents: DataFrame, length: int = 100, carry: list[str] | N
     release(spark)
     rows = store(_fetch(met.where(F.col("kind") > _MARK), documents, length), "segments")
     release(spark)
+    again, narrow = _quarters(rows, length)
     marks = (
         met.where(F.col("kind") == _MARK)
         .select("doc", "start", "windows")
         .unionByName(_indexed(rows, length))
-        .unionByName(_grouped(rows, length))
+        .unionByName(again)
+        .unionByName(_indexed(narrow, length))
+        .unionByName(_grouped(narrow, length))
     )
     marked = store(marks.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("marks")), "marks")
     release(spark)

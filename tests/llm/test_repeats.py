@@ -64,13 +64,14 @@ def test_small_limits(make_documents, hard_rows, monkeypatch):
     assert sum(repeats.segments(p, o, 100)[1].sum() for p, o in pieces) == whole == sum(max(0, s - 99) for s in sizes)
 
 
-def test_crowded_anchors(make_documents):
-    """More segments under one anchor than one index takes."""
+@pytest.mark.parametrize("most", [256, 8])
+def test_crowded_anchors(make_documents, monkeypatch, most):
+    """More segments under one anchor than one index takes, and also under a quarter of it."""
+    monkeypatch.setattr(repeats, "SEGMENTS", most)
     pick = random.Random(9)
     word = lambda n: "".join(pick.choice("abcdefgh") for _ in range(n))
     middle, tails = word(60), [word(30) for _ in range(500)]
     rows = [(k, word(150) + tails[pick.randrange(500)] + middle + tails[pick.randrange(500)] + word(150)) for k in range(700)]
-    assert repeats.SEGMENTS < 500
     assert got(remove_repeats(make_documents(rows))) == brute(rows)
 
 
