@@ -14,6 +14,8 @@ from patronage.llm.length_histogram import length_histogram
 from patronage.llm.ngram_join import ngram_jaccard_join
 from patronage.llm.packing import pack
 from patronage.llm.repeats import remove_repeats
+from patronage.llm.suffix_tree import suffix_tree_scores
+from patronage.llm.text import held_out
 from patronage.session import scratch_path
 
 
@@ -65,6 +67,11 @@ def op9_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return suffix_tree_scores(documents, held_out(documents["doc_id"], 7, 2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixture_packing": op7_mixture_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_bit_planes": op9_bit_planes,
+    "op10_suffix_tree": op10_suffix_tree,
 }
 
 ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
