@@ -13,6 +13,7 @@ from patronage.llm.id_files import read_documents, write_ids
 from patronage.llm.length_histogram import length_histogram
 from patronage.llm.ngram_join import ngram_jaccard_join
 from patronage.llm.packing import pack
+from patronage.llm.quality_model import quality_scores
 from patronage.llm.repeats import remove_repeats
 from patronage.llm.suffix_tree import suffix_tree_scores
 from patronage.llm.text import held_out
@@ -53,6 +54,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_attention_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), _labels(spark, sf_dir), held_out(F.col("doc_id"), 5, 0))
+
+
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), byte_bpe_50k(), length=2048, end_id=1)
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_attention_classifier": op6_attention_classifier,
     "op7_mixture_packing": op7_mixture_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_bit_planes": op9_bit_planes,
