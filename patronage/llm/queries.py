@@ -11,6 +11,7 @@ from patronage.llm.decontamination import contaminated_passages
 from patronage.llm.encoding import byte_bpe_50k, word_bpe_49k
 from patronage.llm.id_files import read_documents, write_ids
 from patronage.llm.length_histogram import length_histogram
+from patronage.llm.main_text import extract_main_text
 from patronage.llm.ngram_join import ngram_jaccard_join
 from patronage.llm.packing import pack
 from patronage.llm.quality_model import quality_scores
@@ -38,6 +39,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_documents(spark, sf_dir), size=3, percent=90)
 
 
+def op3_min_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_pages(spark, sf_dir))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir), length=100).select(
         "doc_id",
@@ -80,6 +85,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_min_cut_extraction": op3_min_cut_extraction,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_attention_classifier": op6_attention_classifier,
