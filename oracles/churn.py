@@ -77,7 +77,7 @@ block("b_lexicon", """
 SELECT * FROM (VALUES ('and', 0.5::DOUBLE), ('that', 0.3::DOUBLE), ('this', 0.8::DOUBLE), ('with', 0.1::DOUBLE),
   ('was', -0.6::DOUBLE), ('for', -0.2::DOUBLE), ('from', -0.8::DOUBLE), ('are', -0.1::DOUBLE)) AS t(word, polarity)""")
 block("b_words", """
-SELECT review_id, unnest(regexp_split_to_array(lower(review_comment_message), '[^a-z]+')) AS word
+SELECT review_id, unnest(regexp_split_to_array(lower(review_comment_message), '[^\p{L}]+')) AS word
 FROM c_reviews WHERE review_comment_message IS NOT NULL""")
 block("b_polarity", """
 SELECT r.review_id, r.order_id, r.review_score, coalesce(p.polarity, 0) AS polarity,

@@ -16,7 +16,7 @@ SQL = {
     "coerce_timestamps": """
 SELECT order_id, CASE WHEN order_id % 13 > 1 THEN order_purchase_timestamp END AS order_purchase_timestamp FROM c_orders""",
     "null_fill": """
-SELECT review_id, coalesce(review_score, 0) AS review_score, coalesce(substr(review_comment_message, 1, 40), 'none') AS excerpt
+SELECT review_id, coalesce(review_score, 0) AS review_score, coalesce(review_comment_message, 'none') AS text
 FROM c_reviews""",
     "distinct_customers": "SELECT DISTINCT customer_id FROM c_orders",
     "group_stats": f"""

@@ -4,31 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 1_000_000
-SALTS = 16
 
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "left",
-    size_of: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: str, how: str = "left", salts: int | None = None) -> DataFrame:
     """Join `facts` with a lookup table by `how` in left, inner or left_semi.
 
-    A lookup of at most `max_rows` rows is broadcast; the size is checked, not assumed,
-    and the check stops reading at the limit. A larger one is joined by shuffle: every key
-    of the facts is spread over `salts` partitions by a hash of the row, and the lookup is
-    repeated that often, so a hot key is shared by many tasks. The hash makes the spread
-    the same when a task is repeated. `size_of` names a cheaper table with as many rows as
-    the lookup.
+    The optimiser broadcasts a lookup whose size in bytes is under its threshold, and splits skewed
+    partitions of a larger one while the job runs. Where the skew is known, `salts` spreads every key of
+    the facts over that many partitions by a hash of the row and repeats the lookup as often; the hash
+    makes the spread the same when a task is repeated.
     """
-    counted = lookup if size_of is None else size_of
-    if counted.limit(max_rows + 1).count() <= max_rows:
-        return facts.join(F.broadcast(lookup), on, how)
+    if salts is None:
+        return facts.join(lookup, on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

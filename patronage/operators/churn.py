@@ -20,7 +20,7 @@ from patronage.functions.expressions import (
     round_half_even,
 )
 from patronage.functions.joins import lookup_join
-from patronage.operators.customers import CUSTOMER, latest_purchase, order_payments, order_reviews, payment_types
+from patronage.operators.customers import CUSTOMER, latest_purchase, order_payments, order_reviews
 from patronage.operators.ordering import exact_quantiles, quantile_table, rank_features
 from patronage.operators.scaling import robust_scale
 from patronage.session import materialize
@@ -316,7 +316,7 @@ def review_polarity(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
     mean is rounded to ten digits: the order of summation must not decide on which side of
     a class limit it falls.
     """
-    words = F.explode_outer(F.split(F.lower("review_comment_message"), "[^a-z]+"))
+    words = F.explode_outer(F.split(F.lower("review_comment_message"), r"[^\p{L}]+"))
     spoken = reviews.dropna(subset=["review_comment_message"]).select(
         "review_id", "order_id", "review_score", words.alias("word")
     )
@@ -483,7 +483,7 @@ def rfm_historical(
         orders.where(F.col(customer).isNotNull() & in_window(orders, customer, by_split=by_split, seed=seed))
         .select("order_id", customer)
         .join(order_lines(items), "order_id", "left")
-        .join(per_order_payments(payments), "order_id", "left")
+        .join(order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(*history_aggregates(F.lit(True), dedupe))
         .select(customer, split_of(F.col(customer), seed).alias("split"), *history_measures(variant))
@@ -510,7 +510,7 @@ def rfm_shipping_features(
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer, "order_purchase_timestamp")
         .join(order_lines(items), "order_id", "left")
-        .join(per_order_payments(payments), "order_id", "left")
+        .join(order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(
             F.max("order_purchase_timestamp").alias("last_purchase"),
@@ -528,7 +528,8 @@ def rfm_shipping_features(
         .withColumn("shipping_ratio", ratio(F.col("avg_shipping"), F.col("avg_order_value")))
     )
     features = materialize(features)
-    upper, top = exact_quantiles(features, [customer], ["shipping_ratio"], [0.75, 0.9])["shipping_ratio"]
+    # without customers there is nothing to learn and nothing to flag
+    upper, top = exact_quantiles(features, [customer], ["shipping_ratio"], [0.75, 0.9]).get("shipping_ratio", (0.0, 0.0))
     limits = {"5pct": 0.05, "10pct": 0.1, "15pct": 0.15, "20pct": 0.2, "75pct": upper, "90pct": top}
     flagged = features.withColumns(
         {f"ship_above_{name}": flag(F.col("shipping_ratio") > F.lit(limit)) for name, limit in limits.items()}
@@ -540,10 +541,6 @@ def rfm_shipping_features(
 # ---- payments ------------------------------------------------------------------------------
 
 
-def per_order_payments(payments: DataFrame) -> DataFrame:
-    return order_payments(payments, payment_types(payments))
-
-
 # source column and name of the payment means; the first and the type mean feed the flags
 PAYMENT_MEANS = {
     "flow": {"install_max": "payment_installments", "n_types": "payment_type", "paid": "payment_value"},
@@ -576,7 +573,7 @@ def payment_features(
     return (
         orders.where(F.col(customer).isNotNull())
         .select("order_id", customer)
-        .join(per_order_payments(payments), "order_id", "left")
+        .join(order_payments(payments), "order_id", "left")
         .groupBy(customer)
         .agg(*payment_aggregates(variant))
         .select(customer, *payment_measures(variant))
@@ -586,7 +583,7 @@ def payment_features(
 def payment_complexity(payments: DataFrame, orders: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Shares of orders with several methods, several types or many instalments, and a
     stress score from them. Shares are over the orders that have payments."""
-    flags = per_order_payments(payments).select(
+    flags = order_payments(payments).select(
         "order_id",
         flag(F.col("n_methods") > 1).alias("methods"),
         flag(F.col("n_types") > 1).alias("types"),
@@ -676,7 +673,7 @@ def churn_dataset(
         .select("order_id", customer, "order_status", "order_purchase_timestamp", "days_diff", "actual_days", "_inside")
         .join(order_reviews(shop.reviews), "order_id", "left")
         .join(order_lines(shop.items), "order_id", "left")
-        .join(per_order_payments(shop.payments), "order_id", "left")
+        .join(order_payments(shop.payments), "order_id", "left")
     )
     grouped = (
         facts.groupBy(customer)

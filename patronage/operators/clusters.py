@@ -17,6 +17,8 @@ from patronage.operators.segments import BEHAVIOUR
 from patronage.session import materialize
 
 SEED = 42
+#: steps of one start at most
+MAX_ITERATIONS = 300
 
 
 def behaviour_vectors(
@@ -36,7 +38,7 @@ def fit_kmeans(
     A few starts are submitted at a time, so that their many short jobs overlap.
     `vectors` should be cached.
     """
-    fit = inheritable_thread_target(vectors.sparkSession)(lambda i: KMeans(k=k, seed=seed + i).fit(vectors))
+    fit = inheritable_thread_target(vectors.sparkSession)(lambda i: KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS).fit(vectors))
     with ThreadPool(min(parallelism, n_init)) as pool:
         models = pool.map(fit, range(n_init))
     return min(models, key=lambda model: model.summary.trainingCost)

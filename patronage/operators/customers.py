@@ -38,7 +38,6 @@ from patronage.sources.shop import Shop
 CUSTOMER = "customer_id"
 SPEND_TIERS = [(0.9, "VIP"), (0.75, "High Value"), (0.5, "Medium Value"), (0.25, "Low Value")]
 LOWEST_TIER = "Entry Level"
-MAX_TYPES = 32
 
 
 def latest_purchase(orders: DataFrame) -> Column:
@@ -124,52 +123,19 @@ def _most_frequent(value: str, weight: str, fallback: str) -> Column:
     return F.coalesce(best[value], F.lit(fallback))
 
 
-def payment_types(payments: DataFrame, limit: int = MAX_TYPES) -> list[str] | None:
-    """The payment types in order; None when there are more than `limit`."""
-    found = payments.select("payment_type").where("payment_type IS NOT NULL").distinct().limit(limit + 1).collect()
-    return None if len(found) > limit else sorted(row[0] for row in found)
-
-
-def order_payments(payments: DataFrame, types: list[str] | None) -> DataFrame:
-    """One row per order: instalments, values, and the number of payments of each type.
-
-    With a short list of types the counts are columns, so payments are combined per order
-    and shuffled once. Without it they are counted per order and type first, and only the
-    number of types remains.
-    """
-    sums = [
+def order_payments(payments: DataFrame) -> DataFrame:
+    """One row per order: instalments, values, payments and the number of their types."""
+    grouped = payments.groupBy("order_id").agg(
         F.max("payment_installments").alias("install_max"),
         F.sum("payment_installments").alias("sum_inst"),
         F.count("payment_installments").alias("n_inst"),
         F.sum("payment_value").alias("sum_value"),
         F.count("payment_value").alias("n_value"),
         F.max("payment_sequential").alias("n_methods"),
-    ]
-    if types is not None:
-        counts = [count_if(F.col("payment_type") == t).alias(f"type_{i}") for i, t in enumerate(types)]
-        grouped = payments.groupBy("order_id").agg(*sums, *counts)
-        n_types = reduce(
-            lambda acc, i: acc + (F.col(f"type_{i}") > 0).cast("bigint"), range(len(types)), F.lit(0).cast("bigint")
-        )
-    else:
-        grouped = (
-            payments.groupBy("order_id", "payment_type")
-            .agg(*sums)
-            .groupBy("order_id")
-            .agg(
-                F.max("install_max").alias("install_max"),
-                F.sum("sum_inst").alias("sum_inst"),
-                F.sum("n_inst").alias("n_inst"),
-                F.sum("sum_value").alias("sum_value"),
-                F.sum("n_value").alias("n_value"),
-                F.max("n_methods").alias("n_methods"),
-                F.count("payment_type").alias("n_types"),
-            )
-        )
-        n_types = F.col("n_types")
+        F.count_distinct("payment_type").alias("n_types"),
+    )
     return grouped.withColumns(
         {
-            "n_types": n_types,
             "install_mean": F.col("sum_inst") / F.nullif(F.col("n_inst"), F.lit(0)),
             "paid": F.coalesce("sum_value", F.lit(0.0)),
             "value_mean": F.col("sum_value") / F.nullif(F.col("n_value"), F.lit(0)),
@@ -177,56 +143,15 @@ def order_payments(payments: DataFrame, types: list[str] | None) -> DataFrame:
     )
 
 
-def payment_aggregates(types: list[str]) -> list[Column]:
-    """Over one row per order with its payment counts."""
-    return [
-        F.sum("sum_inst").alias("_inst"),
-        F.sum("n_inst").alias("_n_inst"),
-        F.sum("sum_value").alias("_value"),
-        F.count("n_types").alias("_paid_orders"),
-        *(F.coalesce(F.sum(f"type_{i}"), F.lit(0)).alias(f"_type_{i}") for i in range(len(types))),
-    ]
-
-
-def payment_measures(types: list[str], fallback: str = "unknown") -> list[Column]:
-    """Columns over `payment_aggregates`; null for a customer without payments."""
-    paid = F.col("_paid_orders") > 0
-    counts = [F.col(f"_type_{i}") for i in range(len(types))]
-    # of equal counts the first type wins, so the place counts against the later ones
-    ranked = [F.struct(n.alias("n"), F.lit(-i).alias("place"), F.lit(t).alias("type")) for i, (n, t) in enumerate(zip(counts, types))]
-    best = F.array_max(F.array(*ranked)) if ranked else None
-    preferred = F.lit(fallback) if best is None else F.when(best["n"] > 0, best["type"]).otherwise(fallback)
-    diversity = reduce(lambda acc, n: acc + (n > 0).cast("bigint"), counts, F.lit(0).cast("bigint"))
-    return [
-        F.when(paid, preferred).alias("preferred_payment_type"),
-        round_half_even(F.col("_inst") / F.nullif(F.col("_n_inst"), F.lit(0)), 2).alias("avg_installments"),
-        F.when(paid, round_half_even(F.coalesce("_value", F.lit(0.0)), 2)).alias("total_payment_value"),
-        F.when(paid, diversity).alias("payment_diversity"),
-    ]
-
-
 def payment_behavior(
     payments: DataFrame, orders: DataFrame, customer: str = CUSTOMER, fallback: str = "unknown"
 ) -> DataFrame:
     """Preferred type, mean instalments, total paid and number of types.
 
-    Payments without an order have no customer and drop out.
+    Payments are counted per order and type, then per customer and type, whatever the number of
+    types. Payments without an order have no customer and drop out.
     """
     owners = orders.where(F.col(customer).isNotNull()).select("order_id", customer)
-    types = payment_types(payments)
-    if types is None:
-        return _payment_behavior_by_type(payments, owners, customer, fallback)
-    return (
-        order_payments(payments, types)
-        .join(owners, "order_id")
-        .groupBy(customer)
-        .agg(*payment_aggregates(types))
-        .select(customer, *payment_measures(types, fallback))
-    )
-
-
-def _payment_behavior_by_type(payments: DataFrame, owners: DataFrame, customer: str, fallback: str) -> DataFrame:
-    """The same for any number of types: rows per order and type, then per customer and type."""
     per_order = payments.groupBy("order_id", "payment_type").agg(
         F.count("*").alias("n"),
         F.sum("payment_installments").alias("installments"),
@@ -303,18 +228,20 @@ def product_categories(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def items_with_category(items: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Every item with the category of its product; hot products are salted."""
-    return lookup_join(items, product_categories(products, categories), "product_id", size_of=products)
+    """Every item with the category of its product."""
+    return lookup_join(items, product_categories(products, categories), "product_id")
 
 
 def category_counts(
     items: DataFrame, products: DataFrame, categories: DataFrame, orders: DataFrame, customer: str = CUSTOMER
 ) -> DataFrame:
     """Items per customer and category, counted per order before the customer is joined."""
+    # lines of one order and product are combined before they meet the products
+    lines = items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     per_order = (
-        items_with_category(items.select("order_id", "product_id"), products, categories)
+        items_with_category(lines, products, categories)
         .groupBy("order_id", "product_category_name_english")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     return (
         per_order.join(orders.select("order_id", customer), "order_id")
@@ -344,52 +271,45 @@ def category_behavior(
 
 
 def geo_info(customers: DataFrame, customer: str = CUSTOMER) -> DataFrame:
-    return customers.select(customer, "customer_city", "customer_state")
+    """City and state per customer; of a key that repeats, the least."""
+    least = F.min(F.struct("customer_city", "customer_state"))
+    return (
+        customers.groupBy(customer).agg(least.alias("place"))
+        .select(customer, "place.customer_city", "place.customer_state")
+    )
 
 
 def customer_features(shop: Shop, customer: str = CUSTOMER) -> DataFrame:
     """All blocks on the customers that have orders; missing values become 0 or "0".
 
-    Orders, item values, review counts and payment counts meet once, one row per order,
-    and give the recency, spend, review and payment blocks in a single grouping. Every
-    block is hash partitioned by customer, so assembling them adds no shuffle.
+    Orders, item values and review counts meet once, one row per order, and give the recency,
+    spend and review blocks in a single grouping. Every block is hash partitioned by customer,
+    so assembling them adds no shuffle.
     """
-    types = payment_types(shop.payments)
     facts = (
         shop.orders.where(F.col(customer).isNotNull())
         .select("order_id", customer, "order_purchase_timestamp")
         .join(order_values(shop.items), "order_id", "left")
         .join(order_reviews(shop.reviews), "order_id", "left")
     )
-    if types is not None:
-        facts = facts.join(order_payments(shop.payments, types), "order_id", "left")
+    spent = ["total_spent", "avg_order_value", "total_freight", "avg_freight"]
     base = (
         facts.groupBy(customer)
-        .agg(
-            *rfm_aggregates(),
-            *monetary_aggregates(),
-            *review_aggregates(),
-            *(payment_aggregates(types) if types is not None else []),
-        )
-        .select(
-            customer,
-            *rfm_measures(shop.orders),
-            "total_spent",
-            "avg_order_value",
-            "total_freight",
-            "avg_freight",
-            *(payment_measures(types) if types is not None else []),
-            *review_measures(),
-        )
+        .agg(*rfm_aggregates(), *monetary_aggregates(), *review_aggregates())
+        .select(customer, *rfm_measures(shop.orders), *spent, *review_measures())
     )
+    payment = payment_behavior(shop.payments, shop.orders, customer)
+    review = ["avg_review_score", "review_count", "reviews_with_text", "review_rate"]
     blocks = [
+        payment,
         category_behavior(shop.items, shop.products, shop.categories, shop.orders, customer),
         geo_info(shop.customers, customer),
     ]
-    if types is None:
-        blocks.insert(0, payment_behavior(shop.payments, shop.orders, customer))
     joined = reduce(lambda left, right: left.join(right, customer, "left"), blocks, base)
-    return fill_missing(joined, keep=(customer, "first_order", "last_order"))
+    # payments stand before reviews
+    first = [c for c in base.columns if c not in review]
+    order = [*first, *payment.columns[1:], *review, *(c for block in blocks[1:] for c in block.columns[1:])]
+    return fill_missing(joined.select(*order), keep=(customer, "first_order", "last_order"))
 
 
 def spend_base(orders: DataFrame, items: DataFrame, customer: str = CUSTOMER) -> DataFrame:
@@ -414,6 +334,10 @@ def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool =
     ranked = rank_features(features, [customer], ["recency_days", "frequency", "total_spent"])
     recency, spend = [0.2, 0.4, 0.6, 0.8], [p for p, _ in SPEND_TIERS]
     picked = pick_places(ranked, [customer], [*quantile_places([*recency, *spend]), *quintile_places()])
+    if not picked:  # no customers
+        empty = {"R_score": "int", "F_score": "int", "M_score": "int", "RFM_score": "string"}
+        empty |= {"value_segment": "string"} if tiers else {}
+        return features.withColumns({c: F.lit(None).cast(kind) for c, kind in empty.items()})
     edges = quantiles_from(picked["recency_days"], recency)
     bounds = {feature: quintile_bounds(picked[feature]) for feature in ("frequency", "total_spent")}
     key = F.col(customer)
@@ -441,7 +365,9 @@ def spend_tier(spent: Column, limits: list[float]) -> Column:
 
 def value_segments(features: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Spend tier of every customer from the quartiles and the ninth decile of spend."""
-    limits = exact_quantiles(features, [customer], ["total_spent"], [p for p, _ in SPEND_TIERS])["total_spent"]
+    limits = exact_quantiles(features, [customer], ["total_spent"], [p for p, _ in SPEND_TIERS]).get("total_spent")
+    if limits is None:  # no customers
+        return features.withColumn("value_segment", F.lit(LOWEST_TIER))
     return features.withColumn("value_segment", spend_tier(F.col("total_spent"), limits))
 
 

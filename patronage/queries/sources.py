@@ -51,9 +51,9 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with defaults per column."""
     reviews = load_shop(spark, sf_dir).reviews.select(
-        "review_id", "review_score", F.substring("review_comment_message", 1, 40).alias("excerpt")
+        "review_id", "review_score", F.col("review_comment_message").alias("text")
     )
-    return reviews.fillna({"review_score": 0, "excerpt": "none"})
+    return reviews.fillna({"review_score": 0, "text": "none"})
 
 
 def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

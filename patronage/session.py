@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +21,6 @@ def build_session(app_name: str = "patronage", master: str | None = None, **sett
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # checkpoints are compressed, and removed once nothing refers to them
-        "spark.checkpoint.compress": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -35,32 +35,36 @@ def pin_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by the session.
 
-    A temporary folder is used only when nothing is configured and the session is
-    local; on a cluster a machine-local folder would lose data with its machine.
+    A temporary folder is used only when nothing is configured and driver and executors are one
+    process, and goes when that ends; on a cluster a machine-local folder would lose data with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="patronage-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="patronage-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, under the application's name so that it can be cleared."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from the written rows.
+    """Write `df` as Parquet below the shared folder and continue from the file.
 
-    Used where a frame feeds several jobs, or where two consumers must see the same
-    partitions. The rows survive the loss of executors.
+    Used where a frame feeds several jobs, or where two consumers must see the same partitions. The rows
+    survive the loss of executors, and readers take only the columns and row groups they need.
     """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
