@@ -77,7 +77,7 @@ block("b_lexicon", """
 SELECT * FROM (VALUES ('and', 0.5::DOUBLE), ('that', 0.3::DOUBLE), ('this', 0.8::DOUBLE), ('with', 0.1::DOUBLE),
   ('was', -0.6::DOUBLE), ('for', -0.2::DOUBLE), ('from', -0.8::DOUBLE), ('are', -0.1::DOUBLE)) AS t(word, polarity)""")
 block("b_words", """
-SELECT review_id, unnest(regexp_split_to_array(lower(review_comment_message), '[^\p{L}]+')) AS word
+SELECT review_id, unnest(regexp_split_to_array(lower(review_comment_message), '[^\\p{L}]+')) AS word
 FROM c_reviews WHERE review_comment_message IS NOT NULL""")
 block("b_polarity", """
 SELECT r.review_id, r.order_id, r.review_score, coalesce(p.polarity, 0) AS polarity,
@@ -271,6 +271,12 @@ FROM (SELECT o.customer_id, avg((n_methods > 1)::INT) AS pm_mean_methods, avg((n
     "cancellation_features": f"SELECT customer_id, {cols('cancellation_ratio')}, has_cancellations FROM b_cancel",
     "semi_join_split": """
 SELECT review_id, order_id, review_score FROM c_reviews
+WHERE order_id IN (SELECT order_id FROM c_orders WHERE customer_id IN (SELECT customer_id FROM b_split WHERE split = 'test'))""",
+    "semi_join_items": f"""
+SELECT order_id, order_item_id, product_id, {rnd('price')} AS price FROM c_items
+WHERE order_id IN (SELECT order_id FROM c_orders WHERE customer_id IN (SELECT customer_id FROM b_split WHERE split = 'test'))""",
+    "semi_join_payments": f"""
+SELECT order_id, payment_sequential, payment_type, {rnd('payment_value')} AS payment_value FROM c_payments
 WHERE order_id IN (SELECT order_id FROM c_orders WHERE customer_id IN (SELECT customer_id FROM b_split WHERE split = 'test'))""",
     "churn_features": f"SELECT * REPLACE ({cols(FRACTIONS)}) FROM b_churn_features",
     "churn_dataset": f"SELECT * REPLACE ({cols(FRACTIONS)}) FROM b_dataset",

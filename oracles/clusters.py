@@ -51,6 +51,12 @@ WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1""",
 SELECT k::INT AS k, {rnd('silhouette')} AS silhouette, {rnd('db_index')} AS db_index,
   rank() OVER (ORDER BY silhouette DESC)::DOUBLE AS silhouette_rank, rank() OVER (ORDER BY db_index)::DOUBLE AS db_rank
 FROM b_sil_fixed JOIN b_db_fixed USING (k)""",
+    "best_k": """
+SELECT (SELECT k FROM b_sil_fixed ORDER BY round(silhouette, 9) DESC, k LIMIT 1)::INT AS by_silhouette,
+  (SELECT k FROM b_db_fixed ORDER BY round(db_index, 9), k LIMIT 1)::INT AS by_db_index,
+  (SELECT k FROM (
+    SELECT k, abs((lag(inertia) OVER o - inertia) - (inertia - lead(inertia) OVER o)) AS bend FROM b_inertia_fixed WINDOW o AS (ORDER BY k))
+   WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1)::INT AS by_elbow""",
     "davies_bouldin": f"""
 SELECT {rnd('(SELECT db_index FROM b_db_emb)')} AS db_index, {rnd('(SELECT sum(inertia) FROM b_spread_emb)')} AS inertia""",
     "silhouette": f"SELECT {rnd('silhouette')} AS silhouette FROM b_sil_emb",

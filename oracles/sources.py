@@ -33,7 +33,7 @@ SELECT order_id, payment_sequential, {rnd('payment_value', 1)} AS round_1, {rnd(
         for name, source in (
             ("orders_raw", "c_orders"), ("order_items_raw", "c_items"), ("order_payments_raw", "c_payments"),
             ("order_reviews_raw", "c_reviews"), ("customers_raw", "c_customers"), ("products_raw", "c_products"),
-            ("category_translation_raw", "c_cats"),
+            ("category_translation_raw", "c_cats"), ("sellers_raw", "supplier"), ("geolocation_raw", "nation"),
         )
     ),
     "orders_by_month": "SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month, count(*) AS orders FROM c_orders GROUP BY 1",

@@ -173,10 +173,24 @@ def cancellation_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semi_join_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of the orders of the test customers."""
+    return of_test_orders(spark, sf_dir, "reviews", "review_id", "order_id", "review_score")
+
+
+def semi_join_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the orders of the test customers."""
+    return rounded(of_test_orders(spark, sf_dir, "items", "order_id", "order_item_id", "product_id", "price"))
+
+
+def semi_join_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of the orders of the test customers."""
+    return rounded(of_test_orders(spark, sf_dir, "payments", "order_id", "payment_sequential", "payment_type", "payment_value"))
+
+
+def of_test_orders(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
     test = stratified_split(spark, sf_dir).where(F.col("split") == "test")
     orders = lookup_join(shop.orders.select("order_id", "customer_id"), test, "customer_id", "left_semi")
-    return lookup_join(shop.reviews.select("review_id", "order_id", "review_score"), orders, "order_id", "left_semi")
+    return lookup_join(getattr(shop, table).select(*columns), orders, "order_id", "left_semi")
 
 
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,6 +278,8 @@ QUERIES = {
     "payment_complexity": payment_complexity,
     "cancellation_features": cancellation_features,
     "semi_join_split": semi_join_split,
+    "semi_join_items": semi_join_items,
+    "semi_join_payments": semi_join_payments,
     "churn_features": churn_features,
     "churn_dataset": churn_dataset,
     "constant_features": constant_features,

@@ -8,7 +8,6 @@ from patronage.operators.scaling import standard_scale
 from patronage.session import materialize
 from patronage.sources.shop import load_shop, read_test_table
 
-STARTS = 5
 FEATURES = segments.BEHAVIOUR
 
 
@@ -17,7 +16,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.kmeans_segments(vectors(spark, sf_dir), 5, STARTS).drop("features")
+    return ops.kmeans_segments(vectors(spark, sf_dir)).drop("features")
 
 
 def kmeans_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +24,8 @@ def kmeans_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.best_k(materialize(kmeans_k_search(spark, sf_dir)))
+    """Choice of k over a table that SQL can compute too; `kmeans_k_search` yields the same table."""
+    return ops.best_k(fixed_label_metrics(spark, sf_dir))
 
 
 def fixed_label_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +66,7 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clustered = ops.kmeans_segments(vectors(spark, sf_dir), 5, 1)
+    clustered = ops.kmeans_segments(vectors(spark, sf_dir))
     return rounded(ops.pca_projection(ops.fit_pca(clustered), clustered))
 
 
@@ -81,7 +81,7 @@ def pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def behavioral_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = materialize(customers.customer_features(load_shop(spark, sf_dir)))
-    clustered = ops.kmeans_segments(ops.behaviour_vectors(features), 5, STARTS).drop("features")
+    clustered = ops.kmeans_segments(ops.behaviour_vectors(features)).drop("features")
     named = segments.behavioral_segments(materialize(features.join(clustered, "customer_id")))
     measures = ["frequency", "avg_order_value", "category_diversity", "payment_diversity", "avg_review_score", "total_spent"]
     return segments.segment_profile(named, "behavioral_segment", measures)

@@ -14,7 +14,7 @@ from patronage.sources.schemas import RAW_TABLES
 class Shop:
     """Named input tables, each opened when it is first used.
 
-    The tables are orders, items, payments, reviews, customers, products and categories.
+    The tables are those of `SHOP_TABLES`.
     The key types are whatever the source delivers.
     """
 
@@ -33,7 +33,7 @@ class Shop:
         return {name: getattr(self, name) for name in self._sources}
 
 
-SHOP_TABLES = ("orders", "items", "payments", "reviews", "customers", "products", "categories")
+SHOP_TABLES = ("orders", "items", "payments", "reviews", "customers", "products", "categories", "sellers", "geolocation")
 
 
 def read_shop(spark: SparkSession, folder: str) -> Shop:
@@ -51,6 +51,7 @@ TEST_TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -160,6 +161,33 @@ def adapt_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read_test_table(spark, sf_dir, "nation")
+    region = read_test_table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+
+
+def adapt_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = read_test_table(spark, sf_dir, "supplier")
+    places = _places(spark, sf_dir)
+    return supplier.join(places, supplier.s_nationkey == places.n_nationkey, "left").selectExpr(
+        "s_suppkey AS seller_id",
+        "s_nationkey AS seller_zip_code_prefix",
+        "n_name AS seller_city",
+        "r_name AS seller_state",
+    )
+
+
+def adapt_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _places(spark, sf_dir).selectExpr(
+        "n_nationkey AS geolocation_zip_code_prefix",
+        "CAST(n_nationkey * 5 - 60 AS DOUBLE) AS geolocation_lat",
+        "CAST(n_nationkey * 10 - 120 AS DOUBLE) AS geolocation_lng",
+        "n_name AS geolocation_city",
+        "r_name AS geolocation_state",
+    )
+
+
 def load_shop(spark: SparkSession, sf_dir: str) -> Shop:
     """Shop tables derived from the driver's parquet files."""
     pin_utc(spark)
@@ -171,6 +199,8 @@ def load_shop(spark: SparkSession, sf_dir: str) -> Shop:
         "customers": adapt_customers,
         "products": adapt_products,
         "categories": adapt_categories,
+        "sellers": adapt_sellers,
+        "geolocation": adapt_geolocation,
     }
     return Shop(**{name: partial(adapt, spark, sf_dir) for name, adapt in adapters.items()})
 
