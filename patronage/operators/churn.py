@@ -21,7 +21,7 @@ from patronage.functions.expressions import (
 )
 from patronage.functions.joins import lookup_join
 from patronage.operators.customers import CUSTOMER, latest_purchase, order_payments, order_reviews
-from patronage.operators.ordering import exact_quantiles, quantile_table, rank_features
+from patronage.operators.ordering import exact_quantiles, unpivot, value_quantiles
 from patronage.operators.scaling import robust_scale
 from patronage.session import materialize
 from patronage.sources.shop import Shop
@@ -452,7 +452,7 @@ def history_measures(variant: str = "flow", months: int = CHURN_MONTHS) -> list[
 def learn_thresholds(history: DataFrame, customer: str = CUSTOMER) -> dict[str, float]:
     """Upper quartiles of spend and order rate among the training customers with history."""
     train = history.where((F.col("split") == "train") & F.col("_spend").isNotNull())
-    found = exact_quantiles(train, [customer], ["_spend", "rfm_hist_monthly_orders"], [0.75])
+    found = exact_quantiles(train, ["_spend", "rfm_hist_monthly_orders"], [0.75])
     if not found:
         return dict(DEFAULT_THRESHOLDS)
     return {"hist_value": found["_spend"][0], "hist_freq": found["rfm_hist_monthly_orders"][0]}
@@ -529,7 +529,7 @@ def rfm_shipping_features(
     )
     features = materialize(features)
     # without customers there is nothing to learn and nothing to flag
-    upper, top = exact_quantiles(features, [customer], ["shipping_ratio"], [0.75, 0.9]).get("shipping_ratio", (0.0, 0.0))
+    upper, top = exact_quantiles(features, ["shipping_ratio"], [0.75, 0.9]).get("shipping_ratio", (0.0, 0.0))
     limits = {"5pct": 0.05, "10pct": 0.1, "15pct": 0.15, "20pct": 0.2, "75pct": upper, "90pct": top}
     flagged = features.withColumns(
         {f"ship_above_{name}": flag(F.col("shipping_ratio") > F.lit(limit)) for name, limit in limits.items()}
@@ -733,17 +733,17 @@ def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     return rates.unpivot([], columns, "column", "null_rate")
 
 
-def describe_features(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+def describe_features(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, spread, extremes and exact quartiles, one row per feature."""
-    ranked = rank_features(df, key, columns)
-    moments = ranked.groupBy("feature").agg(
+    df = materialize(df.select(*columns))
+    moments = unpivot(df, [], columns).groupBy("feature").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = quantile_table(ranked, [0.25, 0.5, 0.75]).select(
+    quartiles = value_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "feature", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75")
     )
     return moments.join(quartiles, "feature")

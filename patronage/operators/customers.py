@@ -365,7 +365,7 @@ def spend_tier(spent: Column, limits: list[float]) -> Column:
 
 def value_segments(features: DataFrame, customer: str = CUSTOMER) -> DataFrame:
     """Spend tier of every customer from the quartiles and the ninth decile of spend."""
-    limits = exact_quantiles(features, [customer], ["total_spent"], [p for p, _ in SPEND_TIERS]).get("total_spent")
+    limits = exact_quantiles(features, ["total_spent"], [p for p, _ in SPEND_TIERS]).get("total_spent")
     if limits is None:  # no customers
         return features.withColumn("value_segment", F.lit(LOWEST_TIER))
     return features.withColumn("value_segment", spend_tier(F.col("total_spent"), limits))

@@ -486,7 +486,7 @@ def psi_drift(
     Equal decile edges collapse into one. An empty bin counts as a share of 0.0001.
     """
     inner = [i / bins for i in range(1, bins)]
-    edges = {c: sorted(set(q)) for c, q in exact_quantiles(base, [key], columns, inner).items()}
+    edges = {c: sorted(set(q)) for c, q in exact_quantiles(base, columns, inner).items()}
     bucket = reduce(
         lambda acc, c: acc.when(
             F.col("feature") == c,

@@ -17,6 +17,9 @@ from patronage.session import materialize
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the row number below it
 POSITION_BITS = 33
+#: the sketch of a quantile is wrong by 1 / ACCURACY of the rows at most; with this distance on both sides
+#: it encloses the wanted places in groups of more than SMALL rows
+ACCURACY, GAP, SMALL = 5000, 4e-4, 20_000
 
 
 def _placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -136,26 +139,63 @@ def quantile_table(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]
 def value_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Like `quantile_table`, for rows without a unique key.
+    """Like `quantile_table`, exact, without sorting the table: (by, feature, total, q0, q1, ...).
 
-    Equal values are counted first, so a frequent value is one row however often it occurs.
+    A sketch, combined on the map side, gives two values that enclose each wanted place for certain.
+    Rows below them are counted; only the values between them, a share of about `4 * GAP` of the rows
+    (all of them in groups of up to `SMALL`), are counted one by one and put in order. `by` names columns
+    with few values. `df` is read three times: materialise it when it is expensive.
     """
     keys = [*by, "feature"]
-    counted = unpivot(df, by, columns).groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    curve = running_totals(counted, ["value"], ["n"], keys)
-    spot = {i: (F.col("n_total") - 1) * F.lit(float(p)) for i, p in enumerate(probs)}
+    long = unpivot(df, by, columns)
+    around = [x for p in probs for x in (max(0.0, float(p) - GAP), min(1.0, float(p) + GAP))]
+    sketch = long.groupBy(*keys).agg(
+        F.count("*").alias("total"), F.percentile_approx("value", around, ACCURACY).alias("_around")
+    )
+    brackets = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("i"),
+                F.when(F.col("total") > SMALL, F.col("_around")[2 * i]).alias("low"),
+                F.when(F.col("total") > SMALL, F.col("_around")[2 * i + 1]).alias("high"),
+            )
+            for i in range(len(probs))
+        )
+    )
+    sketch = sketch.select(*keys, "total", brackets.alias("_brackets"))
+    # one row per group and feature
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    met = long.alias("l").join(F.broadcast(sketch.alias("s")), reduce(lambda x, y: x & y, same))
+    met = met.select(*(F.col(f"l.{k}").alias(k) for k in keys), "value", "total", "_brackets")
+    low = [F.col("_brackets")[i]["low"] for i in range(len(probs))]
+    below = met.groupBy(*keys).agg(
+        F.max("total").alias("total"), *(F.count_if(F.col("value") < x).alias(f"_below{i}") for i, x in enumerate(low))
+    )
+    inside = F.filter(
+        "_brackets",
+        lambda b: b["low"].isNull() | ((F.col("value") >= b["low"]) & (F.col("value") <= b["high"])),
+    )
+    near = (
+        met.select(*keys, "value", F.explode(F.transform(inside, lambda b: b["i"])).alias("i"))
+        .groupBy(*keys, "i", "value")
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(Window.partitionBy(*keys, "i").orderBy("value")))
+    )
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    placed = near.alias("n").join(F.broadcast(below.alias("b")), reduce(lambda x, y: x & y, same))
+    placed = placed.select(*(F.col(f"n.{k}").alias(k) for k in keys), "i", "value", "n", "upto", "total", *(f"_below{i}" for i in range(len(probs))))
+    spot = {i: (F.col("total") - 1) * F.lit(float(p)) for i, p in enumerate(probs)}
 
-    def at(place: Column) -> Column:
-        return F.max(F.when((F.col("n_before") <= place) & (place < F.col("n_before") + F.col("n")), F.col("value")))
+    def at(i: int, place: Column) -> Column:
+        first = F.col(f"_below{i}") + F.col("upto") - F.col("n")
+        return F.max(F.when((F.col("i") == i) & (first <= place) & (place < first + F.col("n")), F.col("value")))
 
-    picks = curve.groupBy(*keys).agg(
-        F.max("n_total").alias("n_total"),
-        *(at(F.floor(h)).alias(f"_lo{i}") for i, h in spot.items()),
-        *(at(F.floor(h) + 1).alias(f"_hi{i}") for i, h in spot.items()),
-    )
-    return picks.select(
-        *keys, F.col("n_total").alias("total"), *(_interpolated(i, h).alias(f"q{i}") for i, h in spot.items())
+    picks = placed.groupBy(*keys).agg(
+        F.max("total").alias("total"),
+        *(at(i, F.floor(h)).alias(f"_lo{i}") for i, h in spot.items()),
+        *(at(i, F.floor(h) + 1).alias(f"_hi{i}") for i, h in spot.items()),
     )
+    return picks.select(*keys, "total", *(_interpolated(i, h).alias(f"q{i}") for i, h in spot.items()))
 
 
 def _interpolated(i: int, spot: Column) -> Column:
@@ -209,12 +249,10 @@ def quintile_bounds(spots: dict[int, tuple]) -> list[tuple]:
     return [spots[(total - 1) * s // 5] for s in range(1, 5)]
 
 
-def exact_quantiles(
-    df: DataFrame, key: Sequence[str], columns: Sequence[str], probs: Sequence[float]
-) -> dict[str, list[float]]:
-    """Quantiles of several columns as plain numbers: one short list per column."""
-    picked = pick_places(rank_features(df, key, columns), [], quantile_places(probs))
-    return {feature: quantiles_from(spots, probs) for feature, spots in picked.items()}
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Quantiles of several columns as plain numbers: one short list per column that has values."""
+    rows = value_quantiles(df, columns, probs).collect()
+    return {r["feature"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
 
 
 def quintile_of_rank(value: Column, key: Column, bounds: list[tuple]) -> Column:

@@ -25,7 +25,7 @@ def standard_scale(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | No
 
 def robust_scale(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """(x - median) / interquartile range; without a range the divisor is 1."""
-    quartiles = exact_quantiles(df, key, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     scaled = {}
     for c in columns:
         low, middle, high = quartiles.get(c, (0.0, 0.0, 0.0))

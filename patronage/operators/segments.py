@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronage.functions.expressions import cascade, ratio, round_half_even, title_case
 from patronage.operators.customers import CUSTOMER
-from patronage.operators.ordering import quantile_table, rank_features, unpivot
+from patronage.operators.ordering import unpivot, value_quantiles
+from patronage.session import materialize
 
 BEHAVIOUR = [
     "frequency",
@@ -202,15 +203,15 @@ def cluster_statistics(
     clustered: DataFrame, customer: str = CUSTOMER, features: Sequence[str] = tuple(BEHAVIOUR)
 ) -> DataFrame:
     """Mean, exact median and spread per cluster and feature, and the side of the overall mean."""
-    ranked = rank_features(clustered, [customer], features, by=["cluster"])
+    clustered = materialize(clustered.select("cluster", *features))
     keys = ["cluster", "feature"]
-    moments = ranked.groupBy(*keys).agg(
+    moments = unpivot(clustered, ["cluster"], features).groupBy(*keys).agg(
         F.avg("value").alias("_mean"),
         F.stddev_samp("value").alias("std"),
         F.sum("value").alias("_sum"),
         F.count("value").alias("_n"),
     )
-    medians = quantile_table(ranked, [0.5], by=["cluster"]).select(*keys, F.col("q0").alias("median"))
+    medians = value_quantiles(clustered, features, [0.5], by=["cluster"]).select(*keys, F.col("q0").alias("median"))
     feature = Window.partitionBy("feature")
     overall = F.sum("_sum").over(feature) / F.sum("_n").over(feature)
     return (

@@ -99,7 +99,7 @@ def delivery_features_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def describe_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ops.delivery_promise_features(load_shop(spark, sf_dir).orders)
-    return rounded(ops.describe_features(features, ["customer_id"], features.columns[1:]))
+    return rounded(ops.describe_features(features, features.columns[1:]))
 
 
 def review_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronage.functions.expressions import rounded
 from patronage.operators import customers as ops
-from patronage.operators.ordering import global_rank, quantile_table, rank_features
+from patronage.operators.ordering import global_rank, value_quantiles
 from patronage.session import materialize
 from patronage.sources.shop import load_shop
 
@@ -106,8 +106,8 @@ def spend_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spend_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
-    totals = ops.spend_base(shop.orders, shop.items)
-    table = quantile_table(rank_features(totals, ["customer_id"], ["total_spent"]), [0.25, 0.5, 0.75, 0.9])
+    totals = materialize(ops.spend_base(shop.orders, shop.items).select("total_spent"))
+    table = value_quantiles(totals, ["total_spent"], [0.25, 0.5, 0.75, 0.9])
     return rounded(table.select(*(F.col(f"q{i}").alias(f"q{p}") for i, p in enumerate((25, 50, 75, 90)))))
 
 
