@@ -15,8 +15,10 @@ SELECT customer_id, max(order_purchase_timestamp) AS last_purchase,
   {days(LATEST, "max(order_purchase_timestamp)")} AS days_since_last_order
 FROM c_orders GROUP BY customer_id""")
 block("b_split", """
-SELECT customer_id, CASE WHEN d < '199a' THEN 'test' WHEN d < '3333' THEN 'val' ELSE 'train' END AS split
-FROM (SELECT DISTINCT customer_id, substr(md5('42-' || customer_id::VARCHAR), 1, 4) AS d FROM c_orders)""")
+SELECT customer_id, CASE WHEN nth <= floor((n - 1) * 0.1::DOUBLE) + 1 THEN 'test'
+  WHEN nth <= floor((n - 1) * (0.1::DOUBLE + 0.1::DOUBLE)) + 1 THEN 'val' ELSE 'train' END AS split
+FROM (SELECT customer_id, count(*) OVER (PARTITION BY is_churned) AS n,
+  row_number() OVER (PARTITION BY is_churned ORDER BY substr(md5('42-' || customer_id::VARCHAR), 1, 13)) AS nth FROM b_labels)""")
 block("b_delivered", f"""
 SELECT *, {days("order_delivered_customer_date", "order_estimated_delivery_date")} AS days_diff,
   {days("order_delivered_customer_date", "order_purchase_timestamp")} AS actual_days,

@@ -56,26 +56,28 @@ def churn_labels(orders: DataFrame, customer: str = CUSTOMER, months: int = CHUR
     )
 
 
-def split_of(customer: Column, seed: int = SEED, test: float = 0.1, val: float = 0.1) -> Column:
-    """Split name from a digest of seed and key.
+def stratified_split(
+    labels: DataFrame, customer: str = CUSTOMER, seed: int = SEED, test: float = 0.1, val: float = 0.1
+) -> DataFrame:
+    """Adds the split: in every class the given shares of the customers, to within one customer.
 
-    The assignment is the same wherever and whenever it is computed, needs no shuffle
-    and is independent of the class, so every class gets the same expected shares.
+    The customers of a class are ranked by a digest of seed and key. Only the digests at the two cuts
+    are looked up, per class; every row is then compared with the cuts of its own class.
     """
-    digest = F.substring(F.md5(F.concat(F.lit(f"{seed}-"), customer.cast("string"))), 1, 4)
-    return (
-        F.when(digest < F.lit(_hex_share(test)), "test")
-        .when(digest < F.lit(_hex_share(test + val)), "val")
-        .otherwise("train")
-    )
+    digest = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-"), F.col(customer).cast("string"))), 1, 13), 16, 10)
+    numbered = materialize(labels.withColumn("_digest", digest.cast("double")))
+    cuts = value_quantiles(numbered, ["_digest"], [test, test + val], by=["is_churned"]).collect()
+    split = F.lit("train")
+    for row in cuts:
+        own = F.col("is_churned").eqNullSafe(F.lit(row["is_churned"]))
+        inside = F.when(F.col("_digest") <= F.lit(row["q0"]), "test").when(F.col("_digest") <= F.lit(row["q1"]), "val")
+        split = F.when(own, inside.otherwise("train")).otherwise(split)
+    return numbered.withColumn("split", split).drop("_digest")
 
 
-def _hex_share(share: float) -> str:
-    return f"{round(share * 0x10000):04x}"
-
-
-def stratified_split(labels: DataFrame, customer: str = CUSTOMER, seed: int = SEED) -> DataFrame:
-    return labels.withColumn("split", split_of(F.col(customer), seed))
+def customer_splits(orders: DataFrame, customer: str = CUSTOMER, seed: int = SEED) -> DataFrame:
+    """Label, last purchase and split of every customer."""
+    return stratified_split(churn_labels(orders, customer), customer, seed)
 
 
 def class_balance(labels: DataFrame) -> DataFrame:
@@ -370,11 +372,11 @@ def review_sentiment(
 # ---- spend in the historical window --------------------------------------------------------
 
 
-def in_window(orders: DataFrame, customer: str = CUSTOMER, months: int = CHURN_MONTHS, by_split: bool = True, seed: int = SEED) -> Column:
+def in_window(orders: DataFrame, months: int = CHURN_MONTHS, splits: DataFrame | None = None) -> Column:
     """From `2 * months` to `months` months before the last purchase, both ends included.
 
-    With `by_split` the last purchase is that of the customer's own split, as when every
-    split is built alone. The dates are one scalar subquery over two columns.
+    With `splits` the last purchase is that of the row's own split (column `split`), as when every
+    split is built alone. The dates are one scalar subquery.
     """
     when = F.col("order_purchase_timestamp")
 
@@ -382,15 +384,15 @@ def in_window(orders: DataFrame, customer: str = CUSTOMER, months: int = CHURN_M
         end = plus_months(latest, -months)
         return (when >= plus_months(end, -months)) & (when <= end)
 
-    if not by_split:
+    if splits is None:
         return between(latest_purchase(orders))
-    split = split_of(F.col(customer), seed)
-    latest = orders.agg(F.struct(*(F.max(F.when(split == name, when)).alias(name) for name in SPLITS))).scalar()
-    return reduce(lambda a, b: a | b, ((split == name) & between(latest[name]) for name in SPLITS))
+    last = F.struct(*(F.max(F.when(F.col("split") == name, F.col("last_purchase"))).alias(name) for name in SPLITS))
+    latest = splits.agg(last).scalar()
+    return reduce(lambda a, b: a | b, ((F.col("split") == name) & between(latest[name]) for name in SPLITS))
 
 
 def historical_window(orders: DataFrame, months: int = CHURN_MONTHS) -> DataFrame:
-    return orders.where(in_window(orders, months=months, by_split=False))
+    return orders.where(in_window(orders, months))
 
 
 def order_lines(items: DataFrame) -> DataFrame:
@@ -479,14 +481,20 @@ def rfm_historical(
     seed: int = SEED,
 ) -> DataFrame:
     """Historical window features; thresholds are learned on the training split if not given."""
+    splits = customer_splits(orders, customer, seed) if by_split else None
+    rows = orders.where(F.col(customer).isNotNull())
+    if by_split:
+        rows = rows.join(splits.select(customer, "split"), customer)
+    else:
+        rows = rows.withColumn("split", F.lit("train"))
     history = (
-        orders.where(F.col(customer).isNotNull() & in_window(orders, customer, by_split=by_split, seed=seed))
-        .select("order_id", customer)
+        rows.where(in_window(orders, splits=splits))
+        .select("order_id", customer, "split")
         .join(order_lines(items), "order_id", "left")
         .join(order_payments(payments), "order_id", "left")
         .groupBy(customer)
-        .agg(*history_aggregates(F.lit(True), dedupe))
-        .select(customer, split_of(F.col(customer), seed).alias("split"), *history_measures(variant))
+        .agg(F.max("split").alias("split"), *history_aggregates(F.lit(True), dedupe))
+        .select(customer, "split", *history_measures(variant))
     )
     if thresholds is None:
         history = materialize(history)
@@ -668,9 +676,11 @@ def churn_dataset(
     materialised when the thresholds have to be learned from them.
     """
     owners = shop.orders.where(F.col(customer).isNotNull())
+    splits = customer_splits(shop.orders, customer, seed)
     facts = (
-        owners.withColumns({**delivery_days(), "_inside": in_window(shop.orders, customer, seed=seed)})
-        .select("order_id", customer, "order_status", "order_purchase_timestamp", "days_diff", "actual_days", "_inside")
+        owners.join(splits.select(customer, "split"), customer)
+        .withColumns({**delivery_days(), "_inside": in_window(shop.orders, splits=splits)})
+        .select("order_id", customer, "split", "order_status", "order_purchase_timestamp", "days_diff", "actual_days", "_inside")
         .join(order_reviews(shop.reviews), "order_id", "left")
         .join(order_lines(shop.items), "order_id", "left")
         .join(order_payments(shop.payments), "order_id", "left")
@@ -679,6 +689,7 @@ def churn_dataset(
         facts.groupBy(customer)
         .agg(
             F.max("order_purchase_timestamp").alias("last_purchase"),
+            F.max("split").alias("split"),
             *delivery_aggregates(),
             *score_aggregates(),
             *history_aggregates(F.col("_inside")),
@@ -687,7 +698,7 @@ def churn_dataset(
         )
         .select(
             customer,
-            split_of(F.col(customer), seed).alias("split"),
+            "split",
             *delivery_measures(variant),
             *score_measures(),
             *history_measures(variant),

@@ -118,9 +118,12 @@ def test_dataset_invariants(spark):
 
 
 def test_split_shares(spark):
-    keys = spark.range(20000).select(F.col("id").cast("string").alias("customer_id"))
-    shares = {r["split"]: r["count"] / 20000 for r in c.stratified_split(keys).groupBy("split").count().collect()}
-    assert abs(shares["test"] - 0.1) < 0.01 and abs(shares["val"] - 0.1) < 0.01
+    """In every class, also a rare one, to within one customer."""
+    keys = spark.range(20000).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 500 == 3).cast("int").alias("is_churned"))
+    counts = {(r["is_churned"], r["split"]): r["count"] for r in c.stratified_split(keys).groupBy("is_churned", "split").count().collect()}
+    for label, n in ((0, 19960), (1, 40)):
+        assert abs(counts[label, "test"] - n / 10) <= 1 and abs(counts[label, "val"] - n / 10) <= 1
+        assert sum(counts[label, s] for s in c.SPLITS) == n
 
 
 def test_sentiment_without_known_words(spark):
