@@ -150,15 +150,17 @@ def pack(
     spark = documents.sparkSession
     encoded = store(encode_documents(documents, vocabulary, end_id), "encoded")
     release(spark)
-    sums = encoded.groupBy("source").agg(F.sum("n_tokens").alias("n")).limit(QUEUES + 1).collect()
+    # a queue's name is never null, so that windows and joins share one partitioning
+    queue = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    sums = encoded.groupBy(queue.alias("queue")).agg(F.sum("n_tokens").alias("n")).limit(QUEUES + 1).collect()
     if len(sums) > QUEUES:
-        encoded = encoded.withColumn("queue", F.concat(F.lit("#"), F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("string")))
-        sums = encoded.groupBy("queue").agg(F.sum("n_tokens").alias("n")).collect()
-    else:
-        encoded = encoded.withColumn("queue", F.col("source"))
-    names = sorted(((r[0], r["n"]) for r in sums), key=lambda r: (r[0] is not None, r[0] or ""))
+        queue = F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("string")
+        sums = encoded.groupBy(queue.alias("queue")).agg(F.sum("n_tokens").alias("n")).collect()
+    encoded = encoded.withColumn("queue", queue)
+    names = sorted((r["queue"], r["n"]) for r in sums)
     numbers = {name: k for k, (name, _) in enumerate(names)}
-    schedule = Schedule([n for _, n in names], [(weights or {}).get(name, n) for name, n in names], length)
+    wanted = {"" if source is None else f"={source}": weight for source, weight in (weights or {}).items()}
+    schedule = Schedule([n for _, n in names], [wanted.get(name, n) for name, n in names], length)
     # places in the queues: sums over chunks, then inside chunks
     chunked = encoded.withColumn("chunk", F.coalesce(F.floor(F.col("doc_id") / CHUNK), F.lit(-(1 << 62))))
     before = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -168,9 +170,7 @@ def pack(
     )
     inside = Window.partitionBy("queue", "chunk").orderBy("doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
     placed = chunked.withColumn("mark", F.xxhash64("ids")).withColumn("at", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    joined = placed.alias("p").join(
-        chunks.alias("c"), (F.col("p.queue").eqNullSafe(F.col("c.queue"))) & (F.col("p.chunk") == F.col("c.chunk"))
-    )
+    joined = placed.join(chunks, ["queue", "chunk"])
     shared = spark.sparkContext.broadcast((schedule, numbers))
 
     def lay_out(batches):
@@ -204,7 +204,7 @@ def pack(
             )
 
     return joined.select(
-        "doc_id", "source", "n_tokens", "ids", F.col("p.queue").alias("queue"), (F.col("at") + F.col("ahead")).alias("start")
+        "doc_id", "source", "n_tokens", "ids", "queue", (F.col("at") + F.col("ahead")).alias("start")
     ).mapInArrow(
         lay_out,
         "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
