@@ -9,7 +9,7 @@ the capacities of the terminal edges, weights those between blocks. Blocks whose
 all their edges are decided at once (exactly), a maximum flow decides the rest.
 
 The classifier is a logistic regression over measurements of a block's text only, learned from blocks
-whose place in the page leaves no doubt, on the `SAMPLE` pages that come first by a hash, each with at
+whose place in the page leaves no doubt, on about `SAMPLE` pages taken by a hash, each with at
 most `SAMPLE_BLOCKS` blocks spread over it. All pages are labelled whole.
 
 Null, empty and broken pages have the text that is found, possibly none; one row per input row.
@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from patronage.llm.text import hashed_sample
+
 SAMPLE, SAMPLE_BLOCKS = 1000, 200
 #: weight of an edge between blocks of one container; odds are cut to this size
 SMOOTH, MOST_ODDS = 1.5, 4.0
@@ -308,7 +310,7 @@ def label_blocks(blocks: list[Block], classifier: Classifier) -> list[bool]:
 
 
 def train(pages: DataFrame) -> Classifier:
-    sample = pages.where("html is not null").select("html", F.xxhash64("url", "html").alias("h")).orderBy("h", "html").limit(SAMPLE)
+    sample = hashed_sample(pages.where("html is not null").select("page_id", "url", "html"), SAMPLE, "page_id", "url")
 
     def encode(batches):
         for batch in batches:

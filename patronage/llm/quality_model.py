@@ -6,8 +6,8 @@ document) and a hidden layer. Gated attention gives every passage a weight, the
 passages represents the document, and a logistic output scores it. Only documents have labels, so the
 weights are learned from these alone.
 
-The model is fitted on the driver from at most `SAMPLE` labelled documents (the first by a hash of their
-id), each with at most `SAMPLE_PASSAGES` passages spread over it; scoring reads every passage of every
+The model is fitted on the driver from about `SAMPLE` labelled documents (taken by a hash of their id,
+at most twice as many), each with at most `SAMPLE_PASSAGES` passages spread over it; scoring reads every passage of every
 text. A label that is null, or has no document, is not used; of several for one document the least.
 
 Null and empty texts are one passage without words. Null ids and repeated rows are scored like others.
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from patronage.llm.text import LOWER, blocks, column_bytes, hash_spans, mix, word_spans
+from patronage.llm.text import LOWER, blocks, column_bytes, hash_spans, hashed_sample, mix, word_spans
 
 WORDS, WIDEST = 64, 96
 SAMPLE, SAMPLE_PASSAGES = 2500, 32
@@ -170,7 +170,7 @@ def train(documents: DataFrame, labels: DataFrame, held_out: Column) -> BagModel
         labels.select("doc_id", "quality").where("doc_id is not null and quality is not null").where(~held_out)
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
-    ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    ids = hashed_sample(known, SAMPLE, "doc_id")
 
     def encode(batches):
         for batch in batches:
@@ -185,7 +185,7 @@ def train(documents: DataFrame, labels: DataFrame, held_out: Column) -> BagModel
                     names=["doc_id", "bag", "quality"],
                 )
 
-    sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # SAMPLE rows of two numbers
+    sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most twice SAMPLE rows of two numbers
     rows = sample.select("doc_id", "text", "quality").mapInArrow(encode, "doc_id bigint, bag binary, quality int").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["bag"])))
     y = np.array([float(r["quality"] == 1) for r in rows])

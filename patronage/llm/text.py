@@ -118,6 +118,12 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def plain_columns(df: DataFrame, *wanted: str) -> DataFrame:
-    """Only the wanted columns, so that further columns of any name cannot clash."""
-    return df.select(*wanted)
+def hashed_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
+    """About `size` rows, at most twice as many, by a hash of the keys; all rows of a smaller table.
+
+    Every task picks its own rows, so no task gathers more than the sample.
+    """
+    n = df.count()
+    if n <= size:
+        return df
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < F.lit((size << 40) // n)).limit(2 * size)
