@@ -15,6 +15,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def one_task_windows(text: str) -> list[str]:
+    """Windows that get all rows in one task; an ordered window has a sort before its exchange."""
+    return re.findall(r"Window .*\n(?:.*\bSort .*\n)?.*Exchange SinglePartition", text)
+
+
+def test_ordered_one_task_windows_are_seen(spark):
+    from pyspark.sql import Window, functions as F
+
+    df = spark.range(10)
+    assert one_task_windows(plan(df.withColumn("n", F.row_number().over(Window.orderBy("id")))))
+    assert not one_task_windows(plan(df.withColumn("n", F.row_number().over(Window.partitionBy(F.col("id") % 3).orderBy("id")))))
+
+
 HEAVY = [
     "payment_behavior",
     "review_behavior",
@@ -25,6 +38,13 @@ HEAVY = [
     "order_value_join",
     "threshold_sweep",
     "risk_segmentation",
+    "group_stats",
+    "spend_quantiles",
+    "value_segment",
+    "customer_master",
+    "churn_dataset",
+    "review_sentiment",
+    "semi_join_items",
 ]
 
 
@@ -33,7 +53,7 @@ def test_no_python_no_product_no_one_task_window(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "PythonUDF" not in text and "ArrowEvalPython" not in text
-    assert not re.search(r"Window .*\n.*Exchange SinglePartition", text)
+    assert not one_task_windows(text)
 
 
 @pytest.mark.parametrize("build", [customers.customer_features, lambda s: churn.churn_dataset(s, thresholds=dict(churn.DEFAULT_THRESHOLDS))])
