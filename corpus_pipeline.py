@@ -20,7 +20,10 @@ from patronage.llm.text import store
 
 def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept. Judged row by row, so repeated rows stay repeated."""
-    kept = quality_rules.quality_rules(docs, "v3", carry=docs.columns).where("kept")
+    judged = quality_rules.quality_rules(docs, "v3", carry=docs.columns)
+    # without a column that differs between tasks the condition would move below the measurements and
+    # compute each of them once more wherever a rule mentions it
+    kept = judged.withColumn("task", F.spark_partition_id()).where("kept and task >= 0")
     return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
