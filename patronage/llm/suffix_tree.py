@@ -1,19 +1,29 @@
-"""Language-model scores from a probabilistic suffix tree, beside a unigram baseline over words.
+"""Language-model scores from a suffix tree of words over one of bytes, beside a unigram baseline over words.
 
-The tree. Texts are bytes with A-Z lowered and an end symbol; bytes are grouped in 32 classes (letters,
+The tree of words. Every run of 2 to `ORDER` tokens (words and the end) of the training texts is counted, in
+Spark, by its hash; none is dropped, so the states, the runs that occur, grow with the corpus. The probability
+of a token after its context is (count of both + W * P(token | context without its oldest word)) / (count of
+the context + W), down to the empty context, whose W is the number of distinct words and whose prior is the
+spelling of the token by the tree of bytes. A context that tells no more than its suffix so predicts as
+its suffix does. White space is drawn from the tree of bytes; after white space and at the start of a text
+the tree of words draws a word or the end. All probabilities of a place sum to one.
+
+The tree of bytes, of a bounded size, is the prior of unseen words only. Texts are bytes with A-Z lowered and an end symbol; bytes are grouped in 32 classes (letters,
 space, other white space and end, digits, marks, first and following bytes of longer characters). For
 every position of the training texts the four classes before it are a context. Contexts of every length
 are counted over the whole corpus. Going from short to long, a context becomes a state when it is
 frequent enough (a share `P_MIN` of all positions, which bounds the number of states per length by
 1 / P_MIN whatever the corpus) and its next-class distribution diverges from that of its longest
 suffix state: count times Kullback-Leibler divergence at least `DIVERGENCE`. Its distribution is
-smoothed with that of the suffix state. A text's score is the sum of log10 P(class | longest suffix
-state) + log10 P(byte | class): the probability of the whole text and its end.
+smoothed with that of the suffix state. The spelling is the product of P(class | longest suffix state) *
+P(byte | class). A text's score is log10 of the probability of the whole text and its end.
 
 The baseline. A token's count over the training texts is needed for every token of every text. Texts are
-dealt in blocks of neighbouring doc_ids; a block sends each distinct word once with its count, words are
-summed over blocks, and each block gets the sums of its words back. A word that every text holds costs
-one row per block. Nothing of the vocabulary reaches the driver.
+dealt in blocks of neighbouring doc_ids; a block sends each distinct word and run once with its count, they
+are summed over blocks, and each block gets the sums of its own back, in Parquet tables. Runs that occur
+once, in that block's training texts, need no answer. A row holds the sorted hashes of a block in one
+bucket of hashes; there are as many buckets as the bytes of the corpus need. A word that every text holds
+costs one entry per block and batch. Nothing of the vocabulary reaches the driver.
 
 Null and empty texts consist of the end. Rows with a null doc_id are never held out; rows that repeat a
 doc_id are separate texts.
@@ -22,21 +32,26 @@ doc_id are separate texts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from patronage.llm.text import LOWER, blocks, column_bytes, hash_spans, mix, release, store, word_spans
+from patronage.llm.text import IS_SPACE, LOWER, blocks, column_bytes, hash_spans, mix, release, store, word_spans
 
 CLASSES, BITS, DEPTH = 32, 5, 4
 #: share of positions that a context needs, divergence that it needs, weight of its suffix state
 P_MIN, DIVERGENCE, WEIGHT = 1e-5, 10.0, 20.0
 #: neighbouring doc_ids in a block
 BLOCK_IDS = 4096
+#: tokens in the longest run that is counted, weight of the next shorter context
+ORDER, WORD_WEIGHT = 5, 4.0
 _OTHER = 27  # white space other than the space, controls, and the end symbol
 _END = 256
+_LAST = np.uint64(0x9E3779B97F4A7C14)  # the end as a token
+_ENDS_WORD = np.append(IS_SPACE, True)
 
 
 def _classes() -> np.ndarray:
@@ -137,8 +152,21 @@ class SuffixTree:
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         symbols, places = _symbols(raw, offsets)
         code = _codes(symbols)
-        at = self.state[code >> np.uint32(BITS)] * CLASSES + (code & np.uint32(CLASSES - 1))
-        return np.add.reduceat(self.log_class.reshape(-1)[at] + self.log_byte[symbols], places[:-1])
+        return np.add.reduceat(self.steps(symbols, code)[1], places[:-1])
+
+    def steps(self, symbols: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state before every symbol and log10 of the symbol's probability."""
+        node = self.state[code >> np.uint32(BITS)]
+        at = node * CLASSES + (code & np.uint32(CLASSES - 1))
+        return node, self.log_class.reshape(-1)[at] + self.log_byte[symbols]
+
+    def boundaries(self) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probabilities, in every state, of what ends a word (white space and the end) and of
+        what ends white space (the end and all else)."""
+        byte, ends = 10**self.log_byte, np.flatnonzero(_ENDS_WORD)
+        each = 10 ** self.log_class[:, CLASS[ends]] * byte[ends]
+        closes = each.sum(axis=1)
+        return np.log10(closes), np.log10(np.maximum(1 - closes, 0) + each[:, -1])
 
 
 def build_tree(counts: DataFrame, p_min: float = P_MIN) -> SuffixTree:
@@ -181,99 +209,224 @@ def build_tree(counts: DataFrame, p_min: float = P_MIN) -> SuffixTree:
     return SuffixTree(state, np.log10(np.stack(tables)), log_byte, np.array(depths))
 
 
-def _block() -> Column:
-    """Blocks of neighbouring doc_ids; rows without one are spread by their text."""
-    return F.coalesce(F.expr(f"doc_id div {BLOCK_IDS}"), -1 - F.pmod(F.xxhash64("text"), F.lit(1 << 16)))
+def _block(lowest: int, highest: int, rows: int, nulls: int) -> Column:
+    """Blocks of about `BLOCK_IDS` rows with neighbouring doc_ids; rows without one are spread by their text."""
+    width = min(max(1, (highest - lowest + 1) // max(rows, 1)) * BLOCK_IDS, 1 << 62)
+    low = lowest // width  # blocks of null rows come before it
+    spread = F.pmod(F.xxhash64("text"), F.lit(nulls // BLOCK_IDS + 1))
+    return F.coalesce(F.floor(F.expr(f"doc_id div {width}L")), F.lit(min(low, 0) - 2).cast("bigint") - spread)
+
+
+@dataclass
+class Tokens:
+    """The tokens of a block of texts: the words, lower case, and the end of each text."""
+
+    token: np.ndarray  # hashes
+    first: np.ndarray  # of each text
+    word: np.ndarray  # not an end
+    doc: np.ndarray
+    starts: np.ndarray  # bytes of the words
+    ends: np.ndarray
+
+    def runs(self, most: int = 0):
+        """For every size from 2: hashes of the runs that end at each token, and where the text has so many."""
+        before = np.arange(len(self.token)) - self.first[self.doc]
+        run = self.token
+        for size in range(2, (most or ORDER) + 1):
+            longer = self.token.copy()
+            longer[1:] = mix(run[:-1] * _FACTOR + self.token[1:])
+            run = longer
+            yield run & ~np.uint64(2), before >= size - 1
+
 
+_FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
 
-def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, lower case, and the first word of each text."""
+
+def _tokens(raw: np.ndarray, offsets: np.ndarray) -> Tokens:
+    """The tokens of the texts; `_HELD_OUT` is not set in a hash."""
     low = LOWER[raw]
     starts, ends, first = word_spans(low, offsets)
-    return hash_spans(low, starts, ends).view(np.int64), first
+    first = first + np.arange(len(offsets))
+    token = np.full(int(first[-1]), _LAST)
+    word = np.ones(len(token), dtype=bool)
+    word[first[1:] - 1] = False
+    token[word] = hash_spans(low, starts, ends) & ~np.uint64(3)
+    return Tokens(token, first, word, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), starts, ends)
+
+
+#: the bit of a hash that tells texts that are held out
+_HELD_OUT = np.uint64(2)
+#: bytes of text for a bucket of words or runs
+BUCKET = 4 << 20
 
 
-def _block_words(documents: DataFrame) -> DataFrame:
-    """(block, word, n): the distinct words of a block and their count in its training texts."""
+def _packed(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Sorted keys and a small number for each: byte planes of the differences and of the numbers."""
+    pair = np.stack([np.diff(keys, prepend=np.uint64(0)), values.astype(np.uint64)])
+    planes = pair.view(np.uint8).reshape(2, len(keys), 8).transpose(0, 2, 1).tobytes()
+    return len(keys).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 16 * n, codec="zstd"), dtype=np.uint8).reshape(2, 8, n)
+    pair = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(2, n)
+    return np.cumsum(pair[0], dtype=np.uint64), pair[1].astype(np.int64)
+
+
+def _block_runs(documents: DataFrame, size: int, bits: int) -> DataFrame:
+    """(bucket, block, runs): the distinct runs of `size` tokens (words for 1) of a part of a block by the
+    first bits of their hash, and how often they occur; those of texts that are held out stand apart."""
 
     def count(batches):
         for batch in batches:
             raw, offsets = column_bytes(batch.column(1))
-            train = 1 - batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            out = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint64) << np.uint64(1)
             group = batch.column(0).to_numpy(zero_copy_only=False)
-            found = []
-            for low, high, part, places in blocks(raw, offsets, 16 << 20):
-                word, first = _words(part, places)
-                doc = np.repeat(np.arange(low, high), np.diff(first))
-                own = mix(word.view(np.uint64) ^ mix(group[doc].view(np.uint64)))
-                _, at, back = np.unique(own, return_index=True, return_inverse=True)
-                n = np.bincount(back, weights=train[doc], minlength=len(at)).astype(np.int64)
-                found.append((group[doc[at]], word[at], n))
-            if found:
-                columns = [np.concatenate(c) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["block", "word", "n"])
-
-    return documents.select("block", "text", "held_out").mapInArrow(count, "block bigint, word bigint, n bigint")
-
-
-_ROW = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_sum double, score double, new_words bigint"
+            for low, _, part, places in blocks(raw, offsets, 8 << 20):
+                found = _tokens(part, places)
+                key, held = found.token, found.word
+                for key, held in found.runs(size):
+                    pass
+                doc = found.doc[held] + low
+                key = (key[held] & ~_HELD_OUT) | out[doc]
+                rows: list[tuple[int, int, bytes]] = []
+                for block in np.unique(group[low : low + len(places) - 1]):
+                    every = np.sort(key[group[doc] == block])
+                    edges = np.flatnonzero(np.append(np.diff(every) != 0, True)) + 1 if len(every) else np.zeros(0, np.int64)
+                    every, n = every[edges - 1], np.diff(edges, prepend=0)
+                    bucket = (every >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(every), np.int64)
+                    edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+                    rows += [(int(bucket[i]), int(block), _packed(every[i:j], n[i:j])) for i, j in zip(edges, edges[1:])]
+                if rows:
+                    kinds = (pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "block", "runs"])
+
+    return documents.select("block", "text", "held_out").mapInArrow(count, "bucket bigint, block bigint, runs binary")
+
+
+def _answers(texts: DataFrame, size: int, bits: int) -> DataFrame:
+    """(b, runs, different, n): for each block its words or runs and their count in all training texts; how
+    many have such a count, and the sum, in one row of a bucket. A run that is left out occurs in the
+    block's training texts only, once, or never."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [_unpacked(data) for data in table.column("runs").to_pylist()]
+        key, n = (np.concatenate(x) for x in zip(*parts))
+        block = np.repeat(table.column("block").to_numpy(), [len(k) for k, _ in parts])
+        out, key = (key & _HELD_OUT) != 0, key & ~_HELD_OUT
+        every, back = np.unique(key, return_inverse=True)
+        c = np.bincount(back, weights=np.where(out, 0, n), minlength=len(every)).astype(np.int64)
+        mine = c[back]
+        asked = np.flatnonzero((mine > 1) | ((mine == 1) & (out | (size == 1))))
+        asked = asked[np.lexsort((key[asked], block[asked]))]
+        key, block, mine = key[asked], block[asked], mine[asked]
+        first = np.ones(len(key), dtype=bool)
+        first[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+        key, block, mine = key[first], block[first], mine[first]
+        edges = np.append(np.flatnonzero(np.diff(block, prepend=block[:1] - 1)), len(block))
+        out = [(int(block[i]), _packed(key[i:j], mine[i:j]), 0, 0) for i, j in zip(edges, edges[1:])]
+        if out:
+            out[0] = (*out[0][:2], int((c > 0).sum()), int(c.sum()))
+        columns = list(zip(*out)) or [[]] * 4
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=["b", "runs", "different", "n"])
+
+    return _block_runs(texts, size, bits).groupBy("bucket").applyInArrow(merge, "b bigint, runs binary, different bigint, n bigint")
+
+
+def _text_scores(tree: SuffixTree, part: np.ndarray, places: np.ndarray, found: Tokens, counts: list[np.ndarray], seen: int, distinct: int) -> np.ndarray:
+    """log10 of the probability of each text. `counts` are those of the runs of 1 to ORDER tokens that end at
+    each token, `seen` of all tokens, `distinct` of different ones."""
+    symbols, at = _symbols(part, places)
+    node, steps = tree.steps(symbols, _codes(symbols))
+    sums = np.concatenate([[0.0], np.cumsum(steps)])
+    closes, opens = tree.boundaries()
+    # spelling of words, given that white space ends
+    spelled = np.empty(len(found.token))
+    starts, ends = found.starts + found.doc[found.word], found.ends + found.doc[found.word]
+    spelled[found.word] = sums[ends] - sums[starts] + closes[node[ends]] - opens[node[starts]]
+    last = at[1:] - 1
+    spelled[~found.word] = steps[last] - opens[node[last]]
+    # an end right after a word was drawn with the end of the word
+    drawn = np.ones(len(found.token), dtype=bool)
+    drawn[~found.word] = (last == at[:-1]) | _ENDS_WORD[symbols[last - 1]]
+    prior = spelled * np.log(10)
+    with np.errstate(divide="ignore"):
+        p = np.logaddexp(np.log(counts[0]), np.log(distinct) + prior) - np.log(seen + distinct)
+        for size, (_, held) in enumerate(found.runs(), 2):
+            h = np.flatnonzero(held)
+            context = counts[size - 2][h - 1]
+            p[h] = np.logaddexp(np.log(counts[size - 1][h]), np.log(WORD_WEIGHT) + p[h]) - np.log(context + WORD_WEIGHT)
+    gain = np.where(drawn, (p - prior) / np.log(10), 0.0)
+    return np.diff(sums[at]) + np.bincount(found.doc, weights=gain, minlength=len(places) - 1)
+
+
+_ROW = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_sum double, score double"
 
 
 def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; `held_out` marks rows not learned from."""
     spark = documents.sparkSession
-    texts = documents.select("doc_id", "text", held_out.alias("held_out")).withColumn("block", _block())
+    texts = documents.select("doc_id", "text", held_out.alias("held_out"))
+    size = texts.agg(
+        F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"), F.count("doc_id").alias("rows"), F.count_if(F.isnull("doc_id")).alias("nulls"),
+        F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("ends"),
+    ).first()
+    bits, ends = ((size["bytes"] or 0) // BUCKET).bit_length(), size["ends"]
+    texts = texts.withColumn("block", _block(size["lowest"] or 0, size["highest"] or 0, size["rows"], size["nulls"]))
     tree = spark.sparkContext.broadcast(build_tree(store(_ngram_counts(texts), "ngrams")))
     release(spark)
-    # every block's words with their counts over all blocks; one row per word is its first
-    per_word = Window.partitionBy("word")
-    answers = (
-        _block_words(texts).groupBy("block", "word").agg(F.sum("n").alias("n"))
-        .withColumn("c", F.sum("n").over(per_word))
-        .withColumn("fresh", (F.min("block").over(per_word) == F.col("block")) & (F.col("c") > 0))
-        .select(F.col("block").alias("b"), "word", "c", "fresh")
-    )
+    # one size after the other, so that only its runs are on disk
+    answers = []
+    for tokens_of_run in range(1, ORDER + 1):
+        answers.append(store(_answers(texts, tokens_of_run, bits), "runs"))
+        release(spark)
+    row = answers[0].agg(F.sum("different").alias("words"), F.sum("n").alias("n")).first()
+    tokens, distinct = (row["n"] or 0) + ends, (row["words"] or 0) + (ends > 0)
+    runs = reduce(DataFrame.unionByName, (a.select("b", "runs", F.lit(k).alias("size")) for k, a in enumerate(answers, 1)))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        word = right.column("word").to_numpy()
-        order = np.argsort(word)
-        word, c = word[order], right.column("c").to_numpy()[order]
+        known_runs = {}
+        sizes = right.column("size").to_numpy()
+        for size in range(1, ORDER + 1):
+            # buckets are ranges of hashes, so together they are sorted too
+            parts = [_unpacked(data) for data in right.column("runs").filter(pa.array(sizes == size)).to_pylist()]
+            parts.sort(key=lambda part: part[0][0])
+            known_runs[size] = [np.concatenate(x) for x in zip(*parts)] if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         raw, offsets = column_bytes(left.column("text"))
+        train = ~left.column("held_out").to_numpy().astype(bool)
         columns: list[list[np.ndarray]] = [[], [], [], []]
-        for _, _, part, places in blocks(raw, offsets):
-            found, first = _words(part, places)
-            count = c[np.searchsorted(word, found)] if len(found) else np.zeros(0, np.int64)
+
+        def looked_up(size: int, keys: np.ndarray, missing: np.ndarray) -> np.ndarray:
+            run, c = known_runs[size]
+            at = np.minimum(np.searchsorted(run, keys), max(len(run) - 1, 0))
+            return np.where(run[at] == keys, c[at], missing) if len(run) else missing
+
+        for low, _, part, places in blocks(raw, offsets):
+            found = _tokens(part, places)
+            own = train[found.doc + low].astype(np.int64)
+            count = looked_up(1, found.token, np.zeros_like(own))
+            first = found.first - np.arange(len(found.first))
             for column, values in zip(columns, (np.log10(count + 1.0), (count > 0).astype(np.float64))):
-                column.append(np.diff(np.concatenate([[0.0], np.cumsum(values)])[first]))
-            columns[2].append(np.diff(first) + 1)
-            columns[3].append(tree.value.scores(part, places))
-        sums, known, tokens, scores = (np.concatenate(x) if x else np.zeros(0) for x in columns)
-        fresh = np.zeros(len(left), dtype=np.int64)
-        if len(left):
-            fresh[0] = right.column("fresh").to_numpy(zero_copy_only=False).sum()
+                column.append(np.diff(np.concatenate([[0.0], np.cumsum(values[found.word])])[first]))
+            columns[2].append(np.diff(found.first))
+            count[~found.word] = ends
+            counts = [count, *(looked_up(k, run, own) for k, (run, _) in enumerate(found.runs(), 2))]
+            columns[3].append(_text_scores(tree.value, part, places, found, counts, tokens, max(distinct, 1)))
+        sums, known, lengths, scores = (np.concatenate(x) if x else np.zeros(0) for x in columns)
         return pa.table(
             {
                 "doc_id": left.column("doc_id"),
                 "held_out": left.column("held_out"),
-                "n_tokens": pa.array(tokens.astype(np.int64)),
+                "n_tokens": pa.array(lengths.astype(np.int64)),
                 "n_known": pa.array(known.round().astype(np.int64)),
                 "log_sum": pa.array(sums),
                 "score": pa.array(scores),
-                "new_words": pa.array(fresh),
             }
         )
 
-    scored = store(
-        texts.groupBy("block").cogroup(answers.groupBy("b")).applyInArrow(score, _ROW).withColumn("train", ~F.col("held_out")), "scored"
-    )
-    release(spark)
-    row = scored.agg(
-        F.sum(F.when(F.col("train"), F.col("n_tokens"))).alias("tokens"),
-        F.sum("new_words").alias("words"),
-        F.count_if("train").alias("ends"),
-    ).first()
-    tokens, ends = row["tokens"] or 0, row["ends"] or 0
-    distinct = (row["words"] or 0) + (ends > 0)
+    scored = texts.groupBy("block").cogroup(runs.groupBy("b")).applyInArrow(score, _ROW)
     return scored.select(
         "doc_id",
         "held_out",

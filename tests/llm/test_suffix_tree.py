@@ -104,3 +104,81 @@ def test_divergence_decides(tree):
     built = st.build_tree(frame)
     assert built.depth.max() >= 1 and built.state[26] != 0
     assert built.log_class[built.state[26]].argmax() == 0
+
+
+def by_runs(tree, rows, held):
+    """The scores from plain counts of runs of words, one token at a time."""
+    counts = Counter()
+    for (_, text), out in zip(rows, held):
+        if not out:
+            line = tokens(text)
+            counts.update(tuple(line[i:j]) for i in range(len(line)) for j in range(i + 1, min(len(line), i + st.ORDER) + 1))
+    seen = sum(n for run, n in counts.items() if len(run) == 1)
+    distinct = max(1, sum(len(run) == 1 for run in counts))
+    prob = lambda node, b: 10 ** (tree.log_class[node, st.CLASS[b]] + tree.log_byte[b])
+    white = [*b" \t\n\x0b\x0c\r"]
+    for _, text in rows:
+        line = [*(x + 32 if 65 <= x <= 90 else x for x in (text or "").encode()), st._END]
+        nodes = []
+        for k in range(len(line)):
+            context = 0
+            for c in ([st._OTHER] * st.DEPTH + [int(st.CLASS[b]) for b in line[:k]])[-st.DEPTH :]:
+                context = context * st.CLASSES + c
+            nodes.append(int(tree.state[context]))
+        total, past, k = 0.0, [], 0
+        closes = lambda k: sum(prob(nodes[k], b) for b in [*white, st._END])
+        after_word = False
+        while True:
+            # white space, then a word or the end
+            start = k
+            while line[k] in white:
+                total += math.log10(prob(nodes[k], line[k]) / (closes(k) if after_word and k == start else 1))
+                k += 1
+            if line[k] == st._END and after_word and k == start:
+                total += math.log10(prob(nodes[k], st._END) / closes(k))
+                break
+            stop = 1 - sum(prob(nodes[k], b) for b in white)
+            total += math.log10(stop)
+            end = k
+            while line[end] != st._END and line[end] not in white:
+                end += 1
+            word = bytes(line[k:end]) if end > k else None
+            spelled = math.prod(prob(nodes[i], line[i]) for i in range(k, end)) * closes(end) if word else prob(nodes[k], st._END)
+            p = (counts[word,] + distinct * spelled / stop) / (seen + distinct)
+            for size in range(1, min(len(past), st.ORDER - 1) + 1):
+                context = tuple(past[-size:])
+                p = (counts[(*context, word)] + st.WORD_WEIGHT * p) / (counts[context] + st.WORD_WEIGHT)
+            total += math.log10(p)
+            if word is None:
+                break
+            past.append(word)
+            k, after_word = end, True
+        yield total
+
+
+def test_scores_are_those_of_runs_of_words(make_documents, monkeypatch):
+    monkeypatch.setattr(st, "BLOCK_IDS", 8)
+    rows = [(k, " ".join(f"{'ABcé7'[j % 5]}{j * j * k % 7}" for j in range(k % 13))) for k in range(60)]
+    rows += [(70, None), (71, " \n "), (72, "a \t b\n"), (73, "c1  c1 c1"), (74, "数 字 数 字"), (None, "a b")]
+    frame = make_documents(rows)
+    held = [k is not None and zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in rows]
+    built = st.build_tree(st._ngram_counts(frame.withColumn("held_out", held_out(frame["doc_id"], 7, 2))))
+    want = {k: s for (k, _), s in zip(rows, by_runs(built, rows, held))}
+    have = {r["doc_id"]: r["score"] for r in scored(frame)}
+    assert sum(held) > 5 and have == pytest.approx(want)
+
+
+def test_phrases_are_learned(make_documents):
+    """Words of one length in the order of the corpus score far better than out of order; the states grow."""
+    words = [f"{'bcdfghjklm'[k // 10]}{'aeiou'[k % 5]}{'npqrstvwxz'[k % 10]}{k:02d}数" for k in range(100)]
+    held = [k for k in range(300) if zlib.crc32(str(k).encode()) % 7 == 2]
+    line = lambda k: " ".join(words[(k + j) % 100] for j in range(30))
+    mixed = lambda k: " ".join(words[(k + 37 * j) % 100] for j in range(30))
+    frame = make_documents([(k, mixed(k) if k in held[:9] else line(k)) for k in range(300)])
+    got = {r["doc_id"]: r["score"] for r in scored(frame) if r["held_out"]}
+    assert max(got[k] for k in held[:9]) < 4 * min(got[k] for k in held[9:])
+    sizes = [
+        sum(r["different"] for r in st._answers(f.select("text", F.col("doc_id").alias("block"), F.lit(False).alias("held_out")), 3, 2).collect())
+        for f in (frame.where("doc_id < 20"), frame)
+    ]
+    assert sizes[1] > 1.5 * sizes[0]
