@@ -22,9 +22,11 @@ with a smaller doc_id, or earlier in the same document. Strings are judged on th
    minimum, and all windows but the first are marked.
 5. Marks are joined to the documents, united and cut out.
 
-Null and empty texts have no windows. Documents with a null doc_id come before all others. Rows that
-repeat a doc_id are one document: a string does not count as earlier when it has the same doc_id and
-start, and a row's marks are those of all rows with its doc_id, as far as its text reaches.
+Null and empty texts have no windows. Every row with a null doc_id is a document of its own; they come
+before all others, in the order of the MD5 of their texts. Different texts of one doc_id are documents of
+their own too, in that order. Only rows with equal doc_id and text are one document: none is earlier than
+the other, and all get the same marks. Where ids are null or repeated, the rows are numbered in a stored
+table and the numbers are the keys; otherwise the ids are.
 """
 
 from __future__ import annotations
@@ -46,7 +48,6 @@ FLUSH = 1 << 20
 #: a text is cut into parts of this many windows, so that a place fits the low bits of a hash
 PART = 1 << 22
 _LOW = 24
-_FIRST = -(1 << 63)
 _FACTORS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -155,7 +156,7 @@ def _cut(documents: DataFrame, length: int) -> DataFrame:
         _, heads, back = np.unique(whole ^ name, return_index=True, return_inverse=True)
         head = np.zeros(len(doc), dtype=bool)
         head[heads] = True
-        # rows that repeat a doc_id: the same place is not an earlier one
+        # rows that repeat a doc_id and its text: the same place is not an earlier one
         again = np.flatnonzero(~head & ((doc != doc[heads[back]]) | (start != start[heads[back]])))
         joins = np.zeros(len(again), dtype=bool)
         joins[1:] = (again[1:] == again[:-1] + 1) & (doc[again[1:]] == doc[again[:-1]])
@@ -182,7 +183,7 @@ def _cut(documents: DataFrame, length: int) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            keys = np.array(batch.column(0).fill_null(_FIRST).to_numpy(zero_copy_only=False), dtype=np.int64)
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
             if (keys[1:] < keys[:-1]).any():
                 batch, keys = batch.take(pa.array(np.argsort(keys, kind="stable"))), np.sort(keys)
             raw, offsets = column_bytes(batch.column(1))
@@ -200,7 +201,7 @@ def _cut(documents: DataFrame, length: int) -> DataFrame:
             if found:
                 yield flush(found)
 
-    return documents.select("doc_id", "text").mapInArrow(cut, _ROW)
+    return documents.select("doc", "text").mapInArrow(cut, _ROW)
 
 
 _SCHEMA = pa.schema(
@@ -302,7 +303,7 @@ def _meet(rows: DataFrame, length: int) -> DataFrame:
 def _fetch(found: DataFrame, documents: DataFrame, length: int) -> DataFrame:
     """The bytes of the segments in `found`, read from their documents."""
     asked = found.groupBy("doc").agg(F.collect_list(F.struct("kind", "name", "start", "windows", "lead")).alias("asked"))
-    keyed = documents.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("doc"), "text")
+    keyed = documents.select("doc", "text")
 
     def slices(batches):
         for batch in batches:
@@ -505,6 +506,30 @@ def _grouped(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    """`documents` with `doc`, in the order of doc_id: the same for equal rows with an id, else different."""
+    odd = documents.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 or doc_id is null")
+    if odd.isEmpty():
+        return documents.withColumn("doc", F.col("doc_id"))
+    # the last key spreads equal rows; numbers grow from partition to partition and inside them
+    order = [F.col("doc_id").asc_nulls_first(), F.col("digest").asc_nulls_first()]
+    numbered = store(
+        documents.withColumn("digest", F.md5("text"))
+        .withColumn("spread", F.rand(7))
+        .repartitionByRange(*order, F.col("spread"))
+        .sortWithinPartitions(*order)
+        .drop("spread")
+        .withColumn("number", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    again = numbered.groupBy("doc_id", "digest").agg(F.min("number").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    # rows without an id or a text find no partner
+    return store(
+        numbered.join(again, ["doc_id", "digest"], "left").withColumn("doc", F.coalesce("least", "number")).drop("digest", "number", "least"),
+        "keyed",
+    )
+
+
 def remove_repeats(documents: DataFrame, length: int = 100, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_bytes, spans array of start and end, kept binary), one row per input row.
 
@@ -514,6 +539,9 @@ def remove_repeats(documents: DataFrame, length: int = 100, carry: list[str] | N
     if length < 2 * ANCHOR:
         raise ValueError(f"length must be at least {2 * ANCHOR}")
     spark = documents.sparkSession
+    row = [F.struct(*(F.col(c) for c in carry)).alias("row")] if carry else []
+    documents = _keyed(documents.select("doc_id", "text", *row))
+    release(spark)
     met = store(_meet(_cut(documents, length), length), "met")
     release(spark)
     rows = store(_fetch(met.where(F.col("kind") > _MARK), documents, length), "segments")
@@ -567,9 +595,7 @@ def remove_repeats(documents: DataFrame, length: int = 100, carry: list[str] | N
                 columns["kept"] = pa.array(kept, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
-    row = [F.struct(*(F.col(c) for c in carry)).alias("row")] if carry else []
-    keyed = documents.select("doc_id", "text", F.coalesce("doc_id", F.lit(_FIRST)).alias("doc"), *row)
-    joined = keyed.join(marked, "doc", "left").select("doc_id", "text", "marks", *(["row"] if carry else []))
+    joined = documents.join(marked, "doc", "left").select("doc_id", "text", "marks", *(["row"] if carry else []))
     schema = "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>"
     if carry:
         schema += ", kept_text string, row " + joined.schema["row"].dataType.simpleString()

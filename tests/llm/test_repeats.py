@@ -102,3 +102,22 @@ def test_index_matching_statistics():
         for who, at, length in RunLengthIndex(text).matching_statistics(query, starts, ends):
             for w, a, n in zip(who, at, length):
                 assert n == longest(a, ends[w])
+
+
+def test_rows_without_an_own_id(make_documents):
+    """Null ids and different texts of one id: marks belong to one row, and equal null rows are repeats."""
+    pick = random.Random(5)
+    word = lambda n: "".join(pick.choice("abcdefgh") for _ in range(n))
+    passage = word(150)
+    rows = [(k, text) for k in (None, 7) for text in (passage + word(900), word(500) + passage + word(400), word(1100))]
+    rows += [(None, rows[2][1])] * 3 + [(None, None), (None, None), (7, None), (3, word(300)), (3, "")]
+    seen, want = set(), []
+    for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())):
+        gone = bytearray(len(text or ""))
+        for k in range(len(gone) - 99):
+            if text[k : k + 100] in seen:
+                gone[k : k + 100] = b"\1" * 100
+            seen.add(text[k : k + 100])
+        want.append((str(key), len(gone), "".join(c for c, g in zip(text or "", gone) if not g)))
+    found = remove_repeats(make_documents(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], bytes(r["kept"]).decode()) for r in found) == sorted(want)
