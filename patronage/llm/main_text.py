@@ -38,7 +38,11 @@ _BLOCKS = set(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre search section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
-_RAW = set("script style textarea title noscript template svg math iframe object select button canvas audio video xmp".split())
+# without markup inside: to the next end tag
+_RAW = set("script style textarea title noscript iframe xmp".split())
+# with markup inside: to their own end tag
+_SKIPPED = set("template svg math object select button canvas audio video".split())
+_SELF_CLOSED = set("svg math iframe".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSED_BY_SELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 _OUTSIDE = set("nav footer aside form fieldset menu dialog search".split())
@@ -83,6 +87,51 @@ def _outside(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
+def _raw_end(html: str, tag: str, at: int) -> int:
+    """Where the text of a raw element that opened before `at` ends. Without an end tag of its own the
+    element is empty, but scripts and styles reach to the end of the page."""
+    if tag in ("script", "style"):
+        end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+        return end.end() if end else len(html)
+    end = re.compile(rf"<(/?){tag}(?:\s[^>]*)?/?>", re.I).search(html, at)
+    return end.end() if end and end[1] else at
+
+
+def _skips(html: str) -> dict[int, int]:
+    """For elements of `_SKIPPED` that have an end tag inside the container they open in: where their
+    opening tag ends, and where their end tag does."""
+    found: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}
+    at = 0
+    while m := _TAG.search(html, at):
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag = m[2].lower()
+        if tag in _RAW and not m[1]:
+            if not (tag in _SELF_CLOSED and m[3].endswith("/")):
+                at = _raw_end(html, tag, at)
+        elif tag not in _SKIPPED and (tag not in _BLOCKS or tag in _VOID):
+            continue
+        elif not m[1]:
+            if not (tag in _SELF_CLOSED and m[3].endswith("/")):
+                stack.append((tag, at))
+                opened[tag] = opened.get(tag, 0) + 1
+        elif opened.get(tag):
+            while True:
+                last, start = stack.pop()
+                opened[last] -= 1
+                if last == tag:
+                    break
+            if tag in _SKIPPED:
+                found[start] = at
+    return found
+
+
+_ANY_SKIPPED = re.compile(rf"<(?:{'|'.join(sorted(_SKIPPED))})\b", re.I)
+
+
 def page_blocks(html: str) -> list[Block]:
     """The blocks of text of a page in page order."""
     out: list[Block] = []
@@ -90,6 +139,7 @@ def page_blocks(html: str) -> list[Block]:
     stack: list[tuple[str, int, int]] = [("", 0, OPEN)]
     parts: list[str] = []
     linked, link, numbers, at = 0, 0, 0, 0
+    skips = _skips(html) if _ANY_SKIPPED.search(html) else {}
 
     def finish() -> None:
         nonlocal linked
@@ -120,8 +170,11 @@ def page_blocks(html: str) -> list[Block]:
             continue
         tag, closing, attributes = m[2].lower(), m[1], m[3]
         if tag in _RAW and not closing:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            if not (tag in _SELF_CLOSED and attributes.endswith("/")):
+                at = _raw_end(html, tag, at)
+            parts.append(" ")
+        elif tag in _SKIPPED:
+            at = at if closing else skips.get(at, at)
             parts.append(" ")
         elif tag == "a":
             link = 0 if closing else 1

@@ -86,3 +86,18 @@ def test_rows(spark):
     got = sorted((str(r["page_id"]), str(r["url"]), r["text"], r["n_chars"]) for r in m.extract_main_text(frame).collect())
     assert got == [("1", "u", "x", 1), ("1", "u", "x", 1), ("2", "v", "", 0), ("None", "None", "", 0)]
     assert m.extract_main_text(spark.createDataFrame([], PAGES)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>a</p><svg class=i /><p>b</p><iframe src='x'/><p>c</p></article>", "a\n\nb\n\nc"),
+        ("<article><p>a</p><button>Ok<p>b</p><object data=x><p>c</p></article><p>d <svg><path/></p>", "a\n\nOk\n\nb\n\nc"),
+        ("<article><object><object><p>x</p></object><p>y</p></object><p>a</p><iframe src=1><p>b</p><iframe src=2></iframe></article>", "a\n\nb"),
+        ("<article><div><canvas></div><p>a</p><textarea><p>b</p><video><p>no</p></video>in<button>x</button>line</article></canvas>", "a\n\nb\n\nin line"),
+    ],
+)
+def test_elements_without_an_end_lose_nothing(page, text):
+    trained = m.fit(*_sample())
+    blocks = m.page_blocks(page)
+    assert "\n\n".join(b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true) == text
