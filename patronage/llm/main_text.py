@@ -59,9 +59,12 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 
-IN_ARTICLE, OPEN, OUTSIDE = 1, 0, -1
-#: odds of the place of a block
-PLACE_ODDS = {IN_ARTICLE: 6.0, OPEN: -0.5, OUTSIDE: -40.0}
+# what a page has or lacks, not what the container is
+_FEATURES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)-\S*", re.I)
+
+IN_ARTICLE, OPEN, NAMED, OUTSIDE = 1, 0, -1, -2
+#: odds of the place of a block; those of a class or id can be outweighed by the classifier and edges
+PLACE_ODDS = {IN_ARTICLE: 6.0, OPEN: -0.5, NAMED: -3.0, OUTSIDE: -40.0}
 
 
 @dataclass
@@ -73,18 +76,20 @@ class Block:
     heading: bool
 
 
-def _outside(tag: str, attributes: str, inside_article: bool) -> bool:
+def _outside(tag: str, attributes: str, inside_article: bool) -> int | None:
+    """OUTSIDE, NAMED when only the class or id says so, or None."""
     if tag in _OUTSIDE or (tag == "header" and not inside_article):
-        return True
+        return OUTSIDE
+    named = None
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return OUTSIDE
         if name == "role" and value.lower() in _OUTSIDE_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html") and _OUTSIDE_NAMES.search(value):
-            return True
-    return False
+            return OUTSIDE
+        if name in ("class", "id") and tag not in ("body", "html") and _OUTSIDE_NAMES.search(_FEATURES.sub("", value)):
+            named = NAMED
+    return named
 
 
 def _raw_end(html: str, tag: str, at: int) -> int:
@@ -135,8 +140,8 @@ _ANY_SKIPPED = re.compile(rf"<(?:{'|'.join(sorted(_SKIPPED))})\b", re.I)
 def page_blocks(html: str) -> list[Block]:
     """The blocks of text of a page in page order."""
     out: list[Block] = []
-    # open containers: tag, number, place of what is inside
-    stack: list[tuple[str, int, int]] = [("", 0, OPEN)]
+    # open containers: tag, number, place of what is inside, whether an article is around it
+    stack: list[tuple[str, int, int, bool]] = [("", 0, OPEN, False)]
     parts: list[str] = []
     linked, link, numbers, at = 0, 0, 0, 0
     skips = _skips(html) if _ANY_SKIPPED.search(html) else {}
@@ -147,7 +152,7 @@ def page_blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in stack[-3:])
-                out.append(Block(text, stack[-1][2], tuple(n for _, n, _ in stack), min(linked, len(text)), heading))
+                out.append(Block(text, stack[-1][2], tuple(t[1] for t in stack), min(linked, len(text)), heading))
             parts.clear()
         linked = 0
 
@@ -204,13 +209,15 @@ def page_blocks(html: str) -> list[Block]:
             if tag in _VOID:
                 continue
             numbers += 1
-            place = stack[-1][2]
+            _, _, place, article = stack[-1]
             if place != OUTSIDE:
-                if _outside(tag, attributes, place == IN_ARTICLE):
-                    place = OUTSIDE
+                outside = _outside(tag, attributes, place == IN_ARTICLE)
+                if outside is not None:
+                    place = outside
                 elif tag in ("article", "main") or re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I):
-                    place = IN_ARTICLE
-            stack.append((tag, numbers, place))
+                    # a page wrapper's name does not hold for its article, but that of an article's comments does
+                    place = place if place == NAMED and article else IN_ARTICLE
+            stack.append((tag, numbers, place, article or place == IN_ARTICLE))
 
 
 MEASURES = 8
@@ -369,7 +376,7 @@ def train(pages: DataFrame) -> Classifier:
         for batch in batches:
             rows = []
             for html in batch.column(0).to_pylist():
-                sure = [b for b in page_blocks(html) if b.place != OPEN]
+                sure = [b for b in page_blocks(html) if b.place in (IN_ARTICLE, OUTSIDE)]
                 sure = [sure[k] for k in sorted({*np.linspace(0, len(sure) - 1, min(len(sure), SAMPLE_BLOCKS)).astype(int).tolist()})]
                 x = np.column_stack([measure(sure), [b.place == IN_ARTICLE for b in sure]]) if sure else np.zeros((0, MEASURES + 1))
                 rows.append(np.ascontiguousarray(x, dtype=np.float64).tobytes())

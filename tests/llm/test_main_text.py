@@ -101,3 +101,19 @@ def test_elements_without_an_end_lose_nothing(page, text):
     trained = m.fit(*_sample())
     blocks = m.page_blocks(page)
     assert "\n\n".join(b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='right-sidebar page'><main><p>a</p></main></div>", "a"),
+        ("<div class='widget'><div id=menu><article><p>a</p><div class=comments><article><p>no</p></article></div></article></div></div>", "a"),
+        (f"<div class='has-sidebar no-header'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<div id=with-menu class=widget><p>{LONG}</p><p>{LONG}</p></div><div class=widget><p>Home</p></div>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+        ("<nav><article><p>no</p></article></nav><div hidden><main><p>no</p></main></div>", ""),
+    ],
+)
+def test_names_of_wrappers_do_not_decide_alone(page, text):
+    trained = m.fit(*_sample())
+    blocks = m.page_blocks(page)
+    assert "\n\n".join(b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true) == text
