@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import quality_rules
+from patronage.llm import infilling, quality_rules
+from patronage.llm.centroids import cluster_report, cluster_vectors
 from patronage.llm.decontamination import contaminated_passages
 from patronage.llm.encoding import byte_bpe_50k, word_bpe_49k
 from patronage.llm.id_files import read_documents, write_ids
@@ -18,6 +19,7 @@ from patronage.llm.quality_model import quality_scores
 from patronage.llm.repeats import remove_repeats
 from patronage.llm.suffix_tree import suffix_tree_scores
 from patronage.llm.text import held_out
+from patronage.llm.toxicity import toxicity_scores
 from patronage.session import scratch_path
 
 
@@ -28,7 +30,7 @@ def _table(name: str):
     return read
 
 
-_documents, _pages, _benchmark, _labels = map(_table, ("documents", "pages", "benchmark", "labels"))
+_documents, _pages, _benchmark, _labels, _embeddings = map(_table, ("documents", "pages", "benchmark", "labels", "embeddings"))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,26 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_scores(documents, held_out(documents["doc_id"], 7, 2))
 
 
+def op11_equal_average_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(cluster_vectors(_embeddings(spark, sf_dir), k=16, rounds=3, size=64, scale=64, seed=1))
+
+
+def op12_exception_index_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.fill_in_middle(_documents(spark, sf_dir), seed=42, rate=50, suffix_first=80).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored("form", "output"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_documents(spark, sf_dir), _labels(spark, sf_dir), held_out(F.col("doc_id"), 5, 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -93,9 +115,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_bit_planes": op9_bit_planes,
     "op10_suffix_tree": op10_suffix_tree,
+    "op11_equal_average_search": op11_equal_average_search,
+    "op12_exception_index_infilling": op12_exception_index_infilling,
+    "op13_compression_toxicity": op13_compression_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op12_exception_index_infilling": infilling.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
