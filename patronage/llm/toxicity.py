@@ -6,12 +6,12 @@ with bytes that no text has. A window of `WINDOW` words is compressed with both:
 toxic dictionary saves are the window's evidence. The prose lies at the same distance in both, so windows
 without such passages save nothing.
 
-Passages: a gram is `GRAM` bytes of a word with a space at each end. It is telling when toxic documents hold it
-more than `ODDS` times as often as ordinary ones, with a G statistic of `TELLING` or more. Overlapping telling
-grams of a word join to a passage; the most frequent passages fill the dictionary.
+Passages: a gram is `GRAM` bytes of a word with a space at each end. It is telling when `SHARE` of the toxic
+documents or more hold it, at least `ODDS` times as often as ordinary ones, with a G statistic of `TELLING` or more.
+Overlapping telling grams of a word join to a passage; the most frequent passages fill the dictionary.
 
 The largest savings, their sum and the number of windows are turned into a score by a logistic model with
-the two labels weighted `CLEAN` to 1; its coefficients are fitted on documents that the passages were not taken from.
+ordinary documents weighted `CLEAN` times the toxic ones together; its coefficients are fitted on documents that the passages were not taken from.
 
 Bounds of what is fitted: about `TOXIC` toxic and `ORDINARY` ordinary labelled documents (by a hash of their id,
 at most twice as many; one text for an id, the least), `PASSAGE_BYTES` of passages, `PROSE_BYTES` of prose from
@@ -27,7 +27,6 @@ of them, the score is the smoothed share of label 1.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -39,12 +38,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from patronage.llm.text import IS_SPACE, LOWER, blocks, column_bytes, hashed_sample, store
 
-GRAM, ODDS, TELLING = 5, 6.0, 24.0
-WINDOW, LONGEST = 8, 128
+GRAM, SHARE, ODDS, TELLING = 5, 0.015, 20.0, 24.0
+WINDOW, LONGEST = 12, 128
 PASSAGE_BYTES, PROSE_BYTES = 4096, 32768
 TOXIC, ORDINARY = 2500, 7500
 PIECES, PIECE = 4, 192
-CLEAN = 2.0
+CLEAN = 1.0
 SPACE = 32
 
 
@@ -91,7 +90,7 @@ def grams(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     parameters = zstandard.ZstdCompressionParameters(
         format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0,
-        window_log=17, hash_log=16, chain_log=16, search_log=4, min_match=3, strategy=zstandard.STRATEGY_BTLAZY2,
+        window_log=17, hash_log=16, chain_log=16, search_log=4, min_match=4, strategy=zstandard.STRATEGY_BTLAZY2,
     )
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     dictionary.precompute_compress(compression_params=parameters)
@@ -216,7 +215,7 @@ def _telling_grams(sample: DataFrame, toxic: int, ordinary: int) -> DataFrame:
     g = 2 * (part(F.col("a"), share) + part(F.col("b"), 1 - share))
     odds = ((F.col("a") + 0.5) / (toxic + 1)) / ((F.col("b") + 0.5) / (ordinary + 1))
     # both labels of a sample of bounded size: what is left is small; the strongest fill a dictionary many times over
-    return counted.where((g >= TELLING) & (odds >= ODDS)).orderBy(g.desc(), "gram").limit(8 * PASSAGE_BYTES).select("gram")
+    return counted.where((g >= TELLING) & (odds >= ODDS) & (F.col("a") >= SHARE * toxic)).orderBy(g.desc(), "gram").limit(8 * PASSAGE_BYTES).select("gram")
 
 
 def _passages(sample: DataFrame, telling: np.ndarray) -> bytes:
