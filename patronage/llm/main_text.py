@@ -1,6 +1,6 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into blocks of text. Every block has two costs, for being content and for being
+A page is cut into blocks of text; every character of it is passed a bounded number of times. Every block has two costs, for being content and for being
 boilerplate: the log odds of a classifier over its text plus fixed odds for its place in the page (in an
 article, in a menu, ...). Neighbouring blocks, and blocks that share a container, are joined by edges
 whose weight grows with the part of their path in the page that they share; an edge is paid when its
@@ -12,6 +12,10 @@ The classifier is a logistic regression over measurements of a block's text only
 whose place in the page leaves no doubt, on about `SAMPLE` pages taken by a hash, each with at
 most `SAMPLE_BLOCKS` blocks spread over it. All pages are labelled whole.
 
+Names (class, id) of comments, adverts, notices, sharing and the like put a container and all in it, articles too,
+outside for good, unless it wraps the page (holds <main>, or the h1 and most of the text). Names of a layout (sidebar,
+header, menu) are odds that an article inside, or prose, outweighs.
+
 Null, empty and broken pages have the text that is found, possibly none; one row per input row.
 """
 
@@ -46,50 +50,136 @@ _SELF_CLOSED = set("svg math iframe".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSED_BY_SELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 _OUTSIDE = set("nav footer aside form fieldset menu dialog search".split())
-_OUTSIDE_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|hidden|login|masthead|menu|"
-    r"modal|nav|navbar|navigation|newsletter|notice|overlay|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|"
-    r"sidebar|signup|social|sponsor\w*|subscribe|toolbar|topbar|widget)(?:$|[-_\s])",
+# words of a class or id, fixed values: what is never the article, and parts of a layout that may hold it
+_CLOSED_NAMES = re.compile(
+    r"(?:^|[-_\s])(?:ads?|advert\w*|comments?|cookies?|consent|disqus|login|modal|newsletter|notice|overlay|popup|promo\w*|"
+    r"related|replies|respond|share|sharing|signup|social|sponsor\w*|subscribe)(?:$|[-_\s])",
+    re.I,
+)
+_LAYOUT_NAMES = re.compile(
+    r"(?:^|[-_\s])(?:banner|breadcrumbs?|footer|header|hidden|masthead|menu|nav|navbar|navigation|pager|pagination|"
+    r"sidebar|toolbar|topbar|widget)(?:$|[-_\s])",
     re.I,
 )
 _OUTSIDE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S
-)
+_OPENS = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_MARK = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 
 # what a page has or lacks, not what the container is
 _FEATURES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)-\S*", re.I)
 
 IN_ARTICLE, OPEN, NAMED, OUTSIDE = 1, 0, -1, -2
-#: odds of the place of a block; those of a class or id can be outweighed by the classifier and edges
+#: odds of the place of a block; those of a layout's class or id can be outweighed by the classifier and edges
 PLACE_ODDS = {IN_ARTICLE: 6.0, OPEN: -0.5, NAMED: -3.0, OUTSIDE: -40.0}
 
 
+class Container:
+    """An element with blocks inside; a tree of them replaces the path of every block."""
+
+    __slots__ = ("parent", "depth", "tag", "kind", "main", "heading", "chars", "place", "article")
+
+    def __init__(self, parent: Container | None, tag: str, kind: str) -> None:
+        self.parent, self.tag, self.kind = parent, tag, kind
+        self.depth = parent.depth + 1 if parent else 1
+        self.main, self.heading, self.chars = tag == "main" or kind == "main", tag == "h1", 0  # inside, too
+        self.place, self.article = OPEN, False
+
+
 @dataclass
 class Block:
     text: str
     place: int
-    path: tuple[int, ...]  # numbers of the containers around it, outermost first
+    container: Container
     linked: int  # characters inside links
     heading: bool
 
 
-def _outside(tag: str, attributes: str, inside_article: bool) -> int | None:
-    """OUTSIDE, NAMED when only the class or id says so, or None."""
-    if tag in _OUTSIDE or (tag == "header" and not inside_article):
-        return OUTSIDE
-    named = None
+def _kind(tag: str, attributes: str) -> str:
+    """What tag and attributes say: outside, closed or layout (by a name), main, article, or nothing; a <header> adds its tag."""
+    if tag in _OUTSIDE:
+        return "outside"
+    kind = ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return OUTSIDE
+            return "outside"
         if name == "role" and value.lower() in _OUTSIDE_ROLES:
-            return OUTSIDE
-        if name in ("class", "id") and tag not in ("body", "html") and _OUTSIDE_NAMES.search(_FEATURES.sub("", value)):
-            named = NAMED
-    return named
+            return "outside"
+        if name in ("class", "id") and tag not in ("body", "html"):
+            value = _FEATURES.sub("", value)
+            if _CLOSED_NAMES.search(value):
+                kind = "closed"
+            elif kind != "closed" and _LAYOUT_NAMES.search(value):
+                kind = "layout"
+    if kind or tag == "header":
+        return kind + tag if tag == "header" else kind
+    if tag == "main" or re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I):
+        return "main"
+    return tag if tag == "article" else ""
+
+
+def _settle(made: list[Container], blocks: list[Block]) -> None:
+    """The place of every container and block, from the whole page."""
+    for block in blocks:
+        block.container.chars += len(block.text)
+    for c in reversed(made):
+        if c.parent:
+            c.parent.chars += c.chars
+            c.parent.main |= c.main
+            c.parent.heading |= c.heading
+    whole = made[0].chars
+    for c in made[1:]:
+        above, place = c.parent, c.parent.place
+        kind = c.kind
+        if kind.startswith("closed") and (c.main or (c.heading and 2 * c.chars > whole)):
+            kind = c.tag if c.tag in ("main", "article") else ""  # the page's wrapper
+        if place != OUTSIDE:
+            if kind in ("outside", "closed", "closedheader") or (kind.endswith("header") and place != IN_ARTICLE):
+                place = OUTSIDE
+            elif kind.startswith("layout"):
+                place = NAMED
+            elif kind in ("main", "article"):
+                # a page wrapper's name does not hold for its article, but that of an article's part does
+                place = place if place == NAMED and above.article else IN_ARTICLE
+        c.place, c.article = place, above.article or place == IN_ARTICLE
+    for block in blocks:
+        block.place = block.container.place
+
+
+class _Tags:
+    """The tags of a page one after the other; every character is passed a bounded number of times."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.last = {mark: html.rfind(mark) for mark in (">", '"', "'")}
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """Start, end, whether it closes, name (None for comments and declarations) and attributes."""
+        html = self.html
+        while m := _OPENS.search(html, at):
+            at = m.end()
+            if m[1]:
+                end = html.find("-->", at)
+                return m.start(), end + 3 if end >= 0 else len(html), False, None, ""
+            if at > self.last[">"]:
+                return None  # nothing ends a tag any more
+            end = html.index(">", at) if m[2] else self._end(at)
+            return m.start(), end + 1, bool(m[3]), None if m[2] else m[4].lower(), "" if m[2] else html[at:end]
+        return None
+
+    def _end(self, at: int) -> int:
+        """The mark that ends a tag: outside quotes; of a tag with an open quote the first one."""
+        place = at
+        while m := _MARK.search(self.html, place):
+            mark = m[0]
+            if mark == ">":
+                return m.start()
+            if m.start() >= self.last[mark]:
+                break
+            place = self.html.index(mark, m.end()) + 1
+        return self.html.index(">", at)
 
 
 def _raw_end(html: str, tag: str, at: int) -> int:
@@ -109,18 +199,18 @@ def _skips(html: str) -> dict[int, int]:
     stack: list[tuple[str, int]] = []
     opened: dict[str, int] = {}
     at = 0
-    while m := _TAG.search(html, at):
-        at = m.end()
-        if m[2] is None:
+    tags = _Tags(html)
+    while m := tags.next(at):
+        _, at, closing, tag, attributes = m
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if tag in _RAW and not m[1]:
-            if not (tag in _SELF_CLOSED and m[3].endswith("/")):
+        if tag in _RAW and not closing:
+            if not (tag in _SELF_CLOSED and attributes.endswith("/")):
                 at = _raw_end(html, tag, at)
         elif tag not in _SKIPPED and (tag not in _BLOCKS or tag in _VOID):
             continue
-        elif not m[1]:
-            if not (tag in _SELF_CLOSED and m[3].endswith("/")):
+        elif not closing:
+            if not (tag in _SELF_CLOSED and attributes.endswith("/")):
                 stack.append((tag, at))
                 opened[tag] = opened.get(tag, 0) + 1
         elif opened.get(tag):
@@ -140,19 +230,21 @@ _ANY_SKIPPED = re.compile(rf"<(?:{'|'.join(sorted(_SKIPPED))})\b", re.I)
 def page_blocks(html: str) -> list[Block]:
     """The blocks of text of a page in page order."""
     out: list[Block] = []
-    # open containers: tag, number, place of what is inside, whether an article is around it
-    stack: list[tuple[str, int, int, bool]] = [("", 0, OPEN, False)]
+    made = [Container(None, "", "")]
+    stack = [made[0]]
+    opened: dict[str, int] = {}
     parts: list[str] = []
-    linked, link, numbers, at = 0, 0, 0, 0
+    linked, link, at = 0, 0, 0
     skips = _skips(html) if _ANY_SKIPPED.search(html) else {}
+    tags = _Tags(html)
 
     def finish() -> None:
         nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in stack[-3:])
-                out.append(Block(text, stack[-1][2], tuple(t[1] for t in stack), min(linked, len(text)), heading))
+                heading = any(c.tag in ("h1", "h2", "h3", "h4", "h5", "h6") for c in stack[-3:])
+                out.append(Block(text, OPEN, stack[-1], min(linked, len(text)), heading))
             parts.clear()
         linked = 0
 
@@ -163,17 +255,21 @@ def page_blocks(html: str) -> list[Block]:
             if link:
                 linked += len(part.strip())
 
+    def close(down_to: int) -> None:
+        while len(stack) > down_to:
+            opened[stack.pop().tag] -= 1
+
     while True:
-        m = _TAG.search(html, at)
+        m = tags.next(at)
         if m is None:
             text(html[at:])
             finish()
+            _settle(made, out)
             return out
-        text(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        text(html[at : m[0]])
+        _, at, closing, tag, attributes = m
+        if tag is None:
             continue
-        tag, closing, attributes = m[2].lower(), m[1], m[3]
         if tag in _RAW and not closing:
             if not (tag in _SELF_CLOSED and attributes.endswith("/")):
                 at = _raw_end(html, tag, at)
@@ -189,35 +285,28 @@ def page_blocks(html: str) -> list[Block]:
             continue
         elif closing:
             finish()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened.get(tag):
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
         else:
             finish()
             link = 0
-            while len(stack) > 1 and stack[-1][0] == "p":
-                stack.pop()
+            while len(stack) > 1 and stack[-1].tag == "p":
+                close(len(stack) - 1)
             if tag in _CLOSED_BY_SELF:
                 same = ("td", "th") if tag in ("td", "th") else ("dt", "dd") if tag in ("dt", "dd") else (tag,)
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in _CLOSED_BY_SELF[tag]:
-                        break
-                    if stack[k][0] in same:
-                        del stack[k:]
-                        break
+                if any(opened.get(t) for t in same):
+                    for k in range(len(stack) - 1, 0, -1):
+                        if stack[k].tag in _CLOSED_BY_SELF[tag]:
+                            break
+                        if stack[k].tag in same:
+                            close(k)
+                            break
             if tag in _VOID:
                 continue
-            numbers += 1
-            _, _, place, article = stack[-1]
-            if place != OUTSIDE:
-                outside = _outside(tag, attributes, place == IN_ARTICLE)
-                if outside is not None:
-                    place = outside
-                elif tag in ("article", "main") or re.search(r"\brole\s*=\s*[\"']?main\b", attributes, re.I):
-                    # a page wrapper's name does not hold for its article, but that of an article's comments does
-                    place = place if place == NAMED and article else IN_ARTICLE
-            stack.append((tag, numbers, place, article or place == IN_ARTICLE))
+            container = Container(stack[-1], tag, _kind(tag, attributes))
+            made.append(container)
+            stack.append(container)
+            opened[tag] = opened.get(tag, 0) + 1
 
 
 MEASURES = 8
@@ -232,7 +321,7 @@ def measure(blocks: list[Block]) -> np.ndarray:
         odd = sum(t.count(c) for c in "|©®™»«•·›/")
         out[k] = (
             min(np.log1p(words), 6), b.linked / len(t), min(marks / words, 1), t[-1] in ".!?…:”\"'", min(odd / words, 1),
-            min(len(t) / words / 10, 2), sum(map(str.isdigit, t[:200])) / min(len(t), 200), b.heading,
+            min(len(t) / words / 10, 2), sum(map(str.isdigit, t)) / len(t), b.heading,
         )
     return out
 
@@ -264,28 +353,37 @@ def fit(x: np.ndarray, y: np.ndarray) -> Classifier:
     return Classifier(mean, scale, w)
 
 
+def _shared(a: Container, b: Container) -> int:
+    """Depth of the innermost container around both."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a.depth
+
+
 def _edges(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Edges between neighbours and, over other blocks, between neighbours inside a container."""
     found: dict[tuple[int, int], float] = {}
     last: dict[int, int] = {}
 
     def weight(i: int, j: int) -> float:
-        a, b = blocks[i].path, blocks[j].path
-        common = 0
-        for x, y in zip(a, b):
-            if x != y:
-                break
-            common += 1
-        return SMOOTH * common / max(len(a), len(b), 1)
+        a, b = blocks[i].container, blocks[j].container
+        return SMOOTH * _shared(a, b) / max(a.depth, b.depth)
 
     for j, block in enumerate(blocks):
         if j:
             found[j - 1, j] = weight(j - 1, j)
-        for container in block.path[-3:]:
-            i = last.get(container)
+        around = block.container
+        for _ in range(3):
+            i = last.get(id(around))
             if i is not None and (i, j) not in found:
                 found[i, j] = weight(i, j) / 2
-            last[container] = j
+            last[id(around)] = j
+            if around.parent is None:
+                break
+            around = around.parent
     return [(i, j, round(1000 * w)) for (i, j), w in found.items() if w > 0]
 
 

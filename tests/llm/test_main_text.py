@@ -4,6 +4,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -117,3 +118,46 @@ def test_names_of_wrappers_do_not_decide_alone(page, text):
     trained = m.fit(*_sample())
     blocks = m.page_blocks(page)
     assert "\n\n".join(b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true) == text
+
+
+PROSE = "I liked this a lot, and my friends did as well. It is a pity that it ends so soon, though! " * 3
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "cookie-notice", "sponsored ad", "newsletter", "social share", "related"])
+@pytest.mark.parametrize("frame", ["<div class='{0}'>{1}</div>", "<section id='{0}'>{1}</section>", "<div class='{0}'><article class=comment>{1}</article></div>"])
+def test_prose_of_readers_and_adverts_stays_outside(name, frame):
+    trained = m.fit(*_sample())
+    part = frame.format(name, f"<p>{PROSE}</p><p>{PROSE}</p>")
+    for page in (f"<article><h1>T</h1><p>{LONG}</p>{part}<p>{LONG}</p></article>", f"<article><h1>T</h1><p>{LONG}</p><p>{LONG}</p></article>{part}"):
+        blocks = m.page_blocks(page)
+        got = [b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true]
+        assert got == ["T", LONG.strip(), LONG.strip()]
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='social page'><main><p>{LONG}</p></main></div>", LONG.strip()),
+        (f"<div id=share-page><h1>{LONG}</h1><p>{LONG}</p><div class=share>Send</div></div>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+        (f"<article><p>x</p><a title=\"t>link</a><p>{LONG}</p></article>", f"x\n\nlink\n\n{LONG.strip()}"),
+        ("<article><p title='a > b'>x</p><p data-x=\"<b>\">y</p></article>", "x\n\ny"),
+        ("<article><!DOCTYPE x><p>1</p><!-- <p>2</p> --><p>3 <! 4", "1\n\n3 <! 4"),
+    ],
+)
+def test_wrappers_and_quotes(page, text):
+    trained = m.fit(*_sample())
+    blocks = m.page_blocks(page)
+    assert "\n\n".join(b.text for b, true in zip(blocks, m.label_blocks(blocks, trained)) if true) == text
+
+
+def test_digits_count_over_the_whole_block():
+    blocks = m.page_blocks(f"<p>{'a' * 300}{'1' * 300}</p>")
+    assert m.measure(blocks)[0][6] == 0.5
+
+
+@pytest.mark.parametrize("piece", ["<div>a", "<div>", "<a \"", "<a title=\"x>b ", "<p>", "<ul><li>a", "<!-- ", "<b x='", "<td>a", "<div class=comments>a", "<button>"])
+def test_long_broken_pages_take_little_time(piece):
+    start = time.process_time()
+    blocks = m.page_blocks("<article>" + piece * (1_000_000 // len(piece)))
+    m.label_blocks(blocks, m.fit(*_sample()))
+    assert time.process_time() - start < 20
