@@ -106,6 +106,8 @@ class Schedule:
             for k, q in enumerate(phase.queues):
                 first = phase.sent[k]
                 end = first + int(credit(k, np.array([phase.rounds]))[0])
+                if end == first:  # a small share sends nothing in a short phase
+                    continue
                 mine = np.flatnonzero((queue == q) & (start < end) & (start + size > first))
                 if not len(mine):
                     continue

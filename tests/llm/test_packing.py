@@ -127,3 +127,28 @@ def test_schedule_serves_every_token_once():
             where = [p + np.arange(c) for c, p in zip(count[mine], place[mine])]
             order = np.argsort(np.concatenate(where)) if where else []
             assert not where or np.concatenate(tokens)[order].tolist() == list(range(n))
+
+
+def test_schedules_with_shares_far_apart():
+    """Every token of every queue is laid once, without gaps, whatever the totals and weights."""
+    pick = random.Random(11)
+    fixed = [278, 4636, 16768, 237855, 41, 673, 10485, 446445, 47, 24197]
+    for trial in range(300):
+        n = pick.randrange(2, 12)
+        totals = fixed if trial == 0 else [int(2 ** pick.uniform(0, 14)) for _ in range(n)]
+        weights = totals if trial % 2 == 0 else [pick.choice([1, pick.randrange(1, 60000)]) for _ in totals]
+        schedule = Schedule(list(totals), list(weights), pick.choice([16, 64, 2048]))
+        queue, start, size = [], [], []
+        for q, total in enumerate(totals):
+            at = 0
+            while at < total:
+                length = min(total - at, pick.randrange(1, 97))
+                queue.append(q), start.append(at), size.append(length)
+                at += length
+        doc, offset, count, place = schedule.lay_out(np.array(queue), np.array(start), np.array(size))
+        assert (count > 0).all() and count.sum() == sum(totals)
+        assert (place % schedule.length + count <= schedule.length).all()
+        order = np.argsort(place)
+        assert place[order[0]] == 0 and (place[order][1:] == (place + count)[order][:-1]).all()
+        per_document = np.bincount(doc, count, len(size))
+        assert per_document.tolist() == size
