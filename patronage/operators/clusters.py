@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+from pyspark import RDD
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from patronage.functions.blocks import added, packed, reduced
 from patronage.operators.customers import CUSTOMER
 from patronage.operators.scaling import standard_scale
 from patronage.operators.segments import BEHAVIOUR
 from patronage.session import materialize
 
 SEED = 42
-#: steps of one start at most
-MAX_ITERATIONS = 300
+#: steps of one start at most, and the move of a centre below which it stands
+MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
 
 def behaviour_vectors(
@@ -30,18 +31,125 @@ def behaviour_vectors(
     return assembler.transform(standard_scale(filled, features)).select(customer, "features")
 
 
-def fit_kmeans(
-    vectors: DataFrame, k: int = 5, n_init: int = 50, seed: int = SEED, parallelism: int = 4
-) -> KMeansModel:
-    """Best of `n_init` starts by within-cluster cost, the first on ties.
+@dataclass
+class Centers:
+    """The centres of one fit and its cost, the sum of squared distances to the nearest centre."""
 
-    A few starts are submitted at a time, so that their many short jobs overlap.
-    `vectors` should be cached.
+    centers: np.ndarray
+    cost: float
+
+    def label(self, x: Column) -> Column:
+        """Number of the nearest centre of an array column, the smallest on ties."""
+        distances = F.array(*(_square_distance(x, F.array(*(F.lit(float(v)) for v in c))) for c in self.centers))
+        return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For centres (fits, k, dimensions): nearest centre and squared distance, (rows, fits)."""
+    fits, k, size = centers.shape
+    flat = centers.reshape(-1, size)
+    distance = (x * x).sum(axis=1)[:, None] - 2 * x @ flat.T + (flat * flat).sum(axis=1)
+    distance = distance.reshape(len(x), fits, k)
+    label = distance.argmin(axis=2)
+    return label, np.maximum(np.take_along_axis(distance, label[:, :, None], axis=2)[:, :, 0], 0)
+
+
+def _seeds(blocks: RDD, k: int, starts: int, seed: int) -> np.ndarray:
+    """k-means++ seeds of all starts, (starts, k, dimensions): one weighted draw of all starts a job.
+
+    A row with squared distance d to the seeds so far gets a waiting time from an exponential distribution of
+    rate d; the first of all rows is the seed, which is a draw in proportion to d. The first k of a start's seeds
+    are the seeds it would have with fewer centres.
+    """
+    chosen: list[np.ndarray] = []
+    for step in range(k):
+        known = np.stack(chosen, axis=1) if chosen else None
+
+        def draw(part: int, rows: Iterator, known=known, step=step) -> Iterator:
+            best, who = np.full(starts, np.inf), None
+            noise = np.random.default_rng([seed, step, part])
+            for x, _ in rows:
+                if not len(x):
+                    continue
+                weight = np.ones((len(x), starts)) if known is None else _nearest(x, known)[1]
+                with np.errstate(divide="ignore"):
+                    wait = noise.exponential(size=(len(x), starts)) / weight
+                first = wait.argmin(axis=0)
+                least = wait[first, np.arange(starts)]
+                if who is None:
+                    best, who = least, x[first]
+                else:
+                    won = least < best
+                    best, who = np.where(won, least, best), np.where(won[:, None], x[first], who)
+            yield best, who
+
+        def sooner(a, b):
+            if a[1] is None or b[1] is None:
+                return a if b[1] is None else b
+            won = b[0] < a[0]
+            return np.where(won, b[0], a[0]), np.where(won[:, None], b[1], a[1])
+
+        chosen.append(reduced(blocks.mapPartitionsWithIndex(draw), sooner)[1])
+    return np.stack(chosen, axis=1)
+
+
+def fit_kmeans(vectors: DataFrame, ks: Sequence[int], n_init: int = 50, seed: int = SEED, column: str = "x") -> dict[int, Centers]:
+    """For every k the best of `n_init` starts by within-cluster cost, the first on ties.
+
+    `vectors` has an array column. All starts and all k advance together: a step is one pass over the rows that adds
+    up the clusters of every fit that still moves, so the number of jobs is that of the slowest fit. A centre
+    without rows stays. A fit ends when no centre moves by more than `TOLERANCE`.
     """
-    fit = inheritable_thread_target(vectors.sparkSession)(lambda i: KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS).fit(vectors))
-    with ThreadPool(min(parallelism, n_init)) as pool:
-        models = pool.map(fit, range(n_init))
-    return min(models, key=lambda model: model.summary.trainingCost)
+    blocks = packed(vectors, column)
+    seeds = _seeds(blocks, max(ks), n_init, seed)
+    centers = {k: seeds[:, :k].copy() for k in ks}
+    moving = {k: np.arange(n_init) for k in ks}
+    spark = vectors.sparkSession.sparkContext
+
+    def step(current: dict[int, np.ndarray], sums: bool):
+        shared = spark.broadcast(current)
+
+        def add(rows: Iterator) -> Iterator:
+            total = None
+            for x, _ in rows:
+                part = []
+                for k, c in sorted(shared.value.items()):
+                    label, distance = _nearest(x, c)
+                    found = [distance.sum(axis=0)]
+                    if sums:
+                        place = (label + k * np.arange(len(c))).ravel()
+                        count = np.bincount(place, minlength=len(c) * k)
+                        by_column = [np.bincount(place, np.repeat(v, len(c)), len(c) * k) for v in x.T]
+                        found += [count, np.stack(by_column, axis=1)]
+                    part.append(found)
+                total = part if total is None else added(total, part)
+            if total is not None:
+                yield total
+
+        merged = reduced(blocks.mapPartitions(add), added)
+        shared.destroy()
+        return dict(zip(sorted(current), merged))
+
+    for _ in range(MAX_ITERATIONS):
+        current = {k: centers[k][moving[k]] for k in ks if len(moving[k])}
+        if not current:
+            break
+        for k, (_, count, total) in step(current, True).items():
+            old = current[k]
+            count, total = count.reshape(len(old), k, 1), total.reshape(old.shape)
+            new = np.where(count > 0, total / np.maximum(count, 1), old)
+            centers[k][moving[k]] = new
+            moved = ((new - old) ** 2).sum(axis=2).max(axis=1) > TOLERANCE**2
+            moving[k] = moving[k][moved]
+    costs = step(centers, False)
+    blocks.unpersist()
+    best = {k: int(np.argmin(costs[k][0])) for k in ks}
+    return {k: Centers(centers[k][best[k]], float(costs[k][0][best[k]])) for k in ks}
+
+
+def _arrays(vectors: DataFrame) -> DataFrame:
+    """The vectors as stored arrays: what the fits and the labelling read."""
+    return materialize(vectors.withColumn("x", vector_to_array("features")))
 
 
 def kmeans_segments(
@@ -49,13 +157,13 @@ def kmeans_segments(
 ) -> DataFrame:
     """Cluster per customer. Clusters are numbered by size, ties by the first coordinate of
     the centre, so that the numbers do not depend on the start."""
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_kmeans(cached, k, n_init, seed)
-    predicted = materialize(model.transform(cached))
-    cached.unpersist()
+    stored = _arrays(vectors)
+    if stored.isEmpty():
+        return stored.select(customer, F.lit(0).alias("cluster"), "features")
+    model = fit_kmeans(stored, [k], n_init, seed)[k]
+    predicted = materialize(stored.withColumn("prediction", model.label(F.col("x"))))
     sizes = {r["prediction"]: r["count"] for r in predicted.groupBy("prediction").count().collect()}
-    centers = model.clusterCenters()
-    order = sorted(range(len(centers)), key=lambda c: (-sizes.get(c, 0), *centers[c]))
+    order = sorted(range(k), key=lambda c: (-sizes.get(c, 0), *model.centers[c]))
     number = F.create_map(*(F.lit(x) for new, old in enumerate(order) for x in (old, new)))
     return predicted.select(customer, number[F.col("prediction")].cast("int").alias("cluster"), "features")
 
@@ -147,16 +255,11 @@ def cluster_quality(labelled: DataFrame, dimensions: int, by: str = "k") -> Data
 def kmeans_k_search(
     vectors: DataFrame, dimensions: int, ks: Sequence[int] = range(2, 11), n_init: int = 50, seed: int = SEED
 ) -> DataFrame:
-    """Quality of k-means for every k. The fits run one after the other on cached vectors;
-    all clusterings are then judged in one pass."""
-    cached = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    labelled = cached
-    for k in ks:
-        model = fit_kmeans(cached, k, n_init, seed).setPredictionCol(f"label_{k}")
-        labelled = model.transform(labelled)
-    choices = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"label_{k}").alias("label")) for k in ks))
-    labelled = materialize(labelled.select(vector_to_array("features").alias("x"), choices.alias("choices")))
-    cached.unpersist()
+    """Quality of k-means for every k. All fits advance together, all clusterings are judged in one pass."""
+    stored = _arrays(vectors)
+    models = fit_kmeans(stored, list(ks), n_init, seed)
+    choices = F.array(*(F.struct(F.lit(k).alias("k"), models[k].label(F.col("x")).alias("label")) for k in ks))
+    labelled = materialize(stored.select("x", choices.alias("choices")))
     long = labelled.select("x", F.explode("choices").alias("c")).select("x", "c.*")
     return cluster_quality(long, dimensions)
 

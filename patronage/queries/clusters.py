@@ -20,7 +20,7 @@ def kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.kmeans_k_search(vectors(spark, sf_dir), len(FEATURES), n_init=1)
+    return ops.kmeans_k_search(vectors(spark, sf_dir), len(FEATURES))
 
 
 def best_k(spark: SparkSession, sf_dir: str) -> DataFrame:
