@@ -24,13 +24,12 @@ from patronage.functions.expressions import (
 from patronage.functions.joins import lookup_join
 from patronage.operators.ordering import (
     exact_quantiles,
-    pick_places,
-    quantile_places,
+    quantile_groups,
     quantiles_from,
     quintile_bounds,
+    quintile_groups,
     quintile_of_rank,
-    quintile_places,
-    rank_features,
+    rows_at_places,
 )
 from patronage.session import materialize
 from patronage.sources.shop import Shop
@@ -331,9 +330,19 @@ def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool =
     score step). F and M are quintiles of the first-come rank, ties in customer order.
     `features` is read several times: materialise it when it is expensive.
     """
-    ranked = rank_features(features, [customer], ["recency_days", "frequency", "total_spent"])
     recency, spend = [0.2, 0.4, 0.6, 0.8], [p for p, _ in SPEND_TIERS]
-    picked = pick_places(ranked, [customer], [*quantile_places([*recency, *spend]), *quintile_places()])
+    narrow = features.select(
+        customer, "frequency", F.col("recency_days").cast("double").alias("recency_days"), F.col("total_spent").cast("double").alias("total_spent")
+    )
+    picked = rows_at_places(
+        narrow,
+        {
+            "recency_days": (["recency_days"], quantile_groups(recency)),
+            "frequency": (["frequency", customer], quintile_groups),
+            "total_spent": (["total_spent", customer], quintile_groups),
+            "spend": (["total_spent"], quantile_groups(spend if tiers else [])),
+        },
+    )
     if not picked:  # no customers
         empty = {"R_score": "int", "F_score": "int", "M_score": "int", "RFM_score": "string"}
         empty |= {"value_segment": "string"} if tiers else {}
@@ -350,7 +359,7 @@ def add_rfm_scores(features: DataFrame, customer: str = CUSTOMER, tiers: bool =
     ).withColumn("RFM_score", rfm_code(F.col("R_score"), F.col("F_score"), F.col("M_score")))
     if not tiers:
         return scored
-    limits = quantiles_from(picked["total_spent"], spend)
+    limits = quantiles_from(picked["spend"], spend)
     return scored.withColumn("value_segment", spend_tier(F.col("total_spent"), limits))
 
 

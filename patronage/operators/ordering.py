@@ -8,7 +8,8 @@ needed to link the partitions, and that small table is broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -249,10 +250,166 @@ def quintile_bounds(spots: dict[int, tuple]) -> list[tuple]:
     return [spots[(total - 1) * s // 5] for s in range(1, 5)]
 
 
+# ---- selection by narrowing ----------------------------------------------------------------
+
+#: rows in a bracket that the driver may put in order, and rows sampled from a bracket to narrow it
+FEW, SAMPLED = 4096, 1000
+
+
+@dataclass
+class _Bracket:
+    """Neighbouring places of an order whose rows lie between two rows, both left out (None is open), or equal one."""
+
+    order: tuple[str, ...]
+    places: list[int]
+    below: int
+    size: int
+    low: tuple | None = None
+    high: tuple | None = None
+    same: tuple | None = None
+
+    def inside(self) -> Column:
+        found = F.col(self.order[0]).isNotNull()
+        if self.low is not None:
+            found = found & _follows(self.order, self.low)
+        return found if self.high is None else found & _precedes(self.order, self.high)
+
+    def part(self, low: tuple | None, high: tuple | None, below: int, size: int, same: tuple | None = None) -> list[_Bracket]:
+        """What lies in a part of the bracket, if a place does."""
+        places = [p for p in self.places if below <= p < below + size]
+        return [_Bracket(self.order, places, below, size, low, high, same)] if places else []
+
+
+def _precedes(order: Sequence[str], row: tuple) -> Column:
+    """Whether a row stands before the given one; the columns but the first are never null."""
+    found = F.lit(False)
+    for name, value in reversed(list(zip(order, row))):
+        found = (F.col(name) < F.lit(value)) | ((F.col(name) == F.lit(value)) & found)
+    return found
+
+
+def _follows(order: Sequence[str], row: tuple) -> Column:
+    found = F.lit(False)
+    for name, value in reversed(list(zip(order, row))):
+        found = (F.col(name) > F.lit(value)) | ((F.col(name) == F.lit(value)) & found)
+    return found
+
+
+def _sorting(row: tuple) -> tuple:
+    """Spark's order for Python's sort: nan is the largest number."""
+    return tuple((1, 0.0) if isinstance(v, float) and math.isnan(v) else (0, v) for v in row)
+
+
+def _narrow(df: DataFrame, brackets: list[_Bracket], seed: int) -> list[_Bracket]:
+    """Smaller brackets of the same places: one sample of bounded size, then one count of all rows."""
+    names = sorted({name for b in brackets for name in b.order})
+    picked = F.array(
+        *(F.when(b.inside() & (F.rand(seed + i) < min(1.0, SAMPLED / b.size)), F.lit(i)) for i, b in enumerate(brackets))
+    )
+    sample = df.select(*names, F.explode(F.filter(picked, lambda i: i.isNotNull())).alias("_i")).collect()
+    cuts: list[tuple[tuple, tuple] | None] = []
+    for i, b in enumerate(brackets):
+        rows = sorted((tuple(r[n] for n in b.order) for r in sample if r["_i"] == i), key=_sorting)
+        reach = 2 * math.sqrt(len(rows)) + 2
+        at = [(p - b.below) / b.size * len(rows) for p in b.places]
+        ends = max(0, math.floor(min(at) - reach)), min(len(rows) - 1, math.ceil(max(at) + reach))
+        cuts.append((rows[ends[0]], rows[ends[1]]) if rows else None)
+    counted = [
+        F.count_if(b.inside() & side(b.order, row)).alias(f"{name}{i}")
+        for i, (b, cut) in enumerate(zip(brackets, cuts))
+        if cut
+        for name, side, row in (("a", _precedes, cut[0]), ("b", _follows, cut[0]), ("c", _precedes, cut[1]), ("d", _follows, cut[1]))
+    ]
+    counts = df.agg(*counted).first().asDict() if counted else {}
+    out: list[_Bracket] = []
+    for i, (b, cut) in enumerate(zip(brackets, cuts)):
+        if not cut:  # a sample without rows: draw again
+            out.append(b)
+            continue
+        low, high = cut
+        before, after_low, before_high, after = (counts[f"{name}{i}"] for name in "abcd")
+        out += b.part(b.low, low, b.below, before)
+        out += b.part(None, None, b.below + before, b.size - before - after_low, low)
+        out += b.part(low, high, b.below + b.size - after_low, max(0, before_high - (b.size - after_low)))
+        if high != low:
+            out += b.part(None, None, b.below + before_high, b.size - before_high - after, high)
+        out += b.part(high, b.high, b.below + b.size - after, after)
+    return out
+
+
+def rows_at_places(
+    df: DataFrame, wanted: dict[str, tuple[Sequence[str], Callable[[int], list[list[int]]]]]
+) -> dict[str, dict[int, tuple]]:
+    """The rows at given places (from 0) of several orders of a table, without sorting it.
+
+    `wanted` names an order (columns; rows with a null in the first are left out) and lists, for a number of rows,
+    groups of neighbouring places. A group's rows are enclosed by two rows of a sample and the rows before them
+    counted; the bracket is narrowed again until it holds at most `FEW` rows, or equal ones only. Only then are its
+    rows put in order, so no step grows with the table but the passes over it. All groups share the passes:
+    materialise an expensive `df`. The total is kept under place -1; an order without rows is left out.
+    """
+    totals = df.agg(*(F.count(order[0]).alias(name) for name, (order, _) in wanted.items())).first()
+    brackets = {
+        name: [_Bracket(tuple(order), sorted(group), 0, totals[name]) for group in places(totals[name])]
+        for name, (order, places) in wanted.items()
+        if totals[name]
+    }
+    every = [(name, b) for name, group in brackets.items() for b in group]
+    done: list[tuple[str, _Bracket]] = []
+    seed = 0
+    while every:
+        done += [(name, b) for name, b in every if b.same is not None or b.size <= FEW]
+        open_ = [(name, b) for name, b in every if b.same is None and b.size > FEW]
+        every = []
+        if open_:
+            seed += len(open_)
+            # places of one order that share a bracket share its counts
+            shared: dict[tuple, _Bracket] = {}
+            for _, b in open_:
+                key = (b.order, b.low, b.high, tuple(b.places))
+                shared.setdefault(key, b)
+            narrowed = _narrow(df, list(shared.values()), seed)
+            for name, b in open_:
+                every += [(name, n) for n in narrowed if n.order == b.order and set(n.places) <= set(b.places)]
+            every = list({(name, tuple(b.places)): (name, b) for name, b in every}.values())
+    # equal brackets (all of a small table) are read once
+    distinct = {(b.order, b.low, b.high): b for _, b in done if b.same is None}
+    found: dict[tuple, list[tuple]] = {key: [] for key in distinct}
+    if distinct:
+        names = sorted({name for b in distinct.values() for name in b.order})
+        inside = F.array(*(F.when(b.inside(), F.lit(i)) for i, b in enumerate(distinct.values())))
+        keys = list(distinct)
+        for r in df.select(*names, F.explode(F.filter(inside, lambda i: i.isNotNull())).alias("_i")).collect():
+            found[keys[r["_i"]]].append(tuple(r[n] for n in keys[r["_i"]][0]))
+    for rows in found.values():
+        rows.sort(key=_sorting)
+    result: dict[str, dict[int, tuple]] = {name: {-1: (totals[name],)} for name in brackets}
+    for name, b in done:
+        for place in b.places:
+            result[name][place] = b.same or found[b.order, b.low, b.high][place - b.below]
+    return result
+
+
+def quantile_groups(probs: Sequence[float]) -> Callable[[int], list[list[int]]]:
+    """For each share the two places that its quantile lies between."""
+
+    def places(total: int) -> list[list[int]]:
+        spots = [math.floor((total - 1) * float(p)) for p in probs]
+        return [[spot, min(spot + 1, total - 1)] for spot in spots]
+
+    return places
+
+
+def quintile_groups(total: int) -> list[list[int]]:
+    """The last places of the first four fifths."""
+    return [[(total - 1) * s // 5] for s in range(1, 5)]
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
     """Quantiles of several columns as plain numbers: one short list per column that has values."""
-    rows = value_quantiles(df, columns, probs).collect()
-    return {r["feature"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    numbers = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    found = rows_at_places(numbers, {c: ([c], quantile_groups(probs)) for c in columns})
+    return {c: quantiles_from(spots, probs) for c, spots in found.items()}
 
 
 def quintile_of_rank(value: Column, key: Column, bounds: list[tuple]) -> Column:

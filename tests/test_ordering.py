@@ -95,3 +95,55 @@ def test_quintile_sizes_differ_by_one(spark):
     bounds = quintile_bounds(pick_places(ranked, ["id"], quintile_places())["v"])
     sizes = [r["count"] for r in df.groupBy(quintile_of_rank(F.col("v"), F.col("id"), bounds)).count().collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_rows_at_places_of_many_ties(spark, monkeypatch):
+    """One value that half of the rows hold, nulls, nan, text keys: the rows of a full sort, by narrowing."""
+    import math
+
+    from patronage.operators import ordering
+
+    monkeypatch.setattr(ordering, "FEW", 200)
+    monkeypatch.setattr(ordering, "SAMPLED", 150)
+    pick = random.Random(8)
+    rows = [(f"k{i:05d}", 3.0 if i % 2 else round(pick.gauss(0, 4), 1)) for i in range(3000)]
+    rows += [(f"n{i}", None) for i in range(40)] + [("x", math.nan), ("y", math.inf), ("z", -math.inf)]
+    df = spark.createDataFrame(rows, "key string, v double").repartition(4).cache()
+    order = sorted(((v, k) for k, v in rows if v is not None), key=lambda r: (math.isnan(r[0]), r[0] if not math.isnan(r[0]) else 0, r[1]))
+    total = len(order)
+    places = sorted({0, 1, total - 1, total - 2, *(total * i // 4 for i in range(4))})
+    groups = lambda n: [[p, min(p + 1, n - 1)] for p in places]
+    found = ordering.rows_at_places(df, {"pair": (["v", "key"], groups), "value": (["v"], groups), "none": (["v"], lambda n: [])})
+    assert found["pair"].pop(-1) == (total,) and found["value"].pop(-1) == (total,) and found["none"] == {-1: (total,)}
+    assert set(found["pair"]) == {min(p + d, total - 1) for p in places for d in (0, 1)}
+    for place, row in found["pair"].items():
+        assert repr(row) == repr(order[place])
+    for place, row in found["value"].items():
+        assert repr(row) == repr(order[place][:1])
+
+
+def test_two_values_and_no_values(spark, monkeypatch):
+    from patronage.operators import ordering
+
+    monkeypatch.setattr(ordering, "FEW", 10)
+    monkeypatch.setattr(ordering, "SAMPLED", 20)
+    df = spark.range(1000).selectExpr("id AS key", "CAST(id % 2 AS DOUBLE) AS v", "CAST(NULL AS DOUBLE) AS w")
+    found = ordering.rows_at_places(df, {"v": (["v"], lambda n: [[499, 500]]), "w": (["w"], lambda n: [[0]])})
+    assert found == {"v": {-1: (1000,), 499: (0.0,), 500: (1.0,)}}
+    assert ordering.exact_quantiles(df, ["v", "w"], [0.5]) == {"v": [0.5]}
+
+
+def test_scores_do_not_exchange_the_table_by_range(spark):
+    from patronage.operators.customers import add_rfm_scores
+
+    rows = [(i, i % 90, 1 if i % 2 else i % 7, float(i % 2) or i / 3) for i in range(9000)]
+    df = spark.createDataFrame(rows, "customer_id long, recency_days long, frequency long, total_spent double").cache()
+    scored = add_rfm_scores(df, tiers=True)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Exchange" not in plan
+    n = len(rows)
+    for column, score in (("frequency", "F_score"), ("total_spent", "M_score")):
+        at = 2 if column == "frequency" else 3
+        order = sorted(rows, key=lambda r: (r[at], r[0]))
+        expected = {r[0]: max(1, -(-(k * 5) // (n - 1))) for k, r in enumerate(order)}
+        assert {r["customer_id"]: r[score] for r in scored.collect()} == expected
