@@ -75,9 +75,25 @@ block("b_reviews_scored", f"""
 SELECT o.customer_id, {rnd("avg(r.review_score)", 2)} AS review_review_score_mean,
   min(r.review_score) AS review_review_score_min, {share("r.review_score <= 2")} AS review_bad_ratio
 FROM c_reviews r JOIN c_orders o USING (order_id) WHERE r.review_score IS NOT NULL GROUP BY o.customer_id""")
-block("b_lexicon", """
-SELECT * FROM (VALUES ('and', 0.5::DOUBLE), ('that', 0.3::DOUBLE), ('this', 0.8::DOUBLE), ('with', 0.1::DOUBLE),
-  ('was', -0.6::DOUBLE), ('for', -0.2::DOUBLE), ('from', -0.8::DOUBLE), ('are', -0.1::DOUBLE)) AS t(word, polarity)""")
+def lexicon(reviews: str) -> str:
+    """Log odds of the words of high against low scores with a Dirichlet prior of 500 words."""
+    return f"""
+SELECT word, high, low, round(2 / (1 + exp(-difference)) - 1, 6) AS polarity FROM (
+  SELECT word, high, low, sqrt(1 / (high + share) + 1 / (low + share)) AS deviation,
+    ln((high + share) / nullif(all_high + 500 - (high + share), 0)) - ln((low + share) / nullif(all_low + 500 - (low + share), 0)) AS difference
+  FROM (SELECT *, 500.0::DOUBLE * (high + low) / (all_high + all_low) AS share FROM (
+    SELECT word, high, low, sum(high) OVER ()::DOUBLE AS all_high, sum(low) OVER ()::DOUBLE AS all_low FROM (
+      SELECT word, count(*) FILTER (review_score >= 4) AS high, count(*) FILTER (review_score <= 2) AS low FROM (
+        SELECT review_score, unnest(regexp_split_to_array(lower(review_comment_message), '[^\\p{{L}}]+')) AS word
+        FROM {reviews} WHERE review_comment_message IS NOT NULL AND (review_score >= 4 OR review_score <= 2))
+      WHERE word <> '' GROUP BY word))))
+WHERE abs(difference) >= 1.96::DOUBLE * deviation"""
+
+
+HELD_OUT = "('0x' || substr(md5(review_id::VARCHAR), 1, 8))::BIGINT % 5 = 0"
+block("b_lexicon", lexicon("c_reviews"))
+block("b_learning_reviews", f"SELECT * FROM c_reviews WHERE NOT ({HELD_OUT})")
+block("b_learned_lexicon", lexicon("b_learning_reviews"))
 block("b_words", """
 SELECT review_id, unnest(regexp_split_to_array(lower(review_comment_message), '[^\\p{L}]+')) AS word
 FROM c_reviews WHERE review_comment_message IS NOT NULL""")
@@ -238,6 +254,15 @@ SELECT f.* REPLACE ({rnd('review_bad_ratio')} AS review_bad_ratio), {rnd('s.sent
 FROM b_review_features f
 LEFT JOIN (SELECT o.customer_id, avg(polarity) AS sentiment FROM b_polarity JOIN c_orders o USING (order_id)
            WHERE review_score IS NOT NULL GROUP BY o.customer_id) s USING (customer_id)""",
+    "learned_lexicon": "SELECT word, high, low, polarity FROM b_lexicon",
+    "lexicon_agreement": f"""
+SELECT count(*) AS reviews, count(*) FILTER (polarity <> 0) AS with_polarity,
+  count(*) FILTER (polarity <> 0 AND (polarity > 0) = (review_score >= 4)) AS agreeing,
+  {rnd('count(*) FILTER (polarity <> 0 AND (polarity > 0) = (review_score >= 4)) / nullif(count(*) FILTER (polarity <> 0), 0)')} AS agreement
+FROM (
+  SELECT r.review_id, max(r.review_score) AS review_score, coalesce(round(avg(l.polarity), 10), 0) AS polarity
+  FROM c_reviews r JOIN b_words w USING (review_id) LEFT JOIN b_learned_lexicon l USING (word)
+  WHERE {HELD_OUT} AND (r.review_score >= 4 OR r.review_score <= 2) GROUP BY r.review_id)""",
     "review_sentiment": f"""
 SELECT c.customer_id, coalesce(review_score_mean, 0) AS review_score_mean, coalesce(review_score_min, 0) AS review_score_min,
   coalesce(sentiment_mean, 0) AS sentiment_mean, coalesce(sentiment_std, 0) AS sentiment_std,
@@ -307,4 +332,28 @@ FROM (SELECT m, customer_id, max(order_purchase_timestamp) AS last_order
 GROUP BY m""",
 }
 
+# the second feature set, assembled
+block("b_delivery_module", SQL["delivery_features_module"])
+block("b_history_module", flagged("b_hist_module", "rfm_hist_spend_mean"))
+block("b_payment_module", SQL["payment_features_module"])
+block("b_cancel_module", "SELECT customer_id, cancellation_ratio AS cancel_ratio, has_cancellations AS cancel_has_cancel FROM b_cancel")
+block("b_sentiment_module", f"""
+SELECT o.customer_id, avg(polarity) AS review_sentiment_mean FROM b_polarity JOIN c_orders o USING (order_id)
+WHERE review_score IS NOT NULL GROUP BY o.customer_id""")
+MODULE_FEATURES = [
+    *({"delivery_inconsistent": "delivery_inconsistent_delivery", "delivery_dissatisfaction_score": "delivery_dissatisfaction"}.get(c, c) for c in DELIVERY),
+    *REVIEW,
+    *(c.replace("payment_value_mean", "spend_mean") for c in HISTORY),
+    *"payment_install_max_mean payment_install_mean_mean payment_type_nunique_mean payment_payment_mean_mean".split(),
+    *"payment_high_installments payment_multiple_types cancel_ratio cancel_has_cancel review_sentiment_mean".split(),
+]
+WHOLE = set(c for c in ALL_FEATURES if c not in FRACTIONS.split()) | {"delivery_inconsistent_delivery", "cancel_has_cancel"}
+SQL["cancellation_features_module"] = f"SELECT customer_id, {cols('cancel_ratio')}, cancel_has_cancel FROM b_cancel_module"
+SQL["churn_features_module"] = "SELECT s.customer_id, s.split, " + ", ".join(
+    f"coalesce({c}, 0) AS {c}" if c in WHOLE else f"{rnd(f'coalesce({c}, 0)')} AS {c}" for c in MODULE_FEATURES
+) + """
+FROM b_split s LEFT JOIN b_delivery_module USING (customer_id) LEFT JOIN b_review_features USING (customer_id)
+LEFT JOIN b_history_module USING (customer_id) LEFT JOIN b_payment_module USING (customer_id)
+LEFT JOIN b_cancel_module USING (customer_id) LEFT JOIN b_sentiment_module USING (customer_id)"""
+
 ORACLES = {key: statement(sql) for key, sql in SQL.items()}

@@ -25,6 +25,7 @@ SELECT order_id, order_item_id, product_id, {cols('price')}, product_category_na
     "customer_master": f"""
 SELECT f.* REPLACE ({cols(MASTER_NUMBERS)}), s.R_score, s.F_score, s.M_score, s.RFM_score, s.value_segment
 FROM b_features f JOIN b_scores s USING (customer_id)""",
+    "bucketed_features": f"SELECT * REPLACE ({cols(MASTER_NUMBERS)}) FROM b_features",
     "rfm_scores": "SELECT customer_id, R_score, F_score, M_score, RFM_score FROM b_scores",
     "rfm_code": "SELECT customer_id, RFM_score FROM b_scores",
     "value_segment": f"SELECT customer_id, {cols('total_spent')}, value_segment FROM b_spend JOIN b_scores USING (customer_id)",

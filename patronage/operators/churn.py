@@ -309,6 +309,59 @@ def review_sentiment_mean(
     )
 
 
+#: weight of the prior in words, and the number of deviations from no difference that a word of the lexicon needs
+PRIOR_WORDS, CERTAIN = 500.0, 1.96
+
+
+def learn_lexicon(reviews: DataFrame, prior: float = PRIOR_WORDS, certain: float = CERTAIN) -> DataFrame:
+    """Words that set reviews with a score of 4 or more apart from those with 2 or less: word, high, low, polarity.
+
+    The measure is the difference of the log odds of a word in both, with a Dirichlet prior of `prior` words in the
+    proportions of all these reviews; a word belongs to the lexicon when it differs from none by `certain`
+    deviations. Polarity is that difference on a scale from -1 to 1. Words are counted where the reviews lie, so
+    one row a word and partition is shuffled; the counts are stored.
+    """
+    score = F.col("review_score")
+    words = F.explode(F.split(F.lower("review_comment_message"), r"[^\p{L}]+"))
+    said = reviews.where((score >= 4) | (score <= 2)).select((score >= 4).cast("int").alias("high"), words.alias("word"))
+    counts = materialize(
+        said.where(F.col("word") != "").groupBy("word").agg(F.sum("high").alias("high"), F.sum(1 - F.col("high")).alias("low"))
+    )
+    total = {side: counts.agg(F.sum(side).cast("double")).scalar() for side in ("high", "low")}
+    share = F.lit(prior) * (F.col("high") + F.col("low")) / (total["high"] + total["low"])
+
+    def odds(side: str) -> Column:
+        seen = F.col(side) + F.col("share")
+        return F.log(seen / F.nullif(total[side] + prior - seen, F.lit(0.0)))
+
+    difference = odds("high") - odds("low")
+    deviation = F.sqrt(1 / (F.col("high") + F.col("share")) + 1 / (F.col("low") + F.col("share")))
+    measured = counts.withColumn("share", share).withColumns({"difference": difference, "deviation": deviation})
+    polarity = F.round(2 / (1 + F.exp(-F.col("difference"))) - 1, 6)
+    certainly = F.abs("difference") >= F.lit(certain) * F.col("deviation")
+    return measured.where(certainly).select("word", "high", "low", polarity.alias("polarity"))
+
+
+def lexicon_agreement(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """How often the sign of a review's polarity agrees with its score, over clear scores and known words."""
+    score = F.col("review_score")
+    judged = review_polarity(reviews.where((score >= 4) | (score <= 2)), lexicon)
+    agrees = (F.col("polarity") > 0) == (score >= 4)
+    known = F.col("polarity") != 0
+    return judged.agg(
+        F.count("*").alias("reviews"),
+        F.count_if(known).alias("with_polarity"),
+        F.count_if(known & agrees).alias("agreeing"),
+        (F.count_if(known & agrees) / F.nullif(F.count_if(known), F.lit(0))).alias("agreement"),
+    )
+
+
+def held_out_reviews(key: str = "review_id", folds: int = 5) -> Column:
+    """A fifth of the reviews by a digest of their id."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return digest % folds == 0
+
+
 def review_polarity(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mean polarity of the lexicon words in each review text, 0 when none occurs.
 

@@ -110,12 +110,11 @@ def rfm_segments(scored: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their percentage, one digit."""
-    return (
-        df.groupBy(column)
-        .agg(F.count("*").alias("customers"))
-        .withColumn("percentage", round_half_even(_share(F.col("customers")), 1))
-    )
+    """Rows per value and their percentage, one digit. The total is a scalar subquery over the counts, so no
+    task sees all values."""
+    counts = df.groupBy(column).agg(F.count("*").alias("customers"))
+    total = counts.agg(F.sum("customers")).scalar()
+    return counts.withColumn("percentage", round_half_even(100 * F.col("customers") / total, 1))
 
 
 def segment_profile(df: DataFrame, by: str, means: Sequence[str], extremes: Sequence[str] = ()) -> DataFrame:

@@ -9,21 +9,21 @@ from patronage.operators.scaling import robust_scale, standard_scale
 from patronage.session import materialize
 from patronage.sources.shop import load_shop
 
-# fixed values: words with an arbitrary polarity that occur in the test texts
-LEXICON = {
-    "and": 0.5,
-    "that": 0.3,
-    "this": 0.8,
-    "with": 0.1,
-    "was": -0.6,
-    "for": -0.2,
-    "from": -0.8,
-    "are": -0.1,
-}
 
+def lexicon(reviews: DataFrame) -> DataFrame:
+    """The polarity that the scores of the reviews give to their words, as a stored table."""
+    return materialize(ops.learn_lexicon(reviews))
+
+
+def learned_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon(load_shop(spark, sf_dir).reviews)
 
-def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
+
+def lexicon_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from four fifths of the reviews, held against the others."""
+    reviews = load_shop(spark, sf_dir).reviews
+    learned = lexicon(reviews.where(~ops.held_out_reviews()))
+    return rounded(ops.lexicon_agreement(reviews.where(ops.held_out_reviews()), learned))
 
 
 def churn_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,21 +104,22 @@ def describe_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
-    return rounded(ops.review_features(shop.reviews, shop.orders, lexicon=lexicon(spark)))
+    return rounded(ops.review_features(shop.reviews, shop.orders, lexicon=lexicon(shop.reviews)))
 
 
 def review_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
-    return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(spark)))
+    return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(shop.reviews)))
 
 
 def review_sentiment_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = load_shop(spark, sf_dir)
-    return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(spark), scaled=True))
+    return rounded(ops.review_sentiment(shop.reviews, shop.orders, lexicon(shop.reviews), scaled=True))
 
 
 def sentiment_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    polarity = ops.review_polarity(load_shop(spark, sf_dir).reviews, lexicon(spark))
+    reviews = load_shop(spark, sf_dir).reviews
+    polarity = ops.review_polarity(reviews, lexicon(reviews))
     tone = polarity_class(F.col("polarity"))
     return polarity.groupBy(F.coalesce(tone, F.lit("none")).alias("sentiment_class")).agg(
         F.count("*").alias("reviews")
@@ -197,6 +198,16 @@ def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.churn_features(load_shop(spark, sf_dir)))
 
 
+def churn_features_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second feature set as a whole, with the mean polarity of the reviews."""
+    shop = load_shop(spark, sf_dir)
+    return rounded(ops.churn_features(shop, variant="module", lexicon=lexicon(shop.reviews)))
+
+
+def cancellation_features_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(ops.cancellation_features(load_shop(spark, sf_dir).orders, variant="module"))
+
+
 def churn_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.churn_dataset(load_shop(spark, sf_dir)))
 
@@ -265,6 +276,8 @@ QUERIES = {
     "delivery_features_scaled": delivery_features_scaled,
     "describe_features": describe_features,
     "review_features": review_features,
+    "learned_lexicon": learned_lexicon,
+    "lexicon_agreement": lexicon_agreement,
     "review_sentiment": review_sentiment,
     "review_sentiment_scaled": review_sentiment_scaled,
     "sentiment_class": sentiment_class,
@@ -281,6 +294,8 @@ QUERIES = {
     "semi_join_items": semi_join_items,
     "semi_join_payments": semi_join_payments,
     "churn_features": churn_features,
+    "churn_features_module": churn_features_module,
+    "cancellation_features_module": cancellation_features_module,
     "churn_dataset": churn_dataset,
     "constant_features": constant_features,
     "standard_scale": standard_scaled,

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from patronage.functions.expressions import round_half_even, rounded
+from patronage.operators import customers
 from patronage.operators.ordering import value_quantiles
 from patronage.queries.segments import segment_summary
 from patronage.session import scratch_path
@@ -48,6 +51,13 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.load_into_catalog(shop.tables(), "patronage_raw", f"{scratch_path(spark, 'warehouse')}")
 
 
+def bucketed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer features over tables that are bucketed by order."""
+    name = f"patronage_{uuid.uuid4().hex}"
+    shop = files.load_bucketed(load_shop(spark, sf_dir).tables(), name, scratch_path(spark, "buckets"), buckets=8)
+    return rounded(customers.customer_features(shop))
+
+
 def null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with defaults per column."""
     reviews = load_shop(spark, sf_dir).reviews.select(
@@ -104,6 +114,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "table_catalog": table_catalog,
     "coerce_timestamps": coerce_timestamps,
+    "bucketed_features": bucketed_features,
     "load_tables": load_tables,
     "null_fill": null_fill,
     "distinct_customers": distinct_customers,

@@ -83,3 +83,17 @@ def test_ranking_reads_balanced_partitions(spark):
         assert max(r["count"] for r in spread) < 9000 / 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_bucketed_tables_meet_without_a_shuffle_by_order(spark):
+    import uuid
+
+    from patronage.session import scratch_path
+    from patronage.sources import files
+
+    tables = load_shop(spark, SF_DIR).tables()
+    shop = files.load_bucketed(tables, f"buckets_{uuid.uuid4().hex}", scratch_path(spark, "buckets"), buckets=4)
+    bucketed, plain = plan(customers.customer_features(shop)), plan(customers.customer_features(load_shop(spark, SF_DIR)))
+    by_order = r"hashpartitioning\((?:order_id|l_orderkey|o_orderkey)#\d+L?(?: AS order_id)?,"
+    assert re.search(by_order, plain) and not re.search(by_order, bucketed)
+    assert "Bucketed: true" in bucketed
