@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from patronage.session import materialize
+from patronage.session import materialize, materialize_bucketed
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the row number below it
 POSITION_BITS = 33
@@ -76,7 +76,11 @@ def running_totals(
     `order` must be unique inside a group: aggregate to distinct values first.
     """
     within = list(within)
-    placed = _placed(df, [*within, *order])
+    keys = [*within, *order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored in buckets by partition: the sums and the window inside the partitions shuffle nothing
+    ordered = df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())
+    placed = materialize_bucketed(ordered, "_part", parts, ["_part", *keys])
     chunks = placed.groupBy("_part", *within).agg(
         F.count("*").alias("_chunk_rows"), *(F.sum(name).alias(f"_{name}") for name in sums)
     )

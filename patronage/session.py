@@ -68,3 +68,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "rows")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, column: str, buckets: int, sort: list[str]) -> DataFrame:
+    """Like `materialize`, in buckets by a column, so that windows and groupings by it need no shuffle.
+
+    The catalog entry, which the writer needs, is dropped at once; the files stay below the shared folder.
+    """
+    spark, name = df.sparkSession, f"rows_{uuid.uuid4().hex}"
+    path = scratch_path(spark, "buckets")
+    df.write.option("path", path).bucketBy(buckets, column).sortBy(*sort).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table

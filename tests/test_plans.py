@@ -97,3 +97,11 @@ def test_bucketed_tables_meet_without_a_shuffle_by_order(spark):
     by_order = r"hashpartitioning\((?:order_id|l_orderkey|o_orderkey)#\d+L?(?: AS order_id)?,"
     assert re.search(by_order, plain) and not re.search(by_order, bucketed)
     assert "Bucketed: true" in bucketed
+
+
+@pytest.mark.parametrize("name", ["roc_curve", "pr_curve"])
+def test_running_totals_stay_in_their_partitions(spark, name):
+    """The ordered rows are read in the buckets of their partitions: no window of a curve has an exchange by partition."""
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    assert "Bucketed: true" in text
+    assert not re.search(r"hashpartitioning\(_part#", text)
