@@ -293,3 +293,39 @@ def cluster_report(clustering: Clustering) -> DataFrame:
     return assigned.join(F.broadcast(assigned.sparkSession.createDataFrame(table, schema)), "cluster", "left").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
+
+
+def _oracle(k: int, rounds: int, size: int, scale: int, seed: int) -> str:
+    """All distances to all centroids in every round."""
+
+    def assign(number: int) -> str:
+        return f"""
+a{number} AS (SELECT r, c, d FROM (
+  SELECT p.r, e.c, sum((p.v - e.v) * (p.v - e.v)) AS d FROM points p JOIN c{number} e USING (j) GROUP BY p.r, e.c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+
+    steps = [
+        assign(i)
+        + f""",
+m{i} AS (SELECT c, j, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM a{i} JOIN points USING (r) GROUP BY c, j),
+c{i + 1} AS (SELECT o.c, o.j, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN m{i} m USING (c, j))"""
+        for i in range(rounds)
+    ]
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+points AS (SELECT r, unnest(q) AS v, unnest(range(1, {size + 1})) AS j FROM kept),
+starts AS (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), q) - 1 AS c, q FROM kept WHERE vec_id IS NOT NULL
+  QUALIFY row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), q) <= {k}),
+c0 AS (SELECT c, unnest(q) AS v, unnest(range(1, {size + 1})) AS j FROM starts),{",".join(steps)},{assign(rounds)},
+digests AS (SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN digests USING (c)
+"""
+
+
+#: sixteen centroids, three rounds, 64 components
+ORACLE = _oracle(16, 3, 64, 64, 1)

@@ -308,3 +308,27 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
         .join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
+
+
+#: three words and a similarity of 0.9: all pairs that share a shingle, and reachability
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import infilling, quality_rules
+from patronage.llm import centroids, infilling, ngram_join, quality_rules
 from patronage.llm.centroids import cluster_report, cluster_vectors
 from patronage.llm.decontamination import contaminated_passages
 from patronage.llm.encoding import byte_bpe_50k, word_bpe_49k
@@ -120,7 +120,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_compression_toxicity": op13_compression_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE, "op12_exception_index_infilling": infilling.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": ngram_join.ORACLE,
+    "op5_quality_rules": quality_rules.ORACLE,
+    "op11_equal_average_search": centroids.ORACLE,
+    "op12_exception_index_infilling": infilling.ORACLE,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
