@@ -179,77 +179,102 @@ def _square_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def cluster_quality(labelled: DataFrame, dimensions: int, by: str = "k") -> DataFrame:
-    """Silhouette (squared Euclidean), Davies-Bouldin index and inertia per clustering.
+#: clusters of a clustering that are sent to the tasks at once
+CLUSTERS = 4096
 
-    `labelled` has columns `by`, `label` and `x` (array of doubles). Size, sum and sum of
-    squares of a cluster give the mean squared distance of a point to all its members, so
-    no pairs of points are formed. Only the table of clusters is broadcast.
-    """
+
+def _cluster_sums(labelled: DataFrame, dimensions: int, by: str) -> DataFrame:
+    """Size, sum, sum of squares and centre of every cluster."""
     sums = F.array(*(F.sum(F.col("x")[i]) for i in range(dimensions)))
-    clusters = labelled.groupBy(by, "label").agg(
+    grouped = labelled.groupBy(by, "label").agg(
         F.count("*").alias("n"), sums.alias("sums"), F.sum(_dot(F.col("x"), F.col("x"))).alias("squares")
     )
-    # a handful of clusters per clustering
-    tables = clusters.groupBy(by).agg(
-        F.collect_list(F.struct("label", "n", "sums", "squares", F.transform("sums", lambda s: s / F.col("n")).alias("center"))).alias(
-            "clusters"
-        )
-    )
+    return grouped.withColumn("center", F.transform("sums", lambda v: v / F.col("n")))
+
+
+def _tables(clusters: DataFrame, by: str, columns: Sequence[str], name: str) -> DataFrame:
+    """All given clusters of a clustering in one row."""
+    return clusters.groupBy(by).agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
+def _against(points: DataFrame, clusters: DataFrame, by: str) -> DataFrame:
+    """Points with their own cluster and the mean squared distance to the nearest other one, as far as these
+    clusters tell; both are null for a point that has none among them."""
     x = F.col("x")
-    norm = _dot(x, x)
     far = F.transform(
         "clusters",
         lambda c: F.struct(
             c["label"].alias("label"),
             c["n"].alias("n"),
-            (norm + (c["squares"] - 2 * _dot(x, c["sums"])) / c["n"]).alias("mean"),
+            (_dot(x, x) + (c["squares"] - 2 * _dot(x, c["sums"])) / c["n"]).alias("mean"),
+            c["center"].alias("center"),
         ),
     )
-    own = F.filter("far", lambda c: c["label"] == F.col("label"))[0]
+    own = F.get(F.filter("far", lambda c: c["label"] == F.col("label")), F.lit(0))
     other = F.array_min(F.transform(F.filter("far", lambda c: c["label"] != F.col("label")), lambda c: c["mean"]))
-    center = F.filter("clusters", lambda c: c["label"] == F.col("label"))[0]["center"]
+    tables = _tables(clusters, by, ["label", "n", "sums", "squares", "center"], "clusters")
+    return points.join(F.broadcast(tables), by, "left").withColumn("far", far).select(*points.columns, own.alias("_own"), other.alias("_other"))
+
+
+def _overlap(a_spread: Column, a_center: Column, b: Column) -> Column:
+    apart = F.nullif(F.sqrt(_square_distance(a_center, b["center"])), F.lit(0.0))
+    return F.coalesce((a_spread + b["spread"]) / apart, F.lit(0.0))
+
+
+def cluster_quality(labelled: DataFrame, dimensions: int, by: str = "k", at_once: int | None = None) -> DataFrame:
+    """Silhouette (squared Euclidean), Davies-Bouldin index and inertia per clustering.
+
+    `labelled` has columns `by`, `label` and `x` (array of doubles). Size, sum and sum of
+    squares of a cluster give the mean squared distance of a point to all its members, so
+    no pairs of points are formed. The clusters are counted first: up to `at_once` of a clustering go to the
+    tasks in one broadcast table, more of them block by block, the nearest other cluster and the worst
+    overlap being carried along. The work is rows times clusters, as the measures demand.
+    """
+    at_once = at_once or CLUSTERS
+    most = labelled.select(by, "label").groupBy(by, "label").count().groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    clusters = _cluster_sums(labelled, dimensions, by)
+    blocks = max(1, -(-most // at_once))
+    slot = F.pmod(F.xxhash64("label"), F.lit(blocks))
+    if blocks > 1:
+        clusters = materialize(clusters)
+    points = labelled.select(by, "label", "x")
+    for block in range(blocks):
+        met = _against(points, clusters.where(slot == block) if blocks > 1 else clusters, by)
+        if block == 0:
+            points = met.withColumnsRenamed({"_own": "own", "_other": "other"})
+        else:
+            points = met.withColumns({"own": F.coalesce("own", "_own"), "other": F.least("other", "_other")}).drop("_own", "_other")
+        if blocks > 1:
+            points = materialize(points)
     inner = F.greatest(F.col("own.mean"), F.lit(0.0)) * F.col("own.n") / F.nullif(F.col("own.n") - 1, F.lit(0))
     width = F.coalesce((F.col("other") - F.col("inner")) / F.nullif(F.greatest("inner", "other"), F.lit(0.0)), F.lit(0.0))
-    points = (
-        labelled.join(F.broadcast(tables), by)
-        .withColumn("far", far)
-        .select(
-            by,
-            "label",
-            own.alias("own"),
-            other.alias("other"),
-            _square_distance(x, center).alias("d2"),
-            center.alias("center"),
-        )
-        .withColumn("inner", inner)
-    )
-    per_cluster = points.groupBy(by, "label").agg(
+    measured = points.withColumns({"d2": _square_distance(F.col("x"), F.col("own.center")), "inner": inner})
+    per_cluster = measured.groupBy(by, "label").agg(
         F.count("*").alias("n"),
         F.sum(F.when(F.col("own.n") > 1, width).otherwise(0.0)).alias("width"),
         F.sum("d2").alias("d2"),
         F.avg(F.sqrt("d2")).alias("spread"),
-        F.any_value("center").alias("center"),
+        F.any_value("own.center").alias("center"),
     )
-    summary = per_cluster.groupBy(by).agg(
-        (F.sum("width") / F.sum("n")).alias("silhouette"),
-        F.sum("d2").alias("inertia"),
-        F.collect_list(F.struct("label", "spread", "center")).alias("c"),
-    )
-
-    def worst(a: Column) -> Column:
-        rest = F.filter("c", lambda b: b["label"] != a["label"])
-        overlap = F.transform(
-            rest,
-            lambda b: F.coalesce(
-                (a["spread"] + b["spread"]) / F.nullif(F.sqrt(_square_distance(a["center"], b["center"])), F.lit(0.0)),
-                F.lit(0.0),
-            ),
-        )
-        return F.array_max(overlap)
-
-    total = F.aggregate(F.transform("c", worst), F.lit(0.0), lambda acc, v: acc + v)
-    return summary.select(by, "silhouette", (total / F.size("c")).alias("db_index"), "inertia")
+    totals = (F.sum("width") / F.sum("n")).alias("silhouette"), F.sum("d2").alias("inertia")
+    if blocks == 1:
+        summary = per_cluster.groupBy(by).agg(*totals, F.collect_list(F.struct("label", "spread", "center")).alias("c"))
+
+        def worst(a: Column) -> Column:
+            rest = F.filter("c", lambda b: b["label"] != a["label"])
+            return F.array_max(F.transform(rest, lambda b: _overlap(a["spread"], a["center"], b)))
+
+        total = F.aggregate(F.transform("c", worst), F.lit(0.0), lambda acc, v: acc + v)
+        return summary.select(by, "silhouette", (total / F.size("c")).alias("db_index"), "inertia")
+    per_cluster = materialize(per_cluster)
+    rows = per_cluster.withColumn("worst", F.lit(None).cast("double"))
+    for block in range(blocks):
+        table = _tables(per_cluster.where(slot == block), by, ["label", "spread", "center"], "_c")
+        rest = F.filter("_c", lambda b: b["label"] != F.col("label"))
+        overlaps = F.array_max(F.transform(rest, lambda b: _overlap(F.col("spread"), F.col("center"), b)))
+        rows = rows.join(F.broadcast(table), by, "left").withColumn("worst", F.greatest("worst", overlaps)).drop("_c")
+        rows = materialize(rows)
+    return rows.groupBy(by).agg(*totals, F.avg("worst").alias("db_index")).select(by, "silhouette", "db_index", "inertia")
 
 
 def kmeans_k_search(

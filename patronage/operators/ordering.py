@@ -257,7 +257,7 @@ def quintile_bounds(spots: dict[int, tuple]) -> list[tuple]:
 # ---- selection by narrowing ----------------------------------------------------------------
 
 #: rows in a bracket that the driver may put in order, and rows sampled from a bracket to narrow it
-FEW, SAMPLED = 4096, 1000
+FEW, SAMPLED = 16_384, 1000
 
 
 @dataclass

@@ -109,6 +109,19 @@ def test_silhouette_equals_all_pairs(spark):
     assert row["inertia"] == 1.0
 
 
+def test_quality_in_blocks_of_clusters(spark):
+    """More clusters than are sent at once: the same measures."""
+    import random
+
+    pick = random.Random(3)
+    rows = [(k, i % (k + 5), [pick.gauss(i % (k + 5), 1), pick.gauss(0, 1)]) for k in (2, 9) for i in range(200)]
+    rows += [(2, 77, [50.0, 1.0])]
+    df = spark.createDataFrame(rows, "k int, label int, x array<double>").cache()
+    whole = {r["k"]: r for r in clusters.cluster_quality(df, 2).collect()}
+    for r in clusters.cluster_quality(df, 2, at_once=4).collect():
+        assert all(abs(r[c] - whole[r["k"]][c]) < 1e-9 for c in ("silhouette", "db_index", "inertia"))
+
+
 def test_jobs_write_their_outputs(spark):
     data = load_shop(spark, SMALL)
     target = scratch_path(spark, "jobs")

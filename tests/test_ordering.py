@@ -133,9 +133,11 @@ def test_two_values_and_no_values(spark, monkeypatch):
     assert ordering.exact_quantiles(df, ["v", "w"], [0.5]) == {"v": [0.5]}
 
 
-def test_scores_do_not_exchange_the_table_by_range(spark):
+def test_scores_do_not_exchange_the_table_by_range(spark, monkeypatch):
+    from patronage.operators import ordering
     from patronage.operators.customers import add_rfm_scores
 
+    monkeypatch.setattr(ordering, "FEW", 2000)
     rows = [(i, i % 90, 1 if i % 2 else i % 7, float(i % 2) or i / 3) for i in range(9000)]
     df = spark.createDataFrame(rows, "customer_id long, recency_days long, frequency long, total_spent double").cache()
     scored = add_rfm_scores(df, tiers=True)
