@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from patronage.llm.encoding import Vocabulary, encoded_blocks
-from patronage.llm.text import column_bytes
+from patronage.llm.text import column_bytes, store
 
 STRETCH = 1024
 
@@ -37,11 +37,9 @@ def encoded_lengths(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def length_histogram(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Per length that occurs: n_docs, n_tokens; docs_from, tokens_from (documents of this length or more);
     total_docs, total_tokens; truncated_tokens (the total when every text is cut at this length)."""
-    counts = (
-        encoded_lengths(documents, vocabulary).groupBy("length").agg(F.sum("n").alias("n_docs"))
-        .withColumn("n_tokens", F.col("length") * F.col("n_docs"))
-        .withColumn("stretch", F.floor(F.col("length") / STRETCH))
-    )
+    # stored, because both sides of the join below read it: the texts are encoded once
+    found = store(encoded_lengths(documents, vocabulary).groupBy("length").agg(F.sum("n").alias("n_docs")), "lengths")
+    counts = found.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("stretch", F.floor(F.col("length") / STRETCH))
     later = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
     every = later.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stretches = counts.groupBy("stretch").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t")).select(
