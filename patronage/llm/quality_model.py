@@ -8,7 +8,8 @@ weights are learned from these alone.
 
 The model is fitted on the driver from about `SAMPLE` labelled documents (taken by a hash of their id,
 at most twice as many), each with at most `SAMPLE_PASSAGES` passages spread over it; scoring reads every passage of every
-text. A label that is null, or has no document, is not used; of several for one document the least.
+text. A label that is null, or has no document, is not used; of several for one document the least, and of
+several texts of a labelled id the least.
 
 Null and empty texts are one passage without words. Null ids and repeated rows are scored like others.
 Without labels, or with only one kind of them, the score is the smoothed share of label 1.
@@ -186,6 +187,8 @@ def train(documents: DataFrame, labels: DataFrame, held_out: Column) -> BagModel
                 )
 
     sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most twice SAMPLE rows of two numbers
+    # one row an id, so that the bound on ids is one on rows
+    sample = sample.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     rows = sample.select("doc_id", "text", "quality").mapInArrow(encode, "doc_id bigint, bag binary, quality int").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["bag"])))
     y = np.array([float(r["quality"] == 1) for r in rows])
