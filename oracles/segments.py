@@ -125,4 +125,10 @@ SELECT title AS feature, {rnd('importance')} AS importance, CASE WHEN coefficien
 FROM b_importance JOIN b_titles USING (feature) WHERE place <= 3""",
 }
 
+block("b_behavioural", SQL["behavioral_segments"])
+SQL["labelled_segment_profile"] = "SELECT behavioral_segment, " + ", ".join(
+    f"{rnd(f'avg({c})', 2)} AS {c}_mean"
+    for c in "frequency avg_order_value category_diversity payment_diversity avg_review_score total_spent".split()
+) + " FROM b_behavioural JOIN b_clustered USING (customer_id) GROUP BY behavioral_segment"
+
 ORACLES = {key: statement(sql) for key, sql in SQL.items()}

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from patronage.functions.expressions import rounded
 from patronage.operators import clusters as ops, customers, segments
 from patronage.operators.scaling import standard_scale
+from patronage.queries.segments import BEHAVIOURAL
 from patronage.session import materialize
 from patronage.sources.shop import load_shop, read_test_table
 
@@ -83,8 +84,7 @@ def behavioral_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = materialize(customers.customer_features(load_shop(spark, sf_dir)))
     clustered = ops.kmeans_segments(ops.behaviour_vectors(features)).drop("features")
     named = segments.behavioral_segments(materialize(features.join(clustered, "customer_id")))
-    measures = ["frequency", "avg_order_value", "category_diversity", "payment_diversity", "avg_review_score", "total_spent"]
-    return segments.segment_profile(named, "behavioral_segment", measures)
+    return segments.segment_profile(named, "behavioral_segment", BEHAVIOURAL)
 
 
 QUERIES = {

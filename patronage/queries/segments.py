@@ -65,6 +65,15 @@ def behavioral_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("customer_id", "cluster", "behavioral_segment")
 
 
+BEHAVIOURAL = ["frequency", "avg_order_value", "category_diversity", "payment_diversity", "avg_review_score", "total_spent"]
+
+
+def labelled_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the behavioural segments over given cluster labels; `behavioral_segment_profile` fits its own."""
+    named = ops.behavioral_segments(materialize(labelled_customers(spark, sf_dir)))
+    return ops.segment_profile(named, "behavioral_segment", BEHAVIOURAL)
+
+
 def cluster_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.cluster_statistics(labelled_customers(spark, sf_dir))
 
@@ -131,6 +140,7 @@ QUERIES = {
     "segment_churn": segment_churn,
     "segment_summary": segment_summary,
     "behavioral_segments": behavioral_segments,
+    "labelled_segment_profile": labelled_segment_profile,
     "cluster_statistics": cluster_statistics,
     "cluster_value_score": cluster_value_score,
     "cluster_revenue": cluster_revenue,
