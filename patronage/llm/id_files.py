@@ -109,7 +109,8 @@ def write_ids(documents: DataFrame, path: str, vocabulary: Vocabulary, end_id: i
         if shard.held:
             yield shard.cut(shard.held)
 
-    ordered = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a null or repeated id is spread over the shards by the beginning of its texts, in the order of the sort
+    ordered = documents.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, _BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     spark = documents.sparkSession
     blocks = spark.read.parquet(f"{path}/blocks").select("shard", "block", "first", "n_ids", "plane_bytes")
