@@ -48,10 +48,12 @@ def rows(names, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str | None:
-    """None when equal, otherwise what differs."""
+def compare(spark, con, name: str, sf_dir: str, seen=None) -> str | None:
+    """None when equal, otherwise what differs; `seen` is called with the text of the executed plan."""
     got = entry.queries()[name](spark, sf_dir)
     actual = rows(got.columns, got.collect())
+    if seen:
+        seen(got._jdf.queryExecution().executedPlan().toString())
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return None if actual else "no rows"
