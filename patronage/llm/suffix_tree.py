@@ -23,7 +23,9 @@ dealt in blocks of neighbouring doc_ids; a block sends each distinct word and ru
 are summed over blocks, and each block gets the sums of its own back, in Parquet tables. Runs that occur
 once, in that block's training texts, need no answer. A row holds the sorted hashes of a block in one
 bucket of hashes; there are as many buckets as the bytes of the corpus need. A word that every text holds
-costs one entry per block and batch. Nothing of the vocabulary reaches the driver.
+costs one entry per block and batch. Nothing of the vocabulary reaches the driver. Words are compared by 62 bits
+of their hash, runs by `MORE_BITS` more than the number of the corpus' bytes has, so that of two thousand
+runs that never occurred less than one is taken for another, at any size.
 
 Null and empty texts consist of the end. Rows with a null doc_id are never held out; rows that repeat a
 doc_id are separate texts.
@@ -258,25 +260,52 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray) -> Tokens:
 _HELD_OUT = np.uint64(2)
 #: bytes of text for a bucket of words or runs
 BUCKET = 4 << 20
+#: bits of the hash of a word; bits that the hash of a longer run has beyond those of the number of bytes, and has at least
+WORD_BITS, MORE_BITS, LEAST_BITS = 62, 9, 36
+
+
+def _planes(numbers: np.ndarray) -> list[bytes]:
+    """The byte planes of numbers up to the highest that is used, each compressed for itself, or as it is when
+    that is no shorter: the low planes of differences are noise and would spoil a common code."""
+    planes = np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    used = max((int(numbers.max()).bit_length() + 7) // 8, 1) if len(numbers) else 0
+    out = []
+    for k in range(used):
+        plane = planes[:, k].tobytes()
+        small = pa.compress(plane, codec="zstd", asbytes=True)
+        out.append(small if len(small) < len(plane) else plane)
+    return out
 
 
 def _packed(keys: np.ndarray, values: np.ndarray) -> bytes:
     """Sorted keys and a small number for each: byte planes of the differences and of the numbers."""
-    pair = np.stack([np.diff(keys, prepend=np.uint64(0)), values.astype(np.uint64)])
-    planes = pair.view(np.uint8).reshape(2, len(keys), 8).transpose(0, 2, 1).tobytes()
-    return len(keys).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    low, high = _planes(np.diff(keys, prepend=np.uint64(0))), _planes(values)
+    head = np.array([len(keys), len(low), *map(len, low + high)], dtype="<u4")
+    return bytes([len(head)]) + head.tobytes() + b"".join(low + high)
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    planes = np.frombuffer(pa.decompress(data[8:], 16 * n, codec="zstd"), dtype=np.uint8).reshape(2, 8, n)
-    pair = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(2, n)
+    head = np.frombuffer(data, dtype="<u4", count=data[0], offset=1).tolist()
+    n, low, at = head[0], head[1], 1 + 4 * data[0]
+    numbers = np.zeros((2, n, 8), dtype=np.uint8)
+    for k, length in enumerate(head[2:]):
+        plane = data[at : at + length]
+        if length != n:
+            plane = pa.decompress(plane, n, codec="zstd", asbytes=True)
+        numbers[int(k >= low), :, k - low if k >= low else k] = np.frombuffer(plane, dtype=np.uint8)
+        at += length
+    pair = numbers.view("<u8").reshape(2, n)
     return np.cumsum(pair[0], dtype=np.uint64), pair[1].astype(np.int64)
 
 
-def _block_runs(documents: DataFrame, size: int, bits: int) -> DataFrame:
+def _shortened(key: np.ndarray, width: int) -> np.ndarray:
+    """The first `width` bits of hashes as the high bits of smaller numbers, two low bits free."""
+    return (key >> np.uint64(64 - width)) << np.uint64(2)
+
+
+def _block_runs(documents: DataFrame, size: int, bits: int, width: int) -> DataFrame:
     """(bucket, block, runs): the distinct runs of `size` tokens (words for 1) of a part of a block by the
-    first bits of their hash, and how often they occur; those of texts that are held out stand apart."""
+    first `bits` of their hash, and how often they occur; those of texts that are held out stand apart."""
 
     def count(batches):
         for batch in batches:
@@ -289,13 +318,13 @@ def _block_runs(documents: DataFrame, size: int, bits: int) -> DataFrame:
                 for key, held in found.runs(size):
                     pass
                 doc = found.doc[held] + low
-                key = (key[held] & ~_HELD_OUT) | out[doc]
+                key = _shortened(key[held], width) | out[doc]
                 rows: list[tuple[int, int, bytes]] = []
                 for block in np.unique(group[low : low + len(places) - 1]):
                     every = np.sort(key[group[doc] == block])
                     edges = np.flatnonzero(np.append(np.diff(every) != 0, True)) + 1 if len(every) else np.zeros(0, np.int64)
                     every, n = every[edges - 1], np.diff(edges, prepend=0)
-                    bucket = (every >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(every), np.int64)
+                    bucket = (every >> np.uint64(width + 2 - bits)).astype(np.int64)
                     edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
                     rows += [(int(bucket[i]), int(block), _packed(every[i:j], n[i:j])) for i, j in zip(edges, edges[1:])]
                 if rows:
@@ -305,7 +334,7 @@ def _block_runs(documents: DataFrame, size: int, bits: int) -> DataFrame:
     return documents.select("block", "text", "held_out").mapInArrow(count, "bucket bigint, block bigint, runs binary")
 
 
-def _answers(texts: DataFrame, size: int, bits: int) -> DataFrame:
+def _answers(texts: DataFrame, size: int, bits: int, width: int = WORD_BITS) -> DataFrame:
     """(b, runs, different, n): for each block its words or runs and their count in all training texts; how
     many have such a count, and the sum, in one row of a bucket. A run that is left out occurs in the
     block's training texts only, once, or never."""
@@ -332,7 +361,7 @@ def _answers(texts: DataFrame, size: int, bits: int) -> DataFrame:
         kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
         return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=["b", "runs", "different", "n"])
 
-    return _block_runs(texts, size, bits).groupBy("bucket").applyInArrow(merge, "b bigint, runs binary, different bigint, n bigint")
+    return _block_runs(texts, size, bits, width).groupBy("bucket").applyInArrow(merge, "b bigint, runs binary, different bigint, n bigint")
 
 
 def _text_scores(tree: SuffixTree, part: np.ndarray, places: np.ndarray, found: Tokens, counts: list[np.ndarray], seen: int, distinct: int) -> np.ndarray:
@@ -374,13 +403,14 @@ def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
         F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("ends"),
     ).first()
     bits, ends = ((size["bytes"] or 0) // BUCKET).bit_length(), size["ends"]
+    width = min(WORD_BITS, max(LEAST_BITS, (size["bytes"] or 0).bit_length() + MORE_BITS))
     texts = texts.withColumn("block", _block(size["lowest"] or 0, size["highest"] or 0, size["rows"], size["nulls"]))
     tree = spark.sparkContext.broadcast(build_tree(store(_ngram_counts(texts), "ngrams")))
     release(spark)
     # one size after the other, so that only its runs are on disk
     answers = []
     for tokens_of_run in range(1, ORDER + 1):
-        answers.append(store(_answers(texts, tokens_of_run, bits), "runs"))
+        answers.append(store(_answers(texts, tokens_of_run, bits, WORD_BITS if tokens_of_run == 1 else width), "runs"))
         release(spark)
     row = answers[0].agg(F.sum("different").alias("words"), F.sum("n").alias("n")).first()
     tokens, distinct = (row["n"] or 0) + ends, (row["words"] or 0) + (ends > 0)
@@ -400,6 +430,7 @@ def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
 
         def looked_up(size: int, keys: np.ndarray, missing: np.ndarray) -> np.ndarray:
             run, c = known_runs[size]
+            keys = _shortened(keys, WORD_BITS if size == 1 else width)
             at = np.minimum(np.searchsorted(run, keys), max(len(run) - 1, 0))
             return np.where(run[at] == keys, c[at], missing) if len(run) else missing
 

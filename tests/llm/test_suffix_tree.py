@@ -182,3 +182,14 @@ def test_phrases_are_learned(make_documents):
         for f in (frame.where("doc_id < 20"), frame)
     ]
     assert sizes[1] > 1.5 * sizes[0]
+
+
+def test_packed_runs_come_back():
+    pick = np.random.default_rng(2)
+    for n, top in ((0, 1), (1, 1 << 62), (1000, 1 << 40), (50_000, 1 << 63), (300, 1 << 20)):
+        keys = np.sort(pick.integers(0, top, n, dtype=np.uint64))
+        values = np.where(pick.random(n) < 0.01, pick.integers(1, 1 << 40, n), 1)
+        k, v = st._unpacked(st._packed(keys, values))
+        assert k.tolist() == keys.tolist() and v.tolist() == values.tolist()
+    dense = np.sort(pick.integers(0, 1 << 41, 2000, dtype=np.uint64))
+    assert len(st._packed(dense, np.ones(2000))) < 4.3 * 2000
