@@ -327,7 +327,7 @@ def learn_lexicon(reviews: DataFrame, prior: float = PRIOR_WORDS, certain: float
     counts = materialize(
         said.where(F.col("word") != "").groupBy("word").agg(F.sum("high").alias("high"), F.sum(1 - F.col("high")).alias("low"))
     )
-    total = {side: counts.agg(F.sum(side).cast("double")).scalar() for side in ("high", "low")}
+    total = counts.agg(F.struct(*(F.sum(side).cast("double").alias(side) for side in ("high", "low")))).scalar()
     share = F.lit(prior) * (F.col("high") + F.col("low")) / (total["high"] + total["low"])
 
     def odds(side: str) -> Column:
