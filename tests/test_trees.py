@@ -181,3 +181,62 @@ def test_kmeans_with_few_distinct_rows(spark):
     df = spark.createDataFrame([([1.0, 1.0],)] * 50 + [([2.0, 2.0],)] * 3, "x array<double>")
     found = fit_kmeans(df, [2, 4], n_init=5)
     assert found[2].cost == 0 and found[4].cost == 0
+
+
+def test_sums_of_many_rows(monkeypatch):
+    """Bundles of features and parents less siblings give the sums and the trees of a plain pass."""
+    pick = np.random.default_rng(3)
+    widths = [61, 3, 2, 40, 3, 5]
+    codes = np.stack([pick.integers(0, w, 3000) for w in widths], axis=1).astype(np.uint8)
+    label = (codes[:, 0] + 20 * codes[:, 1] * codes[:, 2] + pick.normal(0, 9, 3000) > 50).astype(float)
+    g, h = pick.normal(size=3000), pick.random(3000)
+    columns = trees.Columns(codes, widths)
+    rows = np.sort(pick.choice(3000, 2000, replace=False))
+    plain = columns.nodes(rows, np.zeros(2000, dtype=np.int64), g[rows], h[rows], 1)[:, 0]
+    for many in (1, 1 << 20):  # bundles of up to 4096 cells and of up to 256
+        monkeypatch.setattr(trees, "MANY", many)
+        assert np.allclose(columns.one_node(rows, g[rows], h[rows]), plain, atol=1e-9)
+    monkeypatch.undo()
+    assert len(columns.bundled(256)) < len(widths) and len(columns.bundled(4096)) < len(columns.bundled(256))
+    grown = []
+    for many in (1 << 20, 20):
+        monkeypatch.setattr(trees, "MANY", many)
+        calls, real = [], trees.Columns.one_node
+        monkeypatch.setattr(trees.Columns, "one_node", lambda self, r, *a, f=real, c=calls: c.append(len(r)) or f(self, r, *a))
+        part = trees.Part(codes, label, np.ones(3000), np.arange(3000) % 5, np.zeros((3000, 1)), 2.0**40)
+        found = trees.grow_here(part, trees.Columns(codes, widths), 0, trees.Fit(4, 0.3, 5, 2), 4)
+        grown.append((found, part.score[:, 0]))
+        monkeypatch.setattr(trees.Columns, "one_node", real)
+        assert bool(calls) == (many == 20)
+        if calls:
+            nodes = sum(len(t.value) for t in found)
+            assert len(calls) < nodes * 0.75  # of two siblings only the smaller is read
+    assert grown[0][0] == grown[1][0] and (grown[0][1] == grown[1][1]).all()
+
+
+def test_equal_gains_of_many_rows(spark, monkeypatch):
+    """Features that part the rows alike: the first one is split, in any order and partitioning of the rows."""
+    monkeypatch.setattr(trees, "PLAIN", 100)
+    rows = [([x[0], x[3], x[0] ** 3, 2.0 * x[3], x[1]], y, w / 3, f) for x, y, w, f in rows_of(500)]
+    grown = []
+    for order, part_bytes in ((rows, trees.PART_BYTES), (rows[::-1], trees.PART_BYTES), (rows, 900)):
+        df = spark.createDataFrame(order, ROW).repartition(3)
+        edges = trees.bin_edges(df, "x", 5, bins=8)
+        blocks = trees.coded_blocks(df, "x", ["label", "weight", "fold"], edges)
+        forest = trees.Forest(blocks, 500, edges, [trees.Fit(3, 0.3, 5, 1)], part_bytes).grow()
+        grown.append(forest.trees[0])
+        forest.release()
+    assert grown[0] == grown[1] == grown[2]
+    assert not {2, 3} & {f for tree in grown[0] for f in tree.feature}
+
+
+def test_one_partition_for_a_million_rows(spark):
+    """A task a fit, so that cores do not wait for the group with most trees; the rows stay one partition up to 32 MB of codes."""
+    edges = [np.arange(3.0)] * 32
+    rows = spark.createDataFrame([([0.0] * 32, 1.0, 1.0, 0)], ROW)
+    blocks = trees.coded_blocks(rows, "x", ["label", "weight", "fold"], edges)
+    few = trees.Forest(blocks, 720_000, edges, [trees.Fit(2, 0.1, 2)] * 30)
+    assert few.parts == 1 and sum(map(len, few.members)) == 30
+    assert len(few.members) * 720_000 * 64 <= trees.COPIES
+    many = trees.Forest(blocks, 4_300_000, edges, [trees.Fit(2, 0.1, 2)])
+    assert many.parts == 5
