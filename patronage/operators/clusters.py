@@ -54,6 +54,37 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return label, np.maximum(np.take_along_axis(distance, label[:, :, None], axis=2)[:, :, 0], 0)
 
 
+#: rows of a block that are measured at once, so that their distances stay in the cache of a core
+AT_ONCE = 512
+
+
+def _cluster_totals(x: np.ndarray, centers: np.ndarray, sums: bool) -> list[np.ndarray]:
+    """For centres (fits, k, dimensions): cost of each fit, then rows (fits, k) and sums (fits, k, dimensions) of the
+    clusters; a row belongs to the nearest centre, the first on ties.
+
+    Distances less the square of the row are one product of the rows with all centres, the sums one product of a
+    cluster's members with the rows. A row's square is the same for all centres and counts in the cost only.
+    """
+    fits, k, size = centers.shape
+    flat = centers.transpose(1, 0, 2).reshape(-1, size)
+    table = np.column_stack([-2 * flat, (flat * flat).sum(axis=1)])
+    cost, total = np.zeros(fits), np.zeros((k, fits, size + 1))
+    for low in range(0, len(x), AT_ONCE):
+        rows = np.column_stack([x[low : low + AT_ONCE], np.ones(len(x[low : low + AT_ONCE]))])
+        apart = (table @ rows.T).reshape(k, fits, -1)
+        least = apart.min(axis=0)
+        squares = (rows[:, :-1] ** 2).sum(axis=1)
+        cost += np.maximum(least + squares, 0).sum(axis=1)
+        if not sums:
+            continue
+        free = np.ones(least.shape, dtype=bool)
+        for j in range(k):
+            mine = (apart[j] == least) & free
+            total[j] += mine.astype(np.float64) @ rows
+            free &= ~mine
+    return [cost, total[:, :, -1].T, total[:, :, :-1].transpose(1, 0, 2)] if sums else [cost]
+
+
 def _seeds(blocks: RDD, k: int, starts: int, seed: int) -> np.ndarray:
     """k-means++ seeds of all starts, (starts, k, dimensions): one weighted draw of all starts a job.
 
@@ -112,16 +143,7 @@ def fit_kmeans(vectors: DataFrame, ks: Sequence[int], n_init: int = 50, seed: in
         def add(rows: Iterator) -> Iterator:
             total = None
             for x, _ in rows:
-                part = []
-                for k, c in sorted(shared.value.items()):
-                    label, distance = _nearest(x, c)
-                    found = [distance.sum(axis=0)]
-                    if sums:
-                        place = (label + k * np.arange(len(c))).ravel()
-                        count = np.bincount(place, minlength=len(c) * k)
-                        by_column = [np.bincount(place, np.repeat(v, len(c)), len(c) * k) for v in x.T]
-                        found += [count, np.stack(by_column, axis=1)]
-                    part.append(found)
+                part = [_cluster_totals(x, c, sums) for _, c in sorted(shared.value.items())]
                 total = part if total is None else added(total, part)
             if total is not None:
                 yield total

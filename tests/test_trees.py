@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.operators import logistic, trees
+from patronage.operators import clusters, logistic, trees
 from patronage.operators.clusters import Centers, fit_kmeans
 from patronage.session import scratch_path
 
@@ -240,3 +240,23 @@ def test_one_partition_for_a_million_rows(spark):
     assert len(few.members) * 720_000 * 64 <= trees.COPIES
     many = trees.Forest(blocks, 4_300_000, edges, [trees.Fit(2, 0.1, 2)])
     assert many.parts == 5
+
+
+def test_cluster_totals_of_many_fits():
+    """Sums of all fits against row by row, with equal centres and equal distances: the first centre has the row."""
+    pick = np.random.default_rng(8)
+    x = np.concatenate([pick.normal(size=(1100, 3)), np.zeros((5, 3))])
+    centers = pick.normal(size=(7, 4, 3))
+    centers[1, 2] = centers[1, 0]
+    centers[2, :2] = [[1, 0, 0], [-1, 0, 0]]
+    centers[2, 2:] = 50
+    cost, count, total = clusters._cluster_totals(x, centers, True)
+    d = ((x[:, None, None] - centers[None]) ** 2).sum(axis=3)
+    label = d.argmin(axis=2)
+    assert np.allclose(cost, d.min(axis=2).sum(axis=0))
+    for f in range(7):
+        for j in range(4):
+            assert count[f, j] == (label[:, f] == j).sum()
+            assert np.allclose(total[f, j], x[label[:, f] == j].sum(axis=0))
+    assert count[1, 2] == 0 and (count.sum(axis=1) == len(x)).all()
+    assert np.allclose(clusters._cluster_totals(x, centers, False)[0], cost)
