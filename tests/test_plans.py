@@ -105,3 +105,23 @@ def test_running_totals_stay_in_their_partitions(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert "Bucketed: true" in text
     assert not re.search(r"hashpartitioning\(_part#", text)
+
+
+def test_buckets_grow_with_the_tables(spark):
+    """A bucket, which one task reads, holds a bounded number of rows."""
+    import uuid
+
+    from patronage.session import scratch_path
+    from patronage.sources import files
+
+    orders = spark.range(1000).selectExpr("id AS order_id", "id % 50 AS customer_id")
+    items = spark.range(4000).selectExpr("id % 1000 AS order_id", "CAST(id AS DOUBLE) AS price")
+
+    def tasks(buckets, **most):
+        shop = files.load_bucketed({"orders": orders, "items": items}, f"buckets_{uuid.uuid4().hex}", scratch_path(spark, "buckets"), buckets, **most)
+        assert shop.orders.count() == 1000 and shop.items.count() == 4000
+        text = shop.items.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+        return int(re.search(r"SelectedBucketsCount: \d+ out of (\d+)", text).group(1))
+
+    assert tasks(4, most=500) == 8
+    assert tasks(4) == 4
