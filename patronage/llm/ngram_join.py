@@ -1,25 +1,21 @@
-"""Similarity join of documents on word n-grams, with token-combination prefixes.
+"""Similarity join of documents on word n-grams, with keys that combine many tokens.
 
 A document is the set of its distinct word n-grams (here: tokens). Two documents link when
 `100 * |common| >= percent * |union|`. The join is exact:
 
-1. Tokens are ordered by frequency class, rare first, then by hash. The classes come from a table
-   of counters of fixed size that covers all documents; they only steer the work, never the result.
-2. Documents with equal sets are one class; only its smallest document goes on.
-3. Similar sets share a token among their first `p = n - ceil(t*n) + 1`. When such a shared token is
-   rare, both documents find each other under that single token.
-4. Otherwise all their rare tokens differ and lie inside the prefix, so both consist almost wholly
-   of frequent tokens. Their prefix is extended to all frequent tokens, which are dealt into as many
-   hash groups as the pair may have differences, and one more: at least one group is equal in both.
-   The combination of all tokens in a group (about 5 to 10 of them) is the key, one key per group
-   and size class. (Such keys are odd, single tokens are even.) Pairs that meet only here have no rare
-   token in common, so their rare tokens use up differences: a document with r of them shares at least
-   r + 1 combinations with any partner, and its r most frequent combinations need no look.
-5. Documents under one key are compared with its hub, the document with the fewest rare tokens.
+1. Documents with equal sets are one class; only its smallest document goes on.
+2. Sizes are cut into classes so wide that similar sets are of one class or of neighbouring ones. The tokens of a
+   set are dealt by their hash into as many groups as a pair of the (larger) class may have differences, and one
+   more: at least one group is equal in both. The combination of all tokens in a group (about 6 to 10 of them) is
+   the key, one key per group; a set has the keys of its own class, and those of the next when a partner may be
+   there. A key needs many tokens in common, so the documents that meet under one hardly grow in number with the
+   corpus, however frequent the single tokens become, and no table of frequencies is needed.
+3. Documents under one key are compared with its hub, the smallest of them.
    Only documents that are then still in different components are compared pairwise, so a group of
    thousands of near copies costs one comparison each.
-6. The number of shared single-token keys bounds what a pair can have in common; most pairs end here.
-7. Every link is verified on the whole sets.
+4. Every document has `PARITIES` bits, each the parity of the number of its tokens with that hash. A token in one of two
+   sets changes one bit, so sets with more unequal bits than differences allowed are no pair; most pairs end here.
+5. Every link is verified on the whole sets.
 
 Null or empty texts have the empty set and link with nothing. Rows with a null doc_id are returned
 with a null component. Rows that repeat a doc_id are returned each; their links meet in the id.
@@ -38,9 +34,10 @@ from patronage.llm.text import LOWER, blocks, column_bytes, hash_spans, mix, rel
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
-#: counters of the frequency table, the slices in which they are summed, and the count over which a
-#: token is frequent (beyond twice the mean load, so that crowded tables do not call all frequent)
-WIDTH, SLICES, RARE = 1 << 21, 64, 24
+#: parity bits of a document
+PARITIES = 512
+#: bits of the table of documents whose sets are needed
+WANTED = 1 << 24
 
 
 def ngram_sets(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,135 +71,134 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int):
             yield (batch, low, high, *ngram_sets(part, places, size))
 
 
-def frequency_table(documents: DataFrame, size: int) -> np.ndarray:
-    """Counters of how many documents hold a token of that hash; `WIDTH` numbers, whatever the input.
-
-    Each task counts into its own table and sends it in slices, which are summed by slice.
-    """
-
-    def count(batches):
-        table = np.zeros(WIDTH, dtype=np.uint32)
-        for _, _, _, tokens, _ in _sets(batches, size):
-            table += np.bincount((tokens & _U(WIDTH - 1)).astype(np.int64), minlength=WIDTH).astype(np.uint32)
-        if table.any():
-            rows = table.reshape(SLICES, -1)
-            yield pa.RecordBatch.from_pydict(
-                {"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([r.tobytes() for r in rows], pa.binary())}
-            )
-
-    def total(group: pa.Table) -> pa.Table:
-        counts = np.zeros(WIDTH // SLICES, dtype=np.uint64)
-        for blob in group.column("counts"):
-            counts += np.frombuffer(blob.as_buffer(), dtype=np.uint32)
-        capped = np.minimum(counts, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pa.table({"slice": group.column("slice")[:1], "counts": pa.array([capped.tobytes()], pa.binary())})
-
-    partial = documents.select("text").mapInArrow(count, "slice int, counts binary")
-    sums = partial.groupBy("slice").applyInArrow(total, "slice int, counts binary").collect()
-    table = np.zeros((SLICES, WIDTH // SLICES), dtype=np.uint32)
-    for row in sums:
-        table[row["slice"]] = np.frombuffer(row["counts"], dtype=np.uint32)
-    return table.reshape(-1)
-
-
 class _Bounds:
-    """Prefix lengths, size classes and numbers of hash groups for a threshold of `percent` / 100."""
+    """Size classes and numbers of hash groups for a threshold of `percent` / 100."""
 
     def __init__(self, percent: int) -> None:
         self.percent = percent
-        self.lowest = [1]  # smallest size of each class
-        while self.lowest[-1] < 1 << 40:
-            self.lowest.append(max(self.lowest[-1] + 1, self.lowest[-1] * 100 // percent + 1))
-        self.lowest = np.array(self.lowest, dtype=np.int64)
+        lowest = [1]  # smallest size of each class; similar sizes are at most a factor of 100 / percent apart
+        while lowest[-1] < 1 << 40:
+            lowest.append(int(lowest[-1] * (100 / percent) ** 3) + 1)
+        self.lowest = np.array(lowest, dtype=np.int64)
 
-    def prefix(self, n: int) -> int:
-        return n - (-(-n * self.percent // 100)) + 1
+    def size_class(self, n: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.lowest, n, "right") - 1
 
-    def size_class(self, n: int) -> int:
-        return int(np.searchsorted(self.lowest, n, "right")) - 1
+    def reaches_next(self, n: np.ndarray) -> np.ndarray:
+        """Whether a set of the next class can be similar."""
+        return self.percent * self.lowest[self.size_class(n) + 1] <= 100 * n
 
-    def groups(self, size_class: int) -> int:
+    def groups(self, size_class: np.ndarray) -> np.ndarray:
         """One more than the differences possible when the larger set is of this class."""
-        largest = int(self.lowest[size_class + 1]) - 1
+        largest = self.lowest[size_class + 1] - 1
         return (100 - self.percent) * 2 * largest // (100 + self.percent) + 1
 
 
-def _signatures(documents: DataFrame, size: int, percent: int, table) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, n_rare, keys) per document."""
+def group_keys(tokens: np.ndarray, base: np.ndarray, bounds: _Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all sets and where each set's begin."""
+    sizes = np.diff(base)
+    filled = np.flatnonzero(sizes)
+    own = bounds.size_class(sizes[filled])
+    more = bounds.reaches_next(sizes[filled])
+    # a set once for its own class, and once for the next
+    row = np.concatenate([filled, filled[more]])
+    level = np.concatenate([own, own[more] + 1])
+    order = np.argsort(row, kind="stable")
+    row, level = row[order], level[order]
+    groups = bounds.groups(level)
+    first = np.concatenate([[0], np.cumsum(groups)])
+    which = np.repeat(np.arange(len(row)), sizes[row])
+    at = np.arange(len(which)) - np.repeat(np.cumsum(sizes[row]) - sizes[row] - base[row], sizes[row])
+    member = tokens[at]
+    place = first[which] + ((member >> _U(8)) % groups[which].astype(np.uint64)).astype(np.int64)
+    sums = np.zeros(first[-1], dtype=np.uint64)
+    np.add.at(sums, place, mix(member ^ _STEP))
+    where = np.arange(first[-1]) - np.repeat(first[:-1], groups) + (np.repeat(level, groups) << 32)
+    each = np.bincount(row, weights=groups, minlength=len(sizes)).astype(np.int64)
+    return mix(sums * _STEP + mix(where.astype(np.uint64))), np.concatenate([[0], np.cumsum(each)])
+
+
+def parities(tokens: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """(rows, PARITIES / 64): for each set and hash value whether the number of its tokens with that value is odd."""
+    row = np.repeat(np.arange(len(base) - 1), np.diff(base))
+    cell = row * PARITIES + (mix(tokens + _STEP) % _U(PARITIES)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=(len(base) - 1) * PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(base) - 1, -1)
+
+
+_LANES = [f"p{k}" for k in range(PARITIES // 64)]
+
+
+def _signatures(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, set_a, set_b, parities, keys) per document."""
 
     def sign(batches):
-        counts = table.value
-        limit = max(RARE, 2 * int(counts.sum(dtype=np.uint64)) // WIDTH)
         bounds = _Bounds(percent)
         for batch, low, high, tokens, base in _sets(batches, size):
-            seen = counts[(tokens & _U(WIDTH - 1)).astype(np.int64)]
-            frequent = seen > limit
-            level = np.log2(np.maximum(seen, 1)).astype(np.uint64)
-            order = (level << _U(58)) | (tokens >> _U(6))
             mixed = mix(tokens ^ _STEP)
-            sizes = np.diff(base)
             set_a = np.concatenate([[_U(0)], np.cumsum(mixed)])
             set_b = np.concatenate([[_U(0)], np.cumsum(mix(mixed))])
-            n_rare, keys = np.zeros(len(sizes), np.int64), []
-            for i, (a, b) in enumerate(zip(base[:-1].tolist(), base[1:].tolist())):
-                if a == b:
-                    keys.append(np.zeros(0, np.int64))
-                    continue
-                own, often, n = order[a:b], frequent[a:b], b - a
-                prefix = bounds.prefix(n)
-                rare = np.sort(own[~often]) & ~_U(3)
-                n_rare[i] = len(rare)
-                if len(rare) >= prefix:
-                    keys.append(rare[:prefix].view(np.int64))
-                    continue
-                found, members = [rare], tokens[a:b][often]
-                for c in (bounds.size_class(n), bounds.size_class(n) + 1):
-                    groups = bounds.groups(c)
-                    sums = np.zeros(groups, dtype=np.uint64)
-                    np.add.at(sums, ((members >> _U(8)) % _U(groups)).astype(np.int64), mixed[a:b][often])
-                    where = np.arange(groups, dtype=np.uint64) + _U(c << 32)
-                    found.append((mix(sums * _STEP + mix(where)) & ~_U(2)) | _U(1 + 2 * (c % 2)))
-                keys.append(np.concatenate(found).view(np.int64))
-            ends = np.cumsum([0] + [len(k) for k in keys])
+            keys, ends = group_keys(tokens, base, bounds)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
-                    pa.array(sizes, pa.int64()),
+                    pa.array(np.diff(base), pa.int64()),
                     pa.array((set_a[base[1:]] - set_a[base[:-1]]).view(np.int64)),
                     pa.array((set_b[base[1:]] - set_b[base[:-1]]).view(np.int64)),
-                    pa.array(n_rare),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))),
+                    *(pa.array(lane) for lane in parities(tokens, base).T),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64))),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "n_rare", "keys"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", *_LANES, "keys"],
             )
 
-    schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, n_rare bigint, keys array<bigint>"
+    lanes = ", ".join(f"{p} bigint" for p in _LANES)
+    schema = f"doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, {lanes}, keys array<bigint>"
     return documents.select("doc_id", "text").mapInArrow(sign, schema)
 
 
-def _promising(met: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a < b) whose sets can be similar, given how many single-token keys they share.
+def _traits(signed: DataFrame, prefix: str, key: str) -> DataFrame:
+    """The id as `key`, and size and parities under names that begin with `prefix`."""
+    return signed.select(F.col("doc_id").alias(key), *(F.col(c).alias(f"{prefix}_{c}") for c in ["n_shingles", *_LANES]))
 
-    Both key lists hold all rare tokens up to the end of the shorter prefix, so tokens that the pair
-    has in common are shared keys or lie behind a prefix.
-    """
-    prefix = f"least({{0}}_rare, {{0}}_size - ({percent} * {{0}}_size + 99) div 100 + 1)"
-    behind = f"greatest(x_size - {prefix.format('x')}, y_size - {prefix.format('y')})"
+
+def _fits(percent: int) -> str:
+    """Whether sets of the sizes and parities of x and y can be similar."""
+    unequal = " + ".join(f"bit_count(x_{p} ^ y_{p})" for p in _LANES)
     return (
-        met.selectExpr("least(a, b) as a", "greatest(a, b) as b", "x_size + y_size as sizes", f"{behind} as behind", "1 - abs(key % 2) as single")
-        .groupBy("a", "b")
-        .agg(F.max("sizes").alias("sizes"), F.max("behind").alias("behind"), F.sum("single").alias("shared"))
-        .where(f"{100 + percent} * (shared + behind) >= {percent} * sizes")
-        .select("a", "b")
+        f"{percent} * greatest(x_n_shingles, y_n_shingles) <= 100 * least(x_n_shingles, y_n_shingles) and "
+        f"{100 + percent} * ({unequal}) <= {100 - percent} * (x_n_shingles + y_n_shingles)"
     )
 
 
+def _wanted(pairs: DataFrame) -> np.ndarray:
+    """A table of `WANTED` bits, whatever the input: those at the hashes of the ids in `pairs` (a, b)."""
+    # the functions on bitmaps count from 1
+    ids = pairs.select(F.explode(F.array(_slot("a") + 1, _slot("b") + 1)).alias("slot"))
+    parts = ids.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    table = np.zeros(WANTED // 8, dtype=np.uint8)
+    for row in parts.collect():
+        bits = np.frombuffer(row["bits"], dtype=np.uint8)
+        low = (row["part"] - 1) * len(bits)
+        table[low : low + len(bits)] = bits
+    return table
+
+
+def _slot(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(WANTED))
+
+
 def _verified(pairs: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs (a, b) whose whole sets are similar. Texts stay where they are: a task makes the sets of the wanted
+    documents, and of the few others with the same bit of the table."""
+    table = documents.sparkSession.sparkContext.broadcast(_wanted(pairs))
 
     def whole(batches):
-        for batch, low, high, tokens, base in _sets(batches, size):
+        def asked():
+            for batch in batches:
+                slot = batch.column(2).to_numpy()
+                yield batch.filter(pa.array((table.value[slot >> 3] >> (slot & 7)) & 1 == 1))
+
+        for batch, low, high, tokens, base in _sets(asked(), size):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
@@ -211,7 +207,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, size: int, percent: int) -
                 names=["doc_id", "tokens"],
             )
 
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    texts = documents.where("doc_id is not null").select("doc_id", "text", _slot("doc_id").alias("slot"))
     sets = store(texts.mapInArrow(whole, "doc_id bigint, tokens binary"), "sets")
 
     def similar(batches):
@@ -243,8 +239,7 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
     """
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
-    table = spark.sparkContext.broadcast(frequency_table(documents, size))
-    signed = store(_signatures(documents, size, percent, table), "signatures")
+    signed = store(_signatures(documents, size, percent), "signatures")
     release(spark)
     members = signed.where("doc_id is not null and n_shingles > 0")
     heads = store(
@@ -255,39 +250,22 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
     # equal rows of one document count once
     first = heads.select("head", "n_shingles", "set_a", "set_b").withColumnRenamed("head", "doc_id")
     keyed = (
-        members.join(first, ["doc_id", "n_shingles", "set_a", "set_b"], "left_semi")
+        members.select("doc_id", "n_shingles", "set_a", "set_b", "keys")
+        .join(first, ["doc_id", "n_shingles", "set_a", "set_b"], "left_semi")
         .dropDuplicates(["doc_id", "n_shingles", "set_a", "set_b"])
-        .select(F.explode("keys").alias("key"), "doc_id", "n_shingles", "n_rare")
+        .select(F.explode("keys").alias("key"), "doc_id")
     )
-    often = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    own = Window.partitionBy("doc_id", F.col("key").bitwiseAND(3)).orderBy(F.desc("n"), "key")
-    met = (
-        keyed.join(often, "key")
-        .withColumn("place", F.row_number().over(own))
-        .where("key % 2 = 0 or place > n_rare")
-        .select("key", "doc_id", "n_shingles", "n_rare")
+    # the hub of a key is its smallest document
+    met = Window.partitionBy("key")
+    shared = store(
+        keyed.withColumns({"hub": F.min("doc_id").over(met), "last": F.max("doc_id").over(met)}).where("hub < last").drop("last"), "keys"
     )
-    met = store(met, "met")
-    # the hub of a key is its document with the fewest rare tokens
-    hubs = met.groupBy("key").agg(
-        F.count("*").alias("n"), F.min(F.struct("n_rare", "doc_id", "n_shingles")).alias("hub")
-    ).where("n > 1")
-    shared = store(met.join(hubs, "key").select("key", "doc_id", "n_shingles", "n_rare", "hub"), "keys")
     release(spark)
-    fits = (
-        f"{percent} * greatest(x_size, y_size) <= 100 * least(x_size, y_size) and "
-        f"(key % 2 = 0 or ({100 + percent} * (x_rare + y_rare) <= {100 - percent} * (x_size + y_size) and "
-        f"{100 + percent} * least(x_size - x_rare, y_size - y_rare) >= {percent} * (x_size + y_size)))"
+    traits = members.select("doc_id", "n_shingles", *_LANES).distinct()
+    near = shared.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    stars = store(
+        near.join(_traits(traits, "x", "a"), "a").join(_traits(traits, "y", "b"), "b").where(_fits(percent)).select("a", "b").distinct(), "stars"
     )
-    counted = (
-        shared.where("doc_id <> hub.doc_id")
-        .selectExpr(
-            "key", "doc_id as a", "hub.doc_id as b", "n_shingles as x_size", "hub.n_shingles as y_size",
-            "n_rare as x_rare", "hub.n_rare as y_rare",
-        )
-        .where(fits)
-    )
-    stars = store(_promising(counted, percent), "stars")
     links = store(_verified(stars, documents, size, percent), "links")
     found = connected_components(links.unionByName(copies))
     # documents of one key that are still apart
@@ -295,11 +273,13 @@ def ngram_jaccard_join(documents: DataFrame, size: int = 5, percent: int = 80) -
         "component", F.coalesce("component", "doc_id")
     )
     apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_keys = store(placed.join(apart.select("key"), "key").select("key", "doc_id", "n_shingles", "n_rare", "component"), "open")
-    x = open_keys.selectExpr("key", "doc_id as a", "n_shingles as x_size", "n_rare as x_rare", "component as x")
-    y = open_keys.selectExpr("key", "doc_id as b", "n_shingles as y_size", "n_rare as y_rare", "component as y")
-    met_again = x.join(y, "key").where("x < y").where(fits)
-    rest = store(_promising(met_again, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    open_keys = store(placed.join(apart.select("key"), "key").join(traits, "doc_id").drop("hub"), "open")
+    x, y = (
+        open_keys.select("key", F.col("component").alias(p), F.col("doc_id").alias(k), *(F.col(c).alias(f"{p}_{c}") for c in ["n_shingles", *_LANES]))
+        for p, k in (("x", "a"), ("y", "b"))
+    )
+    met_again = x.join(y, "key").where("x < y").where(_fits(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = store(met_again.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
     more = store(_verified(rest, documents, size, percent), "links")
     release(spark)
     found = connected_components(links.unionByName(copies).unionByName(more))

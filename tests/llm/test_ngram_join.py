@@ -4,8 +4,10 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
+from patronage.llm import ngram_join
 from patronage.llm.components import connected_components
 from patronage.llm.ngram_join import ngram_jaccard_join
 
@@ -72,3 +74,39 @@ def test_components_of_a_long_chain(spark):
     frame = connected_components(spark.createDataFrame(pairs, "a bigint, b bigint"))
     found = {r["node"]: r["component"] for r in frame.collect()}
     assert found == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100}
+
+
+def test_lines_in_common_are_no_key(make_documents, monkeypatch):
+    """Documents that have single lines in common, each as often as a fixed limit would allow, do not meet."""
+    pick = random.Random(3)
+    lines = [" ".join(f"l{k}_{j}" for j in range(9)) for k in range(100)]
+    rows = [(key, " ".join([*pick.sample(lines, 8), *(f"o{key}_{j}" for j in range(9))])) for key in range(200)]
+    rows += [(300 + key, f"{rows[key][1]} end") for key in range(10)]
+    met = []
+    store = ngram_join.store
+
+    def counted(frame, name):
+        out = store(frame, name)
+        if name == "keys":
+            met.append(out.select("doc_id").distinct().count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "store", counted)
+    assert got(ngram_jaccard_join(make_documents(rows), 3, 90)) == brute(rows, 3, 90)
+    assert met[0] < 60
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 99])
+def test_similar_sets_share_a_key(percent):
+    """Sets of every size that are just similar, one larger or both with tokens of their own."""
+    pick = np.random.default_rng(1)
+    bounds = ngram_join._Bounds(percent)
+    for n in [*range(1, 60), 137, 400, 1001]:
+        common = -(-n * percent // 100)
+        for own in {0, (n - common) // 2}:
+            every = pick.integers(0, 1 << 63, n, dtype=np.uint64)
+            a, b = np.sort(every[: n - own]), np.sort(np.concatenate([every[:common], every[n - own :]]))
+            if 100 * common < percent * n:
+                continue
+            keys, base = ngram_join.group_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), bounds)
+            assert set(keys[: base[1]].tolist()) & set(keys[base[1] :].tolist())
