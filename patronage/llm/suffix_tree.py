@@ -20,9 +20,10 @@ P(byte | class). A text's score is log10 of the probability of the whole text an
 
 The baseline. A token's count over the training texts is needed for every token of every text. Texts are
 dealt in blocks of neighbouring doc_ids; a block sends each distinct word and run once with its count, they
-are summed over blocks, and each block gets the sums of its own back, in Parquet tables. Runs that occur
-once, in that block's training texts, need no answer. A row holds the sorted hashes of a block in one
-bucket of hashes; there are as many buckets as the bytes of the corpus need. A word that every text holds
+are summed over blocks, and each block gets the sums of its own back, in Parquet tables. A row holds the sorted
+hashes of a block in one bucket of hashes; there are as many buckets as the bytes of the corpus need. The
+answer holds no hashes: the block, which can tell its own in the same order, gets one small number for each,
+0 for a run that occurs once, in that block's training texts, or never. A word that every text holds
 costs one entry per block and batch. Nothing of the vocabulary reaches the driver. Words are compared by 62 bits
 of their hash, runs by `MORE_BITS` more than the number of the corpus' bytes has, so that of two thousand
 runs that never occurred less than one is taken for another, at any size.
@@ -277,6 +278,18 @@ def _planes(numbers: np.ndarray) -> list[bytes]:
     return out
 
 
+def _numbers(data: bytes, at: int, lengths: list[int], n: int) -> np.ndarray:
+    """`n` numbers from their byte planes, which begin at a place and have these lengths."""
+    numbers = np.zeros((n, 8), dtype=np.uint8)
+    for k, length in enumerate(lengths):
+        plane = data[at : at + length]
+        if length != n:
+            plane = pa.decompress(plane, n, codec="zstd", asbytes=True)
+        numbers[:, k] = np.frombuffer(plane, dtype=np.uint8)
+        at += length
+    return numbers.view("<u8").reshape(n)
+
+
 def _packed(keys: np.ndarray, values: np.ndarray) -> bytes:
     """Sorted keys and a small number for each: byte planes of the differences and of the numbers."""
     low, high = _planes(np.diff(keys, prepend=np.uint64(0))), _planes(values)
@@ -287,15 +300,20 @@ def _packed(keys: np.ndarray, values: np.ndarray) -> bytes:
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     head = np.frombuffer(data, dtype="<u4", count=data[0], offset=1).tolist()
     n, low, at = head[0], head[1], 1 + 4 * data[0]
-    numbers = np.zeros((2, n, 8), dtype=np.uint8)
-    for k, length in enumerate(head[2:]):
-        plane = data[at : at + length]
-        if length != n:
-            plane = pa.decompress(plane, n, codec="zstd", asbytes=True)
-        numbers[int(k >= low), :, k - low if k >= low else k] = np.frombuffer(plane, dtype=np.uint8)
-        at += length
-    pair = numbers.view("<u8").reshape(2, n)
-    return np.cumsum(pair[0], dtype=np.uint64), pair[1].astype(np.int64)
+    keys = _numbers(data, at, head[2 : 2 + low], n)
+    return np.cumsum(keys, dtype=np.uint64), _numbers(data, at + sum(head[2 : 2 + low]), head[2 + low :], n).astype(np.int64)
+
+
+def _packed_counts(values: np.ndarray) -> bytes:
+    """Small numbers as byte planes."""
+    planes = _planes(values)
+    head = np.array([len(values), *map(len, planes)], dtype="<u4")
+    return bytes([len(head)]) + head.tobytes() + b"".join(planes)
+
+
+def _unpacked_counts(data: bytes) -> np.ndarray:
+    head = np.frombuffer(data, dtype="<u4", count=data[0], offset=1).tolist()
+    return _numbers(data, 1 + 4 * data[0], head[1:], head[0]).astype(np.int64)
 
 
 def _shortened(key: np.ndarray, width: int) -> np.ndarray:
@@ -335,33 +353,67 @@ def _block_runs(documents: DataFrame, size: int, bits: int, width: int) -> DataF
 
 
 def _answers(texts: DataFrame, size: int, bits: int, width: int = WORD_BITS) -> DataFrame:
-    """(b, runs, different, n): for each block its words or runs and their count in all training texts; how
-    many have such a count, and the sum, in one row of a bucket. A run that is left out occurs in the
-    block's training texts only, once, or never."""
+    """(b, bucket, more, different, n): for each block and bucket, for its words or runs in the order of their
+    hashes, their count in all training texts less 1 if the block's training texts hold them; rows of zeros are
+    left out. How many of a bucket have a count, and the sum, in one row of it."""
 
     def merge(table: pa.Table) -> pa.Table:
-        parts = [_unpacked(data) for data in table.column("runs").to_pylist()]
-        key, n = (np.concatenate(x) for x in zip(*parts))
-        block = np.repeat(table.column("block").to_numpy(), [len(k) for k, _ in parts])
-        out, key = (key & _HELD_OUT) != 0, key & ~_HELD_OUT
-        every, back = np.unique(key, return_inverse=True)
-        c = np.bincount(back, weights=np.where(out, 0, n), minlength=len(every)).astype(np.int64)
-        mine = c[back]
-        asked = np.flatnonzero((mine > 1) | ((mine == 1) & (out | (size == 1))))
-        asked = asked[np.lexsort((key[asked], block[asked]))]
-        key, block, mine = key[asked], block[asked], mine[asked]
-        first = np.ones(len(key), dtype=bool)
-        first[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
-        key, block, mine = key[first], block[first], mine[first]
-        edges = np.append(np.flatnonzero(np.diff(block, prepend=block[:1] - 1)), len(block))
-        out = [(int(block[i]), _packed(key[i:j], mine[i:j]), 0, 0) for i, j in zip(edges, edges[1:])]
-        if out:
-            out[0] = (*out[0][:2], int((c > 0).sum()), int(c.sum()))
-        columns = list(zip(*out)) or [[]] * 4
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=["b", "runs", "different", "n"])
-
-    return _block_runs(texts, size, bits, width).groupBy("bucket").applyInArrow(merge, "b bigint, runs binary, different bigint, n bigint")
+        parts: dict[int, list] = {}
+        for block, data in zip(table.column("block").to_pylist(), table.column("runs").to_pylist()):
+            parts.setdefault(block, []).append(_unpacked(data))
+        found = []
+        for block in parts:
+            key, n = (np.concatenate(x) for x in zip(*parts[block]))
+            if len(parts[block]) > 1:
+                order = np.argsort(key)
+                key, n = key[order], n[order]
+            out, key = (key & _HELD_OUT) != 0, key & ~_HELD_OUT
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            found.append((key[first], np.add.reduceat(np.where(out, 0, n), first)))
+        every, back = np.unique(np.concatenate([key for key, _ in found]), return_inverse=True)
+        own = np.concatenate([n for _, n in found])
+        c = np.bincount(back, weights=own, minlength=len(every)).astype(np.int64)
+        more = c[back] - (own > 0)
+        rows, low = [], 0
+        for block, (key, _) in zip(parts, found):
+            part = more[low : low + len(key)]
+            low += len(key)
+            if not rows:
+                rows.append((block, _packed_counts(part), int((c > 0).sum()), int(c.sum())))
+            elif part.any():
+                rows.append((block, _packed_counts(part), 0, 0))
+        blocks_, data, different, n = zip(*rows)
+        return pa.table(
+            {
+                "b": pa.array(blocks_, pa.int64()),
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * len(rows), pa.int64()),
+                "more": pa.array(data, pa.binary()),
+                "different": pa.array(different, pa.int64()),
+                "n": pa.array(n, pa.int64()),
+            }
+        )
+
+    schema = "b bigint, bucket bigint, more binary, different bigint, n bigint"
+    return _block_runs(texts, size, bits, width).groupBy("bucket").applyInArrow(merge, schema)
+
+
+def _counts(keys: np.ndarray, answers: list[tuple[int, bytes]], shift: int) -> np.ndarray:
+    """The count of each of a block's runs in all training texts. `answers` holds (bucket, numbers), the bucket of
+    a run is its hash without the last `shift` bits."""
+    order = np.argsort(keys)
+    key = keys[order]
+    out, key = (key & _HELD_OUT) != 0, key & ~_HELD_OUT
+    fresh = np.append(True, key[1:] != key[:-1])[: len(key)]
+    first = np.flatnonzero(fresh)
+    # of equal runs, those of training texts come first
+    total = (~out[first]).astype(np.int64)
+    bucket = (key[first] >> np.uint64(shift)).astype(np.int64)
+    for which, data in answers:
+        low, high = np.searchsorted(bucket, [which, which + 1])
+        total[low:high] += _unpacked_counts(data)
+    count = np.empty(len(keys), dtype=np.int64)
+    count[order] = total[np.cumsum(fresh) - 1]
+    return count
 
 
 def _text_scores(tree: SuffixTree, part: np.ndarray, places: np.ndarray, found: Tokens, counts: list[np.ndarray], seen: int, distinct: int) -> np.ndarray:
@@ -414,37 +466,33 @@ def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
         release(spark)
     row = answers[0].agg(F.sum("different").alias("words"), F.sum("n").alias("n")).first()
     tokens, distinct = (row["n"] or 0) + ends, (row["words"] or 0) + (ends > 0)
-    runs = reduce(DataFrame.unionByName, (a.select("b", "runs", F.lit(k).alias("size")) for k, a in enumerate(answers, 1)))
+    runs = reduce(DataFrame.unionByName, (a.select("b", "bucket", "more", F.lit(k).alias("size")) for k, a in enumerate(answers, 1)))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        known_runs = {}
-        sizes = right.column("size").to_numpy()
-        for size in range(1, ORDER + 1):
-            # buckets are ranges of hashes, so together they are sorted too
-            parts = [_unpacked(data) for data in right.column("runs").filter(pa.array(sizes == size)).to_pylist()]
-            parts.sort(key=lambda part: part[0][0])
-            known_runs[size] = [np.concatenate(x) for x in zip(*parts)] if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        answered: dict[int, list] = {size: [] for size in range(1, ORDER + 1)}
+        for size, bucket, data in zip(*(right.column(c).to_pylist() for c in ("size", "bucket", "more"))):
+            answered[size].append((bucket, data))
         raw, offsets = column_bytes(left.column("text"))
-        train = ~left.column("held_out").to_numpy().astype(bool)
+        out = left.column("held_out").to_numpy().astype(np.uint64) << np.uint64(1)
         columns: list[list[np.ndarray]] = [[], [], [], []]
-
-        def looked_up(size: int, keys: np.ndarray, missing: np.ndarray) -> np.ndarray:
-            run, c = known_runs[size]
-            keys = _shortened(keys, WORD_BITS if size == 1 else width)
-            at = np.minimum(np.searchsorted(run, keys), max(len(run) - 1, 0))
-            return np.where(run[at] == keys, c[at], missing) if len(run) else missing
-
-        for low, _, part, places in blocks(raw, offsets):
-            found = _tokens(part, places)
-            own = train[found.doc + low].astype(np.int64)
-            count = looked_up(1, found.token, np.zeros_like(own))
+        parts = [(low, part, places, _tokens(part, places)) for low, _, part, places in blocks(raw, offsets)]
+        counts: list[list[np.ndarray]] = [[] for _ in parts]
+        sizes = zip(*([(found.token, found.word), *found.runs()] for *_, found in parts))
+        for size, runs in enumerate(sizes, 1):
+            bits_of_key = WORD_BITS if size == 1 else width
+            keys = [_shortened(run[held], bits_of_key) | out[found.doc[held] + low] for (run, held), (low, _, _, found) in zip(runs, parts)]
+            every = _counts(np.concatenate(keys), answered[size], bits_of_key + 2 - bits)
+            for (run, held), mine, own in zip(runs, counts, np.split(every, np.cumsum([len(k) for k in keys])[:-1])):
+                mine.append(np.zeros(len(run), dtype=np.int64))
+                mine[-1][held] = own
+
+        for (_, part, places, found), mine in zip(parts, counts):
             first = found.first - np.arange(len(found.first))
-            for column, values in zip(columns, (np.log10(count + 1.0), (count > 0).astype(np.float64))):
+            for column, values in zip(columns, (np.log10(mine[0] + 1.0), (mine[0] > 0).astype(np.float64))):
                 column.append(np.diff(np.concatenate([[0.0], np.cumsum(values[found.word])])[first]))
             columns[2].append(np.diff(found.first))
-            count[~found.word] = ends
-            counts = [count, *(looked_up(k, run, own) for k, (run, _) in enumerate(found.runs(), 2))]
-            columns[3].append(_text_scores(tree.value, part, places, found, counts, tokens, max(distinct, 1)))
+            mine[0][~found.word] = ends
+            columns[3].append(_text_scores(tree.value, part, places, found, mine, tokens, max(distinct, 1)))
         sums, known, lengths, scores = (np.concatenate(x) if x else np.zeros(0) for x in columns)
         return pa.table(
             {

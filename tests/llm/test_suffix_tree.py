@@ -193,3 +193,31 @@ def test_packed_runs_come_back():
         assert k.tolist() == keys.tolist() and v.tolist() == values.tolist()
     dense = np.sort(pick.integers(0, 1 << 41, 2000, dtype=np.uint64))
     assert len(st._packed(dense, np.ones(2000))) < 4.3 * 2000
+
+
+def test_answers_hold_no_hashes(make_documents):
+    """A number of a byte or less goes back for a run that two blocks hold, and the counts are those of all blocks."""
+    pick = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in pick.integers(0, 1 << 30, 200)) for _ in range(60)]
+    frame = make_documents([(k, texts[k % 60]) for k in range(120)])
+    asked = frame.select("text", F.floor(F.col("doc_id") / 60).alias("block"), F.lit(False).alias("held_out"))
+    answers = st._answers(asked, 3, 2, 40)
+    data = next(name for name, kind in answers.dtypes if kind == "binary")
+    rows = answers.collect()
+    runs = 60 * 199  # of three tokens, the end one of them
+    assert (sum(r["different"] for r in rows), sum(r["n"] for r in rows)) == (runs, 2 * runs)
+    assert sum(len(r[data]) for r in rows) < 2 * runs
+
+
+def test_counts_of_a_block_in_several_parts():
+    pick = np.random.default_rng(6)
+    keys = (pick.integers(0, 500, 3000, dtype=np.uint64) << np.uint64(6)) | (pick.integers(0, 2, 3000, dtype=np.uint64) << np.uint64(1))
+    plain, shift = keys & ~st._HELD_OUT, 11
+    every = np.unique(plain)
+    trained = np.isin(every, plain[(keys & st._HELD_OUT) == 0])
+    want = np.where(trained, pick.integers(1, 70_000, len(every)), 0)
+    buckets = (every >> np.uint64(shift)).astype(int)
+    answers = [(int(b), st._packed_counts((want - trained)[buckets == b])) for b in np.unique(buckets)]
+    have = st._counts(keys, answers, shift)
+    assert have.tolist() == want[np.searchsorted(every, plain)].tolist()
+    assert st._counts(np.zeros(0, np.uint64), [], shift).tolist() == []
