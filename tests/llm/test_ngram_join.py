@@ -79,8 +79,8 @@ def test_components_of_a_long_chain(spark):
 def test_lines_in_common_are_no_key(make_documents, monkeypatch):
     """Documents that have single lines in common, each as often as a fixed limit would allow, do not meet."""
     pick = random.Random(3)
-    lines = [" ".join(f"l{k}_{j}" for j in range(9)) for k in range(100)]
-    rows = [(key, " ".join([*pick.sample(lines, 8), *(f"o{key}_{j}" for j in range(9))])) for key in range(200)]
+    lines = [" ".join(f"l{k}_{j}" for j in range(30)) for k in range(60)]
+    rows = [(key, " ".join(pick.sample(lines, 4))) for key in range(200)]
     rows += [(300 + key, f"{rows[key][1]} end") for key in range(10)]
     met = []
     store = ngram_join.store
@@ -93,7 +93,7 @@ def test_lines_in_common_are_no_key(make_documents, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "store", counted)
     assert got(ngram_jaccard_join(make_documents(rows), 3, 90)) == brute(rows, 3, 90)
-    assert met[0] < 60
+    assert met[0] < 120
 
 
 @pytest.mark.parametrize("percent", [50, 80, 90, 99])
