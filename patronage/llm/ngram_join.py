@@ -5,11 +5,15 @@ A document is the set of its distinct word n-grams (here: tokens). Two documents
 
 1. Documents with equal sets are one class; only its smallest document goes on.
 2. Sizes are cut into classes so wide that similar sets are of one class or of neighbouring ones. The tokens of a
-   set are dealt by their hash into as many groups as a pair of the (larger) class may have differences, and one
-   more: at least one group is equal in both. The combination of all tokens in a group (about 6 to 10 of them) is
-   the key, one key per group; a set has the keys of its own class, and those of the next when a partner may be
-   there. A key needs many tokens in common, so the documents that meet under one hardly grow in number with the
-   corpus, however frequent the single tokens become, and no table of frequencies is needed.
+   set are dealt by their hash into a quarter more groups than a pair of the (larger) class may have differences.
+   Of two similar sets each difference changes one group, the others are equal in both and hold equally many tokens.
+   So of a set's groups in the order of how many tokens they hold, then of their place, it needs only as many as it may
+   have differences, and one more: the first group that is equal in both is among these of either set. Groups without
+   tokens or with one, which unlike documents have in common, are left out so. The combination of all tokens in a group
+   is the key (about 4 tokens for a similarity of 0.8, 8 for 0.9); a set has the keys of its own class, and
+   those of the next when a partner may be there. A key needs many tokens in common, so the documents that meet under
+   one hardly grow in number with the corpus, however frequent the single tokens become, and no table of frequencies
+   is needed.
 3. Documents under one key are compared with its hub, the smallest of them.
    Only documents that are then still in different components are compared pairwise, so a group of
    thousands of near copies costs one comparison each.
@@ -89,9 +93,15 @@ class _Bounds:
         return self.percent * self.lowest[self.size_class(n) + 1] <= 100 * n
 
     def groups(self, size_class: np.ndarray) -> np.ndarray:
-        """One more than the differences possible when the larger set is of this class."""
+        """A quarter more than the differences possible when the larger set is of this class."""
         largest = self.lowest[size_class + 1] - 1
-        return (100 - self.percent) * 2 * largest // (100 + self.percent) + 1
+        possible = (100 - self.percent) * 2 * largest // (100 + self.percent)
+        return possible + -(-possible // 4) + 1
+
+    def differences(self, n: np.ndarray, size_class: np.ndarray) -> np.ndarray:
+        """Most differences to a similar set of at most this class."""
+        other = np.minimum(self.lowest[size_class + 1] - 1, 100 * n // self.percent)
+        return (100 - self.percent) * (n + other) // (100 + self.percent)
 
 
 def group_keys(tokens: np.ndarray, base: np.ndarray, bounds: _Bounds) -> tuple[np.ndarray, np.ndarray]:
@@ -113,9 +123,14 @@ def group_keys(tokens: np.ndarray, base: np.ndarray, bounds: _Bounds) -> tuple[n
     place = first[which] + ((member >> _U(8)) % groups[which].astype(np.uint64)).astype(np.int64)
     sums = np.zeros(first[-1], dtype=np.uint64)
     np.add.at(sums, place, mix(member ^ _STEP))
-    where = np.arange(first[-1]) - np.repeat(first[:-1], groups) + (np.repeat(level, groups) << 32)
-    each = np.bincount(row, weights=groups, minlength=len(sizes)).astype(np.int64)
-    return mix(sums * _STEP + mix(where.astype(np.uint64))), np.concatenate([[0], np.cumsum(each)])
+    # of a set's groups those with most tokens
+    owner = np.repeat(np.arange(len(row)), groups)
+    order = np.lexsort((-np.bincount(place, minlength=first[-1]), owner))
+    rank = np.arange(first[-1]) - first[owner]
+    kept = np.sort(order[rank <= bounds.differences(sizes[row], level)[owner]])
+    where = kept - first[owner[kept]] + (level[owner[kept]] << 32)
+    each = np.bincount(row[owner[kept]], minlength=len(sizes))
+    return mix(sums[kept] * _STEP + mix(where.astype(np.uint64))), np.concatenate([[0], np.cumsum(each)])
 
 
 def parities(tokens: np.ndarray, base: np.ndarray) -> np.ndarray:

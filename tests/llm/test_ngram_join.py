@@ -110,3 +110,14 @@ def test_similar_sets_share_a_key(percent):
                 continue
             keys, base = ngram_join.group_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), bounds)
             assert set(keys[: base[1]].tolist()) & set(keys[base[1] :].tolist())
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_without_common_tokens_share_no_key(percent):
+    """A group without tokens is equal in any two sets of a class, so it is no key where fuller groups do."""
+    pick = np.random.default_rng(2)
+    sizes = pick.integers(30, 600, 200)
+    base = np.concatenate([[0], np.cumsum(sizes)])
+    tokens = np.concatenate([np.sort(pick.integers(0, 1 << 63, n, dtype=np.uint64)) for n in sizes])
+    keys, _ = ngram_join.group_keys(tokens, base, ngram_join._Bounds(percent))
+    assert len(np.unique(keys)) == len(keys)
