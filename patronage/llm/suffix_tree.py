@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ CLASSES, BITS, DEPTH = 32, 5, 4
 P_MIN, DIVERGENCE, WEIGHT = 1e-5, 10.0, 20.0
 #: neighbouring doc_ids in a block
 BLOCK_IDS = 4096
+#: bytes of texts that are scored at once
+SCORED = 1 << 20
 #: tokens in the longest run that is counted, weight of the next shorter context
 ORDER, WORD_WEIGHT = 5, 4.0
 _OTHER = 27  # white space other than the space, controls, and the end symbol
@@ -77,7 +80,7 @@ CLASS = _classes()
 def _symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All symbols of the texts, each text followed by the end, and where each text's begin."""
     places = offsets + np.arange(len(offsets))
-    symbols = np.full(int(places[-1]), _END, dtype=np.int64)
+    symbols = np.full(int(places[-1]), _END, dtype=np.uint16)
     held = np.ones(len(symbols), dtype=bool)
     held[places[1:] - 1] = False
     symbols[held] = LOWER[raw]
@@ -160,8 +163,11 @@ class SuffixTree:
     def steps(self, symbols: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The state before every symbol and log10 of the symbol's probability."""
         node = self.state[code >> np.uint32(BITS)]
-        at = node * CLASSES + (code & np.uint32(CLASSES - 1))
-        return node, self.log_class.reshape(-1)[at] + self.log_byte[symbols]
+        at = node * np.int32(CLASSES)
+        at += (code & np.uint32(CLASSES - 1)).astype(np.int32)
+        step = self.log_class.reshape(-1)[at]
+        step += self.log_byte[symbols]
+        return node, step
 
     def boundaries(self) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probabilities, in every state, of what ends a word (white space and the end) and of
@@ -209,7 +215,7 @@ def build_tree(counts: DataFrame, p_min: float = P_MIN) -> SuffixTree:
         state[contexts[held]] = len(tables) + np.arange(len(held))
         tables.extend(smooth)
         depths.extend([depth] * len(held))
-    return SuffixTree(state, np.log10(np.stack(tables)), log_byte, np.array(depths))
+    return SuffixTree(state.astype(np.int32), np.log10(np.stack(tables)), log_byte, np.array(depths))
 
 
 def _block(lowest: int, highest: int, rows: int, nulls: int) -> Column:
@@ -402,17 +408,18 @@ def _counts(keys: np.ndarray, answers: list[tuple[int, bytes]], shift: int) -> n
     a run is its hash without the last `shift` bits."""
     order = np.argsort(keys)
     key = keys[order]
-    out, key = (key & _HELD_OUT) != 0, key & ~_HELD_OUT
-    fresh = np.append(True, key[1:] != key[:-1])[: len(key)]
-    first = np.flatnonzero(fresh)
+    trained = (key & _HELD_OUT) == 0
+    key &= ~_HELD_OUT
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
     # of equal runs, those of training texts come first
-    total = (~out[first]).astype(np.int64)
-    bucket = (key[first] >> np.uint64(shift)).astype(np.int64)
+    total = trained[first].astype(np.int64)
+    times, key = np.diff(first, append=len(key)), key[first]
     for which, data in answers:
-        low, high = np.searchsorted(bucket, [which, which + 1])
-        total[low:high] += _unpacked_counts(data)
+        more = _unpacked_counts(data)
+        low = int(np.searchsorted(key, np.uint64(which) << np.uint64(shift)))
+        total[low : low + len(more)] += more
     count = np.empty(len(keys), dtype=np.int64)
-    count[order] = total[np.cumsum(fresh) - 1]
+    count[order] = np.repeat(total, times)
     return count
 
 
@@ -421,7 +428,8 @@ def _text_scores(tree: SuffixTree, part: np.ndarray, places: np.ndarray, found:
     each token, `seen` of all tokens, `distinct` of different ones."""
     symbols, at = _symbols(part, places)
     node, steps = tree.steps(symbols, _codes(symbols))
-    sums = np.concatenate([[0.0], np.cumsum(steps)])
+    sums = np.zeros(len(steps) + 1)
+    np.cumsum(steps, out=sums[1:])
     closes, opens = tree.boundaries()
     # spelling of words, given that white space ends
     spelled = np.empty(len(found.token))
@@ -468,6 +476,8 @@ def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
     tokens, distinct = (row["n"] or 0) + ends, (row["words"] or 0) + (ends > 0)
     runs = reduce(DataFrame.unionByName, (a.select("b", "bucket", "more", F.lit(k).alias("size")) for k, a in enumerate(answers, 1)))
 
+    kind = np.uint32 if tokens < 1 << 32 else np.int64
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         answered: dict[int, list] = {size: [] for size in range(1, ORDER + 1)}
         for size, bucket, data in zip(*(right.column(c).to_pylist() for c in ("size", "bucket", "more"))):
@@ -475,18 +485,21 @@ def suffix_tree_scores(documents: DataFrame, held_out: Column) -> DataFrame:
         raw, offsets = column_bytes(left.column("text"))
         out = left.column("held_out").to_numpy().astype(np.uint64) << np.uint64(1)
         columns: list[list[np.ndarray]] = [[], [], [], []]
-        parts = [(low, part, places, _tokens(part, places)) for low, _, part, places in blocks(raw, offsets)]
+        parts = [(low, part, places, _tokens(part, places)) for low, _, part, places in blocks(raw, offsets, SCORED)]
         counts: list[list[np.ndarray]] = [[] for _ in parts]
-        sizes = zip(*([(found.token, found.word), *found.runs()] for *_, found in parts))
+        # one size after the other, so that the hashes of one are held
+        sizes = zip(*(chain([(found.token, found.word)], found.runs()) for *_, found in parts))
         for size, runs in enumerate(sizes, 1):
             bits_of_key = WORD_BITS if size == 1 else width
-            keys = [_shortened(run[held], bits_of_key) | out[found.doc[held] + low] for (run, held), (low, _, _, found) in zip(runs, parts)]
-            every = _counts(np.concatenate(keys), answered[size], bits_of_key + 2 - bits)
-            for (run, held), mine, own in zip(runs, counts, np.split(every, np.cumsum([len(k) for k in keys])[:-1])):
-                mine.append(np.zeros(len(run), dtype=np.int64))
+            keys = np.concatenate([_shortened(run[held], bits_of_key) | out[found.doc[held] + low] for (run, held), (low, _, _, found) in zip(runs, parts)])
+            every = _counts(keys, answered.pop(size), bits_of_key + 2 - bits)
+            ends_of = np.cumsum([np.count_nonzero(held) for _, held in runs])
+            for (run, held), mine, own in zip(runs, counts, np.split(every, ends_of[:-1])):
+                mine.append(np.zeros(len(run), dtype=kind))
                 mine[-1][held] = own
-
-        for (_, part, places, found), mine in zip(parts, counts):
+            del keys, every, runs, own
+        while parts:
+            (_, part, places, found), mine = parts.pop(0), counts.pop(0)
             first = found.first - np.arange(len(found.first))
             for column, values in zip(columns, (np.log10(mine[0] + 1.0), (mine[0] > 0).astype(np.float64))):
                 column.append(np.diff(np.concatenate([[0.0], np.cumsum(values[found.word])])[first]))

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -221,3 +222,14 @@ def test_counts_of_a_block_in_several_parts():
     have = st._counts(keys, answers, shift)
     assert have.tolist() == want[np.searchsorted(every, plain)].tolist()
     assert st._counts(np.zeros(0, np.uint64), [], shift).tolist() == []
+
+
+def test_memory_of_steps(tree):
+    """A task that scores a text holds few numbers for each of its bytes."""
+    raw = np.random.default_rng(8).integers(97, 123, 1 << 18, dtype=np.uint8)
+    raw[::6] = 32
+    tracemalloc.start()
+    tree.scores(raw, np.array([0, 100, len(raw)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(raw)
