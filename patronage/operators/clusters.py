@@ -6,12 +6,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import RDD
+from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from patronage.functions.blocks import added, packed, reduced
+from patronage.functions.blocks import added, evened, packed, reduced
 from patronage.operators.customers import CUSTOMER
 from patronage.operators.scaling import standard_scale
 from patronage.operators.segments import BEHAVIOUR
@@ -58,6 +58,11 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
 AT_ONCE = 512
 #: rows of all blocks up to which sums are taken row by row; a noise of their last digits may lead to another optimum
 PLAIN = 1 << 14
+#: steps at its present speed for which a fit's rows are looked through once; that pays if at most one pair of row and
+#: fit in `WORTH` may change its cluster meanwhile, else the next look is `WAIT` steps later
+AHEAD, WORTH, WAIT = 10, 3, 8
+#: open rows that are measured at once
+OPEN_AT_ONCE = 16384
 
 
 def _cluster_totals(x: np.ndarray, centers: np.ndarray, sums: bool) -> list[np.ndarray]:
@@ -99,6 +104,173 @@ def _counted_totals(x: np.ndarray, centers: np.ndarray, sums: bool) -> list[np.n
     return [distance.sum(axis=0), count.reshape(fits, k), np.stack(by_column, axis=1).reshape(centers.shape)]
 
 
+def _table(centers: np.ndarray) -> np.ndarray:
+    """Factors of a row and a 1 that give its distances to all centres, less its square; by centre, then fit."""
+    flat = centers.transpose(1, 0, 2).reshape(-1, centers.shape[2])
+    return np.column_stack([-2 * flat, (flat * flat).sum(axis=1)])
+
+
+def _first(apart: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether a centre (first axis) is the nearest, the first on ties."""
+    mine, free = apart == least, np.ones(least.shape, dtype=bool)
+    for own in mine:
+        own &= free
+        free ^= own
+    return mine
+
+
+def _split_totals(x: np.ndarray, centers: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums and counts (k, fits, dimensions + 1) of the rows that stay in their cluster, those of the others, and which
+    are the others, (fits, rows).
+
+    While no centre of a fit moves by more than `reach`, a distance changes by no more than that. A row stays if its
+    two least distances differ by more than twice the reach and the error of their computation.
+    """
+    fits, k, size = centers.shape
+    table, norm = _table(centers), np.sqrt((centers**2).sum(axis=2)).max(axis=1)
+    stay, change = np.zeros((2, k, fits, size + 1))
+    open_ = np.zeros((fits, len(x)), dtype=bool)
+    for low in range(0, len(x), AT_ONCE):
+        rows = np.column_stack([x[low : low + AT_ONCE], np.ones(len(x[low : low + AT_ONCE]))])
+        apart = (table @ rows.T).reshape(k, fits, -1)
+        squares = (rows[:, :-1] ** 2).sum(axis=1)
+        least = apart.min(axis=0)
+        mine = _first(apart, least)
+        np.putmask(apart, mine, np.inf)
+        between = np.sqrt(np.maximum(apart.min(axis=0) + squares, 0)) - np.sqrt(np.maximum(least + squares, 0))
+        error = 1e-6 * (np.sqrt(squares) + norm[:, None])
+        fixed = between > 2 * reach[:, None] + error
+        open_[:, low : low + AT_ONCE] = ~fixed
+        for j in range(k):
+            stay[j] += (mine[j] & fixed).astype(np.float64) @ rows
+            change[j] += (mine[j] & ~fixed).astype(np.float64) @ rows
+    return stay, change, open_
+
+
+def _open_totals(rows: np.ndarray, open_: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Sums and counts (k, fits, dimensions + 1) over the open rows of each fit; rows end with a 1."""
+    fits, k, size = centers.shape
+    table = _table(centers).reshape(k, fits, -1)
+    total = np.zeros((k, fits, size + 1))
+    for fit in range(fits):
+        some = rows[np.flatnonzero(open_[fit])]
+        apart = table[:, fit] @ some.T
+        total[:, fit] = _first(apart, apart.min(axis=0)).astype(np.float64) @ some
+    return total
+
+
+class _Sums:
+    """Counts and sums of the clusters of all fits, step by step, for centres that slow down.
+
+    A look over all rows tells which can change their cluster while the centres stay within a reach of where they are;
+    these are kept with the executors, with a bit for every fit. The sums of all others are added up once and hold
+    until a centre has gone beyond the reach, so the steps in between read the kept rows only.
+    """
+
+    def __init__(self, blocks: RDD) -> None:
+        self.blocks, self.wait = blocks, WAIT
+        self.kept: RDD | None = None
+
+    def __call__(self, current: dict[int, np.ndarray], ids: dict[int, np.ndarray], speed: dict[int, np.ndarray] | None) -> dict:
+        """Count and sums (fits, k, ...) per k. `ids` numbers the fits, `speed` is how far their centres went last."""
+        if self.kept is not None and self._within(current, ids):
+            totals = self._few(current, ids)
+        else:
+            self.drop()
+            self.wait -= 1
+            totals = self._all(current) if speed is None or self.wait >= 0 else self._look(current, ids, speed)
+        return {k: (t[:, :, -1].T, t[:, :, :-1].transpose(1, 0, 2)) for k, t in totals.items()}
+
+    def drop(self) -> None:
+        if self.kept is not None:
+            self.kept.unpersist()
+            self.shared.destroy()
+            self.kept = None
+
+    def _all(self, current: dict) -> dict:
+        shared = self.blocks.context.broadcast(current)
+
+        def add(rows: Iterator) -> Iterator:
+            total = None
+            for x, _ in rows:
+                part = [_cluster_totals(x, c, True)[1:] for _, c in sorted(shared.value.items())]
+                total = part if total is None else added(total, part)
+            if total is not None:
+                yield total
+
+        merged = reduced(self.blocks.mapPartitions(add), added)
+        shared.destroy()
+        return {k: np.concatenate([s, n[:, :, None]], axis=2).transpose(1, 0, 2) for k, (n, s) in zip(sorted(current), merged)}
+
+    def _look(self, current: dict, ids: dict, speed: dict) -> dict:
+        self.ids, self.centers = ids, current
+        self.reach = {k: AHEAD * speed[k] for k in current}
+        shared = self.shared = self.blocks.context.broadcast((current, self.reach))
+
+        def look(rows: Iterator) -> Iterator:
+            centers, reach = shared.value
+            total, pairs, opened, held, n = None, 0, 0, [], 0
+
+            def joined():
+                some = np.concatenate([x for x, _ in held])
+                bits = [np.packbits(np.concatenate(o, axis=1), axis=1) for o in zip(*(o for _, o in held))]
+                return None, np.column_stack([some, np.ones(len(some))]), bits
+
+            for x, _ in rows:
+                parts = [_split_totals(x, centers[k], reach[k]) for k in sorted(centers)]
+                sums = [part[:2] for part in parts]
+                total = sums if total is None else added(total, sums)
+                pairs += sum(o.size for _, _, o in parts)
+                opened += sum(int(o.sum()) for _, _, o in parts)
+                some = np.any([o.any(axis=0) for _, _, o in parts], axis=0)
+                held.append((x[some], [o[:, some] for _, _, o in parts]))
+                n += int(some.sum())
+                if n >= OPEN_AT_ONCE:
+                    yield joined()
+                    held, n = [], 0
+            if n:
+                yield joined()
+            if total is not None:
+                yield [total, pairs, opened], None, None
+
+        self.kept = self.blocks.mapPartitions(look).persist(StorageLevel.MEMORY_AND_DISK)
+        merged, pairs, opened = reduced(self.kept.filter(lambda part: part[0] is not None).map(lambda part: part[0]), added)
+        self.stay = {k: stay for k, (stay, _) in zip(sorted(current), merged)}
+        if opened * WORTH > pairs:
+            self.drop()
+            self.wait = WAIT
+        return {k: stay + change for k, (stay, change) in zip(sorted(current), merged)}
+
+    def _within(self, current: dict, ids: dict) -> bool:
+        for k, c in current.items():
+            at = np.searchsorted(self.ids[k], ids[k])
+            gone = np.sqrt(((c - self.centers[k][at]) ** 2).sum(axis=2)).max(axis=1)
+            if not (gone <= self.reach[k][at]).all():
+                return False
+        return True
+
+    def _few(self, current: dict, ids: dict) -> dict:
+        at = {k: np.searchsorted(self.ids[k], ids[k]) for k in current}
+        known = sorted(self.ids)
+        shared = self.blocks.context.broadcast((current, at))
+
+        def add(parts: Iterator) -> Iterator:
+            centers, places = shared.value
+            total = [np.zeros((c.shape[1], c.shape[0], c.shape[2] + 1)) for _, c in sorted(centers.items())]
+            for _, rows, bits in parts:
+                if rows is None:
+                    continue
+                by_k = dict(zip(known, bits))
+                for i, (k, c) in enumerate(sorted(centers.items())):
+                    open_ = np.unpackbits(by_k[k][places[k]], axis=1, count=len(rows)).view(bool)
+                    total[i] += _open_totals(rows, open_, c)
+            yield total
+
+        merged = reduced(self.kept.mapPartitions(add), added)
+        shared.destroy()
+        return {k: self.stay[k][:, at[k]] + t for k, t in zip(sorted(current), merged)}
+
+
 def _seeds(blocks: RDD, k: int, starts: int, seed: int) -> np.ndarray:
     """k-means++ seeds of all starts, (starts, k, dimensions): one weighted draw of all starts a job.
 
@@ -142,12 +314,16 @@ def fit_kmeans(vectors: DataFrame, ks: Sequence[int], n_init: int = 50, seed: in
     """For every k the best of `n_init` starts by within-cluster cost, the first on ties.
 
     `vectors` has an array column. All starts and all k advance together: a step is one pass over the rows that adds
-    up the clusters of every fit that still moves, so the number of jobs is that of the slowest fit. A centre
-    without rows stays. A fit ends when no centre moves by more than `TOLERANCE`.
+    up the clusters of every fit that still moves, so the number of jobs is that of the slowest fit; of a large table
+    it reads the rows only that may have changed their cluster (`_Sums`). A centre without rows stays. A fit ends when
+    no centre moves by more than `TOLERANCE`.
     """
     blocks = packed(vectors, column)
-    totals = _cluster_totals if blocks.map(lambda block: len(block[0])).sum() > PLAIN else _counted_totals
+    large = blocks.map(lambda block: len(block[0])).sum() > PLAIN
+    totals = _cluster_totals if large else _counted_totals
     seeds = _seeds(blocks, max(ks), n_init, seed)
+    if large:
+        blocks = evened(blocks)
     centers = {k: seeds[:, :k].copy() for k in ks}
     moving = {k: np.arange(n_init) for k in ks}
     spark = vectors.sparkSession.sparkContext
@@ -167,17 +343,25 @@ def fit_kmeans(vectors: DataFrame, ks: Sequence[int], n_init: int = 50, seed: in
         shared.destroy()
         return dict(zip(sorted(current), merged))
 
+    sums, speed = _Sums(blocks), None
     for _ in range(MAX_ITERATIONS):
         current = {k: centers[k][moving[k]] for k in ks if len(moving[k])}
         if not current:
             break
-        for k, (_, count, total) in step(current, True).items():
+        if large:
+            found = sums(current, {k: moving[k] for k in current}, speed)
+        else:
+            found = {k: part[1:] for k, part in step(current, True).items()}
+        speed = {}
+        for k, (count, total) in found.items():
             old = current[k]
             count, total = count.reshape(len(old), k, 1), total.reshape(old.shape)
             new = np.where(count > 0, total / np.maximum(count, 1), old)
             centers[k][moving[k]] = new
-            moved = ((new - old) ** 2).sum(axis=2).max(axis=1) > TOLERANCE**2
-            moving[k] = moving[k][moved]
+            gone = ((new - old) ** 2).sum(axis=2).max(axis=1)
+            moved = gone > TOLERANCE**2
+            moving[k], speed[k] = moving[k][moved], np.sqrt(gone[moved])
+    sums.drop()
     costs = step(centers, False)
     blocks.unpersist()
     best = {k: int(np.argmin(costs[k][0])) for k in ks}

@@ -183,6 +183,49 @@ def test_kmeans_with_few_distinct_rows(spark):
     assert found[2].cost == 0 and found[4].cost == 0
 
 
+def test_kmeans_rows_that_may_change(spark, monkeypatch):
+    """Most steps over many rows read only those that may change their cluster, and the fits are those of plain steps."""
+    pick = np.random.default_rng(7)
+    x = np.concatenate([pick.normal(c, 1.0, (1500, 3)) for c in ((0, 0, 0), (2, 0, 1), (0, 3, 0))])
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(cores + 1)
+    parts, few, real = [], [], clusters._Sums._few
+    monkeypatch.setattr(
+        clusters._Sums, "_few", lambda self, *a: parts.append(self.blocks.getNumPartitions()) or few.append(self.kept.map(lambda p: 0 if p[1] is None else len(p[1])).sum()) or real(self, *a)
+    )
+    plain = fit_kmeans(df, [1, 5], n_init=3)
+    assert not few
+    monkeypatch.setattr(clusters, "PLAIN", 100)
+    found = fit_kmeans(df, [1, 5], n_init=3)
+    assert len(few) > 10 and min(few) < len(x) / 2
+    assert all(n % cores == 0 for n in parts)  # no core idles while another has one partition more
+    for k in plain:
+        assert np.allclose(found[k].centers, plain[k].centers, atol=1e-9) and math.isclose(found[k].cost, plain[k].cost, rel_tol=1e-9)
+
+
+def test_kmeans_split_of_rows():
+    """Rows said to stay do so wherever the centres go within their reach; equal and doubled centres keep their order."""
+    pick = np.random.default_rng(8)
+    x = np.concatenate([pick.integers(-3, 4, (700, 3)).astype(float), pick.normal(0, 2, (700, 3))])
+    centers = pick.integers(-3, 4, (6, 4, 3)).astype(float)
+    centers[0, 2], centers[1] = centers[0, 1], 0.0
+    reach = np.array([0.0, 0.1, 0.0, 0.05, 0.3, 9.0])
+    stay, change, open_ = clusters._split_totals(x, centers, reach)
+    assert open_[1].all() and open_[5].all() and 0 < open_[3].mean() < 0.9
+    rows = np.column_stack([x, np.ones(len(x))])
+    for turn in range(20):
+        way = pick.normal(size=centers.shape)
+        moved = centers + (turn > 0) * way / np.sqrt((way**2).sum(axis=2, keepdims=True)) * reach[:, None, None]
+        label = ((x[:, None, None] - moved) ** 2).sum(axis=3).argmin(axis=2)
+        for fit in range(6):
+            mine = (label[:, fit] == np.arange(4)[:, None]).astype(float)
+            assert np.allclose((mine * ~open_[fit]) @ rows, stay[:, fit], atol=1e-9)
+            if turn == 0:
+                assert np.allclose((mine * open_[fit]) @ rows, change[:, fit], atol=1e-9)
+        if turn == 0:
+            assert np.allclose(clusters._open_totals(rows, open_, centers), change, atol=1e-9)
+
+
 def test_sums_of_many_rows(monkeypatch):
     """Bundles of features and parents less siblings give the sums and the trees of a plain pass."""
     pick = np.random.default_rng(3)
