@@ -58,6 +58,8 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
 AT_ONCE = 512
 #: rows of all blocks up to which sums are taken row by row; a noise of their last digits may lead to another optimum
 PLAIN = 1 << 14
+#: rows up to which a step reads all of them: it costs little more than its job
+MANY = 1 << 18
 #: steps at its present speed for which a fit's rows are looked through once; that pays if at most one pair of row and
 #: fit in `WORTH` may change its cluster meanwhile, else the next look is `WAIT` steps later
 AHEAD, WORTH, WAIT = 10, 3, 8
@@ -319,8 +321,9 @@ def fit_kmeans(vectors: DataFrame, ks: Sequence[int], n_init: int = 50, seed: in
     no centre moves by more than `TOLERANCE`.
     """
     blocks = packed(vectors, column)
-    large = blocks.map(lambda block: len(block[0])).sum() > PLAIN
-    totals = _cluster_totals if large else _counted_totals
+    rows = blocks.map(lambda block: len(block[0])).sum()
+    large = rows > MANY
+    totals = _cluster_totals if rows > PLAIN else _counted_totals
     seeds = _seeds(blocks, max(ks), n_init, seed)
     if large:
         blocks = evened(blocks)

@@ -196,6 +196,7 @@ def test_kmeans_rows_that_may_change(spark, monkeypatch):
     plain = fit_kmeans(df, [1, 5], n_init=3)
     assert not few
     monkeypatch.setattr(clusters, "PLAIN", 100)
+    monkeypatch.setattr(clusters, "MANY", 100)
     found = fit_kmeans(df, [1, 5], n_init=3)
     assert len(few) > 10 and min(few) < len(x) / 2
     assert all(n % cores == 0 for n in parts)  # no core idles while another has one partition more
