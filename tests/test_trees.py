@@ -286,6 +286,46 @@ def test_one_partition_for_a_million_rows(spark):
     assert many.parts == 5
 
 
+def test_trees_of_folds_stay_with_the_executors(spark, table, monkeypatch):
+    """The driver gets the trees that are asked for only, the scores of all fits are as before; a tree is typed arrays."""
+    monkeypatch.setattr(trees, "AHEAD", 2)
+    rows, df = table
+    edges = trees.bin_edges(df, "x", 4, bins=8)
+    blocks = trees.coded_blocks(df, "x", ["label", "weight", "fold"], edges)
+    for part_bytes in (trees.PART_BYTES, 700):
+        whole = trees.Forest(blocks, len(rows), edges, FITS, part_bytes).grow()
+        some = trees.Forest(blocks, len(rows), edges, FITS, part_bytes, keep=[2]).grow()
+        assert [len(t) for t in some.trees] == [0, 0, 3] and some.trees[2] == whole.trees[2]
+        assert some.fold_auc()[:2] == whole.fold_auc()[:2]
+        whole.release()
+        some.release()
+    assert all(column.itemsize <= 8 for column in (whole.trees[2][0].feature, whole.trees[2][0].value))
+
+
+def test_many_fits_take_whole_rows(spark):
+    """A task a fit, without a shuffle a level, for many fits over some partitions' worth of codes; all end in the same job."""
+    edges = [np.arange(3.0)] * 32
+    rows = spark.createDataFrame([([0.0] * 32, 1.0, 1.0, 0)] * 2, ROW)
+    blocks = trees.coded_blocks(rows, "x", ["label", "weight", "fold"], edges)
+    fits = [trees.Fit(n, 0.1, 2) for n in (200, 300, 500) for _ in range(6)]
+    forest = trees.Forest(blocks, 4_300_000, edges, fits)
+    assert forest.parts == 1 and len(forest.members) == 18
+    assert trees.Forest(blocks, 4_300_000, edges, fits[:9]).parts == 5
+    assert trees.Forest(blocks, 9_000_000, edges, fits).parts > trees.WHOLE
+
+
+def test_fits_advance_in_step(spark, table, monkeypatch):
+    """Every fit takes its share of trees in every job."""
+    rows, df = table
+    edges = trees.bin_edges(df, "x", 4, bins=4)
+    forest = trees.Forest(trees.coded_blocks(df, "x", ["label", "weight", "fold"], edges), len(rows), edges, [trees.Fit(7, 0.1, 2), trees.Fit(3, 0.1, 2)])
+    monkeypatch.setattr(trees, "AHEAD", 3)
+    jobs, real = [], trees.Forest._rounds_here
+    monkeypatch.setattr(trees.Forest, "_rounds_here", lambda self, wanted: jobs.append(wanted) or real(self, wanted))
+    forest.grow()
+    assert jobs == [{0: 3, 1: 1}, {0: 2, 1: 1}, {0: 2, 1: 1}] and [len(t) for t in forest.trees] == [7, 3]
+
+
 def test_cluster_totals_of_many_fits():
     """Sums of all fits against row by row, with equal centres and equal distances: the first centre has the row."""
     pick = np.random.default_rng(8)
