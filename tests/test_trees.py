@@ -314,6 +314,58 @@ def test_many_fits_take_whole_rows(spark):
     assert trees.Forest(blocks, 9_000_000, edges, fits).parts > trees.WHOLE
 
 
+def test_cells_lie_bin_by_bin():
+    """The cuts of nodes against feature by feature, with empty bins and equal gains."""
+    pick = np.random.default_rng(4)
+    widths = [3, 1, 7, 3, 5]
+    columns = trees.Columns(np.zeros((1, 5), dtype=np.uint8), widths)
+    sums = np.zeros((2, 19, 40))
+    nodes = []
+    for n in range(40):
+        parts = [(pick.integers(-9, 9, w).astype(float), pick.integers(0, 3, w).astype(float)) for w in widths]
+        for k in (0, 1):  # all features of a node have the same rows, and the fourth parts them like the first
+            parts = [(g, h) if f != 3 else parts[0] for f, (g, h) in enumerate(parts)]
+        nodes.append(parts)
+        for f, part in enumerate(parts):
+            for k in (0, 1):
+                sums[k, columns.cells.of[f], n] = part[k]
+    with np.errstate(all="ignore"):  # the made-up sums of a node differ from feature to feature
+        splits = trees.best_splits(sums, widths)
+    for parts, (gain, f, b, gl, hl, g, h) in zip(nodes, splits):
+        total, curve = (part.sum() for part in parts[0])
+        assert (g, h) == (total, curve)
+        best = (-math.inf, 0, 0)
+        for j, (x, y) in enumerate(parts):
+            for c in range(len(x)):
+                a, z = x[: c + 1].sum(), y[: c + 1].sum()
+                if y[c] > 0 and z >= 1 and curve - z >= 1:
+                    value = a * a / (z + 1) + (total - a) ** 2 / (curve - z + 1) - total**2 / (curve + 1)
+                    if value > best[0] + 1e-12:
+                        best = (value, j, c)
+        if best[0] == -math.inf:
+            assert gain == -math.inf
+        else:
+            assert math.isclose(gain, best[0], abs_tol=1e-9) and (f, b) == best[1:] and f != 3
+            assert (gl, hl) == tuple(part[: b + 1].sum() for part in parts[f])
+
+
+def test_scores_and_stored_trees_are_those_of_a_plain_walk(spark, table):
+    """Rows fall through the columns as through `descend`; a stored model has the same trees, of any sizes."""
+    rows, df = table
+    edges = trees.bin_edges(df, "x", 4)
+    codes = trees.encode(np.array([r[0] for r in rows]), edges)
+    blocks = trees.coded_blocks(df, "x", ["label", "weight", "fold"], edges)
+    grown = trees.Forest(blocks, len(rows), edges, [trees.Fit(6, 0.3, 5)]).grow().trees[0] + [trees.Tree()]
+    columns = trees.Columns(codes, [len(e) + 1 for e in edges])
+    for tree in grown:
+        for depth in (0, 2, 5):
+            assert (columns.fall(np.arange(500), tree.arrays(), depth) == trees.descend(codes, tree.arrays(), depth)).all()
+    path = scratch_path(spark, "trees")
+    trees.BoostedModel(edges, grown, 5).save(spark, path)
+    again = trees.BoostedModel.load(path, spark)
+    assert again.trees == grown and again.depth == 5 and len(grown[-1].value) == 1
+
+
 def test_fits_advance_in_step(spark, table, monkeypatch):
     """Every fit takes its share of trees in every job."""
     rows, df = table
